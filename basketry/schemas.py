@@ -1,4 +1,4 @@
-"""Schemas of the event payload and of the warehouse tables."""
+"""Schemas of the event payload and of the warehouse tables, as DDL text."""
 
 from __future__ import annotations
 
@@ -11,7 +11,7 @@ ENVELOPE = (
 )
 
 # One wide nullable row: the union of the fields of all event types, lists included.
-PAYLOAD = T.StructType.fromDDL(
+PAYLOAD = (
     ENVELOPE
     + ", product_id string, product_name string, category string, subcategory string, price double, "
     "quantity int, total_amount double, discount_amount double, tax_amount double, order_id string, "
@@ -36,33 +36,28 @@ FLAG_COLUMNS = (
     "dq_negative_amount boolean, dq_future_timestamp boolean, dq_passed boolean"
 )
 
-SILVER = T.StructType(
-    PAYLOAD.fields
-    + T.StructType.fromDDL(SOURCE_COLUMNS).fields
-    + T.StructType.fromDDL(CLEAN_COLUMNS).fields
-    + T.StructType.fromDDL(FLAG_COLUMNS).fields
-)
+SILVER = ", ".join([PAYLOAD, SOURCE_COLUMNS, CLEAN_COLUMNS, FLAG_COLUMNS])
 
-FACT_ORDERS = T.StructType.fromDDL(
+FACT_ORDERS = (
     "order_id string, customer_id string, event_timestamp timestamp, event_date date, "
     "total_amount decimal(15,2), discount_amount decimal(12,2), tax_amount decimal(12,2), "
     "net_amount decimal(15,2), payment_method string, items_count int, region string, device string, "
     "delivery_type string, created_at timestamp"
 )
 
-DIM_CUSTOMER = T.StructType.fromDDL(
+DIM_CUSTOMER = (
     "customer_id string, region string, country string, city string, preferred_device string, "
     "customer_segment string, total_events bigint, total_purchases bigint, total_spend decimal(15,2), "
     "avg_spend decimal(12,2), days_active int, first_seen_date timestamp, last_seen_date timestamp, "
     "created_at timestamp, updated_at timestamp"
 )
 
-RAW_EVENTS = T.StructType.fromDDL(
+RAW_EVENTS = (
     "event_id string, customer_id string, event_type string, payload string, kafka_topic string, "
     "event_timestamp timestamp, ingested_at timestamp"
 )
 
-FEATURE_STORE = T.StructType.fromDDL(
+FEATURE_STORE = (
     "customer_id string, snapshot_date date, feature_set string, recency_days int, frequency int, "
     "monetary decimal(15,2), avg_purchase_value decimal(12,2), max_purchase_value decimal(12,2), "
     "min_purchase_value decimal(12,2), product_view_count int, search_count int, cart_add_count int, "
@@ -71,21 +66,28 @@ FEATURE_STORE = T.StructType.fromDDL(
     "created_at timestamp, updated_at timestamp"
 )
 
-CHURN_SCORES = T.StructType.fromDDL(
+CHURN_SCORES = (
     "customer_id string, churn_probability decimal(8,6), churn_segment string, "
     "model_version string, scored_at timestamp"
 )
 
-QUALITY_RESULTS = T.StructType.fromDDL(
+QUALITY_RESULTS = (
     "rule_name string, table_name string, total_records bigint, failed_records bigint, "
     "failure_rate decimal(8,6), passed boolean, severity string, checked_at timestamp"
 )
 
-RUN_LOG = T.StructType.fromDDL(
+RUN_LOG = (
     "dag_id string, run_id string, task_id string, status string, records_processed bigint, "
     "duration_seconds int, error_message string, started_at timestamp, completed_at timestamp"
 )
 
-TICKETS = T.StructType.fromDDL(
+TICKETS = (
     "ticket_id string, customer_id string, issue_text string, status string, created_at string"
 )
+
+MESSAGE = "key string, value string, topic string, partition int, offset bigint, timestamp timestamp"
+
+
+def struct(ddl: str) -> T.StructType:
+    """The parsed schema (needs a running session)."""
+    return T.StructType.fromDDL(ddl)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -49,3 +50,11 @@ def settle(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint()
+
+
+SMALL_ROWS = 100_000
+
+
+def broadcast_if_small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
+    """``df`` marked for broadcast when it has at most ``rows`` rows, else as it is (joined by shuffle)."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib
 import math
 import os
 import sys
@@ -65,7 +66,12 @@ def main() -> int:
     from basketry.session import build_session
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "0.01"
-    wanted = set(sys.argv[2:])
+    wanted = set()
+    for word in sys.argv[2:]:
+        if word.endswith("_queries"):
+            wanted |= set(importlib.import_module(f"catalog.{word}").CATALOG.queries)
+        else:
+            wanted.add(word)
     spark = build_session(
         master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"}
     )
