@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from basketry.functions import count_when, elapsed_days, money, sum_when
 
-BOUGHT = F.col("event_type") == "PURCHASE"
+
+def _bought() -> F.Column:
+    return F.col("event_type") == "PURCHASE"
 
 
 def _calendar(df: DataFrame) -> DataFrame:
@@ -21,7 +23,7 @@ def _zero(amount: F.Column) -> F.Column:
 def revenue_by_region(events: DataFrame) -> DataFrame:
     amount = money(F.col("total_amount"))
     return (
-        _calendar(events.filter(BOUGHT & F.col("region").isNotNull() & F.col("event_timestamp").isNotNull()))
+        _calendar(events.filter(_bought() & F.col("region").isNotNull() & F.col("event_timestamp").isNotNull()))
         .groupBy("region", "event_year", "event_month")
         .agg(
             _zero(F.sum(amount)).alias("total_revenue"),
@@ -36,7 +38,7 @@ def revenue_by_category(events: DataFrame) -> DataFrame:
     """Purchases by category. A purchase with a category list counts under each category listed."""
     listed = F.when(F.size("categories") > 0, F.col("categories")).otherwise(F.array("category"))
     return (
-        _calendar(events.filter(BOUGHT & F.col("event_timestamp").isNotNull()))
+        _calendar(events.filter(_bought() & F.col("event_timestamp").isNotNull()))
         .select("event_id", "total_amount", "event_year", "event_month", F.explode(listed).alias("category"))
         .filter(F.col("category").isNotNull())
         .groupBy("category", "event_year", "event_month")
@@ -55,7 +57,7 @@ def customer_360(events: DataFrame) -> DataFrame:
         .groupBy("customer_id")
         .agg(
             F.count("event_id").alias("total_events"),
-            count_when(BOUGHT).alias("total_purchases"),
+            count_when(_bought()).alias("total_purchases"),
             _zero(F.sum(amount)).alias("total_spend"),
             F.avg(amount).alias("avg_spend"),
             F.max("event_timestamp").alias("last_event_date"),

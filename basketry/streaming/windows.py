@@ -13,7 +13,10 @@ from pyspark.sql.streaming import StreamingQuery
 from basketry.functions import count_when
 
 TIME = "event_timestamp"
-KIND = F.col("event_type")
+
+
+def _is(event_type: str) -> F.Column:
+    return F.col("event_type") == event_type
 
 
 def _watermarked(df: DataFrame, delay: str) -> DataFrame:
@@ -31,7 +34,7 @@ def revenue_per_hour(
     events: DataFrame, watermark: str = "1 hour", window: str = "1 hour", slide: str | None = None
 ) -> DataFrame:
     amount = F.col("total_amount").cast("decimal(15,2)")
-    bought = events.filter((KIND == "PURCHASE") & F.col("total_amount").isNotNull())
+    bought = events.filter(_is("PURCHASE") & F.col("total_amount").isNotNull())
     summed = (
         _watermarked(bought, watermark)
         .groupBy(F.window(TIME, window, slide).alias("w"), "region")
@@ -51,7 +54,7 @@ def revenue_per_region(
 ) -> DataFrame:
     amount = F.col("total_amount").cast("decimal(15,2)")
     per_user = (
-        _watermarked(events.filter(KIND == "PURCHASE"), watermark)
+        _watermarked(events.filter_is("PURCHASE"), watermark)
         .groupBy(F.window(TIME, window, slide).alias("w"), "region", "country", "customer_id")
         .agg(F.sum(amount).alias("revenue"), F.count("order_id").alias("orders"))
     )
@@ -67,7 +70,7 @@ def most_viewed_products(
     events: DataFrame, watermark: str = "1 hour", window: str = "1 hour", slide: str | None = "15 minutes"
 ) -> DataFrame:
     price = F.col("price").cast("decimal(15,2)")
-    viewed = events.filter((KIND == "PRODUCT_VIEW") & F.col("product_id").isNotNull())
+    viewed = events.filter(_is("PRODUCT_VIEW") & F.col("product_id").isNotNull())
     keys = ["product_id", "product_name", "category"]
     per_user = (
         _watermarked(viewed, watermark)
@@ -89,9 +92,9 @@ def conversion_rate(
         _watermarked(events, watermark)
         .groupBy(F.window(TIME, window, slide).alias("w"), "region")
         .agg(
-            count_when(KIND == "PRODUCT_VIEW").alias("views"),
-            count_when(KIND == "ADD_TO_CART").alias("cart_adds"),
-            count_when(KIND == "PURCHASE").alias("purchases"),
+            count_when_is("PRODUCT_VIEW").alias("views"),
+            count_when_is("ADD_TO_CART").alias("cart_adds"),
+            count_when_is("PURCHASE").alias("purchases"),
         )
     )
     rate = lambda part, base: F.coalesce(F.try_divide(part, base), F.lit(0.0))

@@ -43,6 +43,16 @@ def customer_code(number) -> F.Column:
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical clean events (all nine types)."""
+    return events_from(table(spark, sf_dir, "events"))
+
+
+def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same events as a file stream."""
+    schema = table(spark, sf_dir, "events").schema
+    return events_from(spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet"))
+
+
+def events_from(source: DataFrame) -> DataFrame:
     e, u, value = F.col("event_id"), F.col("user_id"), F.col("value")
     k = F.get_json_object("props", "$.k").cast("int")
     raw = F.col("event_type")
@@ -53,7 +63,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(raw == "signup", pick(SIGNUP_AS, k))
         .otherwise(pick(ERROR_AS, k))
     )
-    base = table(spark, sf_dir, "events").select(
+    base = source.select(
         F.concat(F.lit("E"), e.cast("string")).alias("event_id"),
         customer_code(u).alias("customer_id"),
         kind.alias("event_type"),
@@ -91,6 +101,10 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def untidy_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same events as they might arrive: padded, mis-cased, signed, partly broken, every seventh sent twice."""
+    return untidy_from(events(spark, sf_dir))
+
+
+def untidy_from(tidy: DataFrame) -> DataFrame:
     n = F.substring("event_id", 2, 20).cast("long")
     text_time = (
         F.when(n % 97 == 0, F.lit("not a time"))
@@ -101,8 +115,7 @@ def untidy_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     sign = F.when(n % 11 == 0, -1.0).otherwise(1.0)
     copies = F.explode(F.sequence(F.lit(1), F.when(n % 7 == 0, 2).otherwise(1)))
     return (
-        events(spark, sf_dir)
-        .select("*", copies.alias("copy_no"), n.alias("n"), text_time.alias("timestamp"), sign.alias("sign"))
+        tidy.select("*", copies.alias("copy_no"), n.alias("n"), text_time.alias("timestamp"), sign.alias("sign"))
         .select(
             "event_id",
             F.when(F.col("n") % 101 == 0, F.lit(None))
@@ -119,6 +132,7 @@ def untidy_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             "discount_amount", "items_count",
             F.when(F.col("n") % 13 == 0, F.lit(None)).otherwise(F.col("order_id")).alias("order_id"),
             "payment_method", "refund_amount", "amount", "plan", "attempted_amount", "failure_reason", "copy_no",
+            F.col("event_timestamp").alias("sent_at"),
         )
     )
 
@@ -171,3 +185,57 @@ def fact_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("c_mktsegment").alias("device"),
         )
     )
+
+
+def messages_from(untidy: DataFrame) -> DataFrame:
+    """Untidy events as broker messages, one source partition, stamped with the time they were sent."""
+    body = [c for c in untidy.columns if c not in ("copy_no", "sent_at")]
+    return untidy.select(
+        F.col("customer_id").cast("binary").alias("key"),
+        F.to_json(F.struct(*body)).cast("binary").alias("value"),
+        F.lit("product-events").alias("topic"),
+        F.lit(0).alias("partition"),
+        F.substring("event_id", 2, 20).cast("long").alias("offset"),
+        F.col("sent_at").alias("timestamp"),
+    )
+
+
+def churn_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A score and an outcome per customer by key arithmetic, in the shape of the score table."""
+    from basketry.plans.churn import churn_band
+
+    key = F.col("c_custkey")
+    score = (key * 7919 % 1000 / 1000).cast("decimal(8,6)")
+    return table(spark, sf_dir, "customer").select(
+        customer_code(key).alias("customer_id"),
+        score.alias("churn_probability"),
+        churn_band(score).alias("churn_segment"),
+        F.lit("v1.0").alias("model_version"),
+        F.lit(ORDERS_AS_OF).cast("timestamp").alias("scored_at"),
+        (key * 104729 % 1000 < score * 1000).cast("int").alias("label"),
+    )
+
+
+def combined_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from basketry.plans import features, warehouse
+
+    source = events(spark, sf_dir)
+    return features.combined_features(
+        features.rfm_features(fact_orders(spark, sf_dir), ORDERS_AS_OF),
+        features.behavioral_features(source, EVENTS_AS_OF),
+        features.session_features(warehouse.gap_sessions(source)),
+        EVENTS_AS_OF,
+    )
+
+
+def feature_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The combined features of two snapshots a week apart."""
+    now = combined_features(spark, sf_dir)
+    earlier = now.withColumns(
+        {
+            "snapshot_date": F.date_sub("snapshot_date", 7),
+            "recency_days": F.col("recency_days") + 7,
+            "product_view_count": F.floor(F.col("product_view_count") / 2),
+        }
+    )
+    return now.unionByName(earlier)

@@ -11,6 +11,7 @@ from basketry.sinks.writers import to_topic_rows
 from catalog.common import (
     EV_NOW, EVENTS_CTE, ORD_NOW, ORDERS_CTE, UNTIDY_CTE, Catalog, cents, day_text, exact_ratio, time_text,
 )
+from catalog.mart_queries import LTV_CTE, ltv, orders
 
 CATALOG = Catalog()
 add = CATALOG.add
@@ -217,7 +218,8 @@ FROM (SELECT event_id FROM cleaned GROUP BY 1 HAVING count(*) > 1)
 UNION ALL SELECT 'accepted_values event_type', count(*), count(*) = 0
 FROM (SELECT DISTINCT event_type FROM cleaned WHERE event_type NOT IN ({KNOWN}))
 UNION ALL SELECT 'unique customer_id, region', count(*), count(*) = 0
-FROM (SELECT customer_id, region FROM fo GROUP BY 1, 2 HAVING count(*) > 1 AND FALSE)""")
+FROM (SELECT customer_id, region FROM (SELECT DISTINCT customer_id, region FROM fo WHERE total_amount > 0)
+      GROUP BY 1, 2 HAVING count(*) > 1)""")
 def _(spark, sf_dir):
     rows = cleaned(spark, sf_dir)
     summary = marts.int_customer_orders(tb.fact_orders(spark, sf_dir), ORD_NOW)
@@ -233,19 +235,18 @@ def _(spark, sf_dir):
     )
 
 
-@add("singular_tests", f"""WITH {DIRTY_CTE}, {ORDERS_CTE}
+@add("singular_tests", f"""WITH {DIRTY_CTE}, {ORDERS_CTE}, {LTV_CTE}
 SELECT 'orders positive amount' AS test, count(*) AS violations, count(*) = 0 AS passed
 FROM cleaned WHERE order_id IS NOT NULL AND event_type = 'PURCHASE' AND signed <= 0
 UNION ALL SELECT 'revenue keys not null', count(*), count(*) = 0 FROM (
   SELECT region FROM so GROUP BY order_year, order_month, month_start, region, device, payment_method
   HAVING region IS NULL OR order_year IS NULL OR order_month IS NULL OR sum(total_amount) IS NULL)
-UNION ALL SELECT 'score between 0 and 100', 0, TRUE
+UNION ALL SELECT 'score between 0 and 100', count(*), count(*) = 0 FROM ltv
+WHERE ltv_score < 0 OR ltv_score > 100
 UNION ALL SELECT 'revenue not negative', count(*), count(*) = 0 FROM (
   SELECT region FROM so GROUP BY order_year, order_month, month_start, region, device, payment_method
   HAVING sum(total_amount) < 0)""")
 def _(spark, sf_dir):
-    from catalog.mart_queries import ltv, orders
-
     bought = cleaned(spark, sf_dir).filter((F.col("event_type") == "PURCHASE") & F.col("order_id").isNotNull())
     monthly = marts.monthly_revenue(orders(spark, sf_dir))
     return quality.violation_counts(
