@@ -122,5 +122,9 @@ def dot(left: Column, right: Column) -> Column:
 
 def unit(vector: Column) -> Column:
     """Vector scaled to length one; a zero vector stays zero."""
-    length = F.sqrt(dot(vector, vector))
-    return F.transform(vector, lambda x: F.when(length > 0, x.cast("double") / length).otherwise(F.lit(0.0)))
+    scaled = F.transform(
+        # The one-element array binds the length once per vector instead of once per element.
+        F.array(F.sqrt(dot(vector, vector))),
+        lambda n: F.transform(vector, lambda x: F.when(n > 0, x.cast("double") / n).otherwise(F.lit(0.0))),
+    )
+    return scaled[0]

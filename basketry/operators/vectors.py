@@ -49,6 +49,11 @@ def embed(
     )
 
 
+def _unit_rows(matrix: np.ndarray) -> np.ndarray:
+    lengths = np.linalg.norm(matrix, axis=1, keepdims=True)
+    return np.divide(matrix, lengths, out=np.zeros_like(matrix), where=lengths > 0)
+
+
 def _block_top(ids, queries: np.ndarray, k: int, digits: int):
     """A function from batches of (vec_id, vector) to the best ``k`` of its partition per query."""
 
@@ -57,7 +62,7 @@ def _block_top(ids, queries: np.ndarray, k: int, digits: int):
         for batch in batches:
             if batch.empty:
                 continue
-            matrix = np.stack(batch["vector"].to_numpy()).astype("float64")
+            matrix = _unit_rows(np.stack(batch["vector"].to_numpy()).astype("float64"))
             sims = np.round(queries @ matrix.T, digits) + 0.0
             found = pd.DataFrame(
                 {
@@ -89,25 +94,25 @@ def similarity_topk(
     k rows per query and task, never all pairs. A block of queries travels with the tasks and is bounded by
     ``query_bytes``; more queries make more blocks (one pass over the vectors each), and the answer stays exact.
     """
-    unit_queries = queries.select("query_id", unit(F.col("embedding")).alias("vector"))
-    shape = unit_queries.agg(F.count("*"), F.max(F.size("vector"))).first()
+    asked = queries.select("query_id", F.col("embedding").alias("vector"))
+    shape = asked.agg(F.count("*"), F.max(F.size("vector"))).first()
     count, dim = shape[0], shape[1] or 1
     id_type, vec_type = queries.schema["query_id"].dataType, vectors.schema["vec_id"].dataType
     out = f"query_id {id_type.simpleString()}, vec_id {vec_type.simpleString()}, similarity double"
-    unit_vectors = vectors.select("vec_id", unit(F.col("embedding")).alias("vector"))
+    stored = vectors.select("vec_id", F.col("embedding").alias("vector"))
     per_block = max(1, query_bytes // (8 * dim))
     blocks = max(1, -(-count // per_block) * 2 if count > per_block else 1)
     slot = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
     found = None
     for block in range(blocks):
-        rows = unit_queries.filter(slot == block).collect() if blocks > 1 else unit_queries.collect()
+        rows = asked.filter(slot == block).collect() if blocks > 1 else asked.collect()
         if not rows:
             continue
-        matrix = np.array([r["vector"] for r in rows], dtype="float64")
-        part = unit_vectors.mapInPandas(_block_top([r["query_id"] for r in rows], matrix, k, digits), out)
+        matrix = _unit_rows(np.array([r["vector"] for r in rows], dtype="float64"))
+        part = stored.mapInPandas(_block_top([r["query_id"] for r in rows], matrix, k, digits), out)
         found = part if found is None else found.unionByName(part)
     if found is None:
-        found = unit_vectors.limit(0).select(
+        found = stored.limit(0).select(
             F.lit(None).cast(id_type).alias("query_id"), "vec_id", F.lit(0.0).alias("similarity")
         )
     order = Window.partitionBy("query_id").orderBy(F.desc("similarity"), "vec_id")

@@ -56,8 +56,7 @@ def _pipeline(features: Sequence[str], label: str, params: ChurnParams) -> Pipel
         stages=[
             VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="keep"),
             GBTClassifier(
-                featuresCol="_features", labelCol=label, weightCol="_weight", rawPredictionCol="_margin",
-                probabilityCol="_probability", predictionCol="_predicted", maxIter=params.trees,
+                featuresCol="_features", labelCol=label, weightCol="_weight", predictionCol="_predicted", maxIter=params.trees,
                 maxDepth=params.depth, stepSize=params.rate, subsamplingRate=params.row_sample,
                 featureSubsetStrategy=str(params.column_sample), minInstancesPerNode=params.min_child,
                 checkpointInterval=10, seed=params.seed,
@@ -99,14 +98,14 @@ def cross_validate(
     ready = _weighted(_ready(stratified_folds(df, folds, label, params.seed), features, label), label, params)
     found = CrossValidator(
         estimator=_pipeline(features, label, params), estimatorParamMaps=ParamGridBuilder().build(),
-        evaluator=BinaryClassificationEvaluator(rawPredictionCol="_margin", labelCol=label),
+        evaluator=BinaryClassificationEvaluator(rawPredictionCol="rawPrediction", labelCol=label),
         numFolds=folds, foldCol="fold",
     ).fit(ready)
     return found.avgMetrics[0], found.stdMetrics[0]
 
 
 def probabilities(model: PipelineModel, df: DataFrame) -> DataFrame:
-    return model.transform(df).withColumn("score", F.round(vector_to_array("_probability")[1], 6))
+    return model.transform(df).withColumn("score", F.round(vector_to_array("probability")[1], 6))
 
 
 def feature_importance(model: PipelineModel, features: Sequence[str], top: int = 10) -> DataFrame:

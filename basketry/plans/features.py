@@ -81,7 +81,7 @@ def behavioral_pivot(events: DataFrame, as_of: Moment) -> DataFrame:
         events.filter(F.col("customer_id").isNotNull())
         .groupBy("customer_id")
         .pivot("event_type", PIVOTED_TYPES)
-        .agg(F.count("*"))
+        .agg(F.count(F.lit(1)))
         .fillna(0, subset=PIVOTED_TYPES)
     )
     carts = F.col("ADD_TO_CART")

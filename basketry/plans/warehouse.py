@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from basketry.functions import Moment, as_moment, count_when, money
 from basketry.operators.keyed import first_per_key
+from basketry.session import broadcast_if_small
 from basketry.vocabulary import DEFAULT_TOPIC, PAYMENT_CATEGORIES, REGION_TIERS, TOPIC_OF_EVENT
 
 
@@ -55,11 +56,11 @@ def payment_lookup(spark: SparkSession) -> DataFrame:
 
 
 def enrich_with_reference(df: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
-    """Left join to a reference table.
+    """Left join to a reference table, broadcast after a check of its size.
 
-    No broadcast hint: Spark broadcasts when its size statistics allow, and otherwise joins by shuffle.
+    A larger lookup joins by shuffle, where adaptive execution splits hot keys.
     """
-    return df.join(lookup, key, "left")
+    return df.join(broadcast_if_small(lookup), key, "left")
 
 
 def dim_customer(customer_360: DataFrame, as_of: Moment) -> DataFrame:

@@ -54,7 +54,7 @@ def revenue_per_region(
 ) -> DataFrame:
     amount = F.col("total_amount").cast("decimal(15,2)")
     per_user = (
-        _watermarked(events.filter_is("PURCHASE"), watermark)
+        _watermarked(events.filter(_is("PURCHASE")), watermark)
         .groupBy(F.window(TIME, window, slide).alias("w"), "region", "country", "customer_id")
         .agg(F.sum(amount).alias("revenue"), F.count("order_id").alias("orders"))
     )
@@ -92,9 +92,9 @@ def conversion_rate(
         _watermarked(events, watermark)
         .groupBy(F.window(TIME, window, slide).alias("w"), "region")
         .agg(
-            count_when_is("PRODUCT_VIEW").alias("views"),
-            count_when_is("ADD_TO_CART").alias("cart_adds"),
-            count_when_is("PURCHASE").alias("purchases"),
+            count_when(_is("PRODUCT_VIEW")).alias("views"),
+            count_when(_is("ADD_TO_CART")).alias("cart_adds"),
+            count_when(_is("PURCHASE")).alias("purchases"),
         )
     )
     rate = lambda part, base: F.coalesce(F.try_divide(part, base), F.lit(0.0))

@@ -49,7 +49,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same events as a file stream."""
     schema = table(spark, sf_dir, "events").schema
-    return events_from(spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet"))
+    return events_from(spark.readStream.schema(schema).parquet(f"{sf_dir}/events*.parquet"))
 
 
 def events_from(source: DataFrame) -> DataFrame:
