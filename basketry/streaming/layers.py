@@ -72,9 +72,13 @@ def write_console(df: DataFrame, rows: int = 5) -> StreamingQuery:
 
 
 def _write_batch(rows: DataFrame, path: str, batch_id: int, partitions: list[str]) -> None:
-    """Idempotent write: a repeated batch replaces its own folder."""
+    """Idempotent write: a repeated batch replaces its own folder.
+
+    Rebalancing by the folder columns gives each folder few files, and adaptive execution splits a hot folder.
+    """
     (
-        rows.write.mode("overwrite")
+        rows.hint("rebalance", *partitions)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
         .partitionBy(*partitions)
         .parquet(f"{path}/batch={batch_id}")
