@@ -133,3 +133,10 @@ def cleaning_report(events: DataFrame) -> DataFrame:
     ).withColumns(
         {"removed": F.col("rows_in") - F.col("rows_out"), "is_empty": F.col("rows_out") == 0}
     )
+
+
+def fill_defaults(df: DataFrame, defaults: dict[str, object]) -> DataFrame:
+    """Nulls of the named columns replaced; names the table lacks are added with their default."""
+    return df.withColumns(
+        {c: F.coalesce(F.col(c), F.lit(v)) if c in df.columns else F.lit(v) for c, v in defaults.items()}
+    )

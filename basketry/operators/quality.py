@@ -212,9 +212,14 @@ def run_suite(df: DataFrame, suite: dict) -> DataFrame:
         aggregates.update({f"e{i}_{key}": agg for key, agg in needs.items()})
         bad, passed = verdict({**got, "rows": F.col("rows")})
         plans.append(F.struct(*head, bad.cast("bigint").alias("bad_rows"), passed.alias("passed")))
-    counted = df.agg(F.count("*").alias("rows"), *[agg.alias(name) for name, agg in aggregates.items()])
-    results = counted.select(F.inline(F.array(*plans)))
-    for part in unique:
+    parts = list(unique)
+    if plans:
+        counted = df.agg(F.count("*").alias("rows"), *[agg.alias(name) for name, agg in aggregates.items()])
+        parts.insert(0, counted.select(F.inline(F.array(*plans))))
+    if not parts:
+        raise ValueError("a suite needs at least one expectation")
+    results = parts[0]
+    for part in parts[1:]:
         results = results.unionByName(part)
     return results
 

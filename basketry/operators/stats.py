@@ -62,11 +62,16 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], digits: int = 4) -
     """Pearson correlation of every pair, both orders and the diagonal, from one aggregate."""
     doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     pairs = list(combinations_with_replacement(columns, 2))
-    counted = doubles.agg(*[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
+
+    def pearson(a: str, b: str) -> F.Column:
+        # Both deviations over the rows where both values exist; null when either is constant.
+        x, y = F.when(F.col(b).isNotNull(), F.col(a)), F.when(F.col(a).isNotNull(), F.col(b))
+        return F.try_divide(F.covar_pop(a, b), F.stddev_pop(x) * F.stddev_pop(y))
+
+    counted = doubles.agg(*[pearson(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
     cells = []
     for i, (a, b) in enumerate(pairs):
-        r = F.col(f"r{i}")
-        r = F.round(F.when(~F.isnan(r), r), digits).alias("correlation")
+        r = F.round(f"r{i}", digits).alias("correlation")
         for x, y in {(a, b), (b, a)}:
             cells.append(F.struct(F.lit(x).alias("column_x"), F.lit(y).alias("column_y"), r))
     return counted.select(F.inline(F.array(*cells)))

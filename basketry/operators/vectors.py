@@ -36,7 +36,8 @@ def embed(
     """
     if model is not None:
         run = F.pandas_udf(model, "array<float>")
-        return df.withColumn("embedding", unit(run(F.coalesce(F.col(text), F.lit("")))))
+        raw = df.withColumn("_raw", run(F.coalesce(F.col(text), F.lit(""))))
+        return raw.withColumn("embedding", unit(F.col("_raw"))).drop("_raw")
     stages = [
         Tokenizer(inputCol="_text", outputCol="_words"),
         HashingTF(inputCol="_words", outputCol="_counts", numFeatures=dim),

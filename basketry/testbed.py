@@ -8,8 +8,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.functions import money
-
 EVENTS_AS_OF = "2024-01-31 00:00:00"
 ORDERS_AS_OF = "2001-08-02 00:00:00"
 EVENTS_START = "2024-01-01 00:00:00"
@@ -29,12 +27,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def pick(labels: list[str], number) -> F.Column:
-    return F.element_at(F.array(*[F.lit(x) for x in labels]), (number % len(labels) + 1).cast("int"))
-
-
-def product_code(number) -> F.Column:
-    return F.concat(F.lit("P"), F.lpad(number.cast("string"), 7, "0"))
+def pick(labels: list[str], number: str) -> str:
+    """SQL text: the label whose place is ``number`` modulo the number of labels."""
+    names = ", ".join(f"'{x}'" for x in labels)
+    return f"elt(cast(({number}) % {len(labels)} + 1 AS int), {names})"
 
 
 def customer_code(number) -> F.Column:
@@ -53,49 +49,45 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events_from(source: DataFrame) -> DataFrame:
-    e, u, value = F.col("event_id"), F.col("user_id"), F.col("value")
-    k = F.get_json_object("props", "$.k").cast("int")
-    raw = F.col("event_type")
-    kind = (
-        F.when(raw == "view", "PRODUCT_VIEW")
-        .when(raw == "click", "ADD_TO_CART")
-        .when(raw == "purchase", "PURCHASE")
-        .when(raw == "signup", pick(SIGNUP_AS, k))
-        .otherwise(pick(ERROR_AS, k))
+    keyed = source.selectExpr(
+        "event_id AS n", "user_id AS u", "cast(get_json_object(props, '$.k') AS int) AS k", "value",
+        "event_type AS raw", "cast(ts AS timestamp) AS event_timestamp",
     )
-    base = source.select(
-        F.concat(F.lit("E"), e.cast("string")).alias("event_id"),
-        customer_code(u).alias("customer_id"),
-        kind.alias("event_type"),
-        F.col("ts").cast("timestamp").alias("event_timestamp"),
-        pick(DEVICES, u + k).alias("device"),
-        pick(REGIONS, u).alias("region"),
-        e.alias("n"), u.alias("u"), k.alias("k"), value.alias("value"),
+    typed = keyed.selectExpr(
+        "*",
+        f"""CASE raw WHEN 'view' THEN 'PRODUCT_VIEW' WHEN 'click' THEN 'ADD_TO_CART' WHEN 'purchase' THEN 'PURCHASE'
+            WHEN 'signup' THEN {pick(SIGNUP_AS, 'k')} ELSE {pick(ERROR_AS, 'k')} END AS event_type""",
+        "concat('C', lpad(cast(u AS string), 7, '0')) AS customer_id",
+        "concat('P', lpad(cast(k AS string), 7, '0')) AS p0",
+        "concat('P', lpad(cast((k + 1) % 100 AS string), 7, '0')) AS p1",
     )
-    t, n, k, value = F.col("event_type"), F.col("n"), F.col("k"), F.col("value")
-    has_product = t.isin("PRODUCT_VIEW", "ADD_TO_CART", "REFUND")
-    has_order = t.isin("PURCHASE", "REFUND", "PAYMENT_FAILURE")
-    bought = t == "PURCHASE"
-    return base.select(
-        "event_id", "customer_id", "event_type", "event_timestamp", "device", "region",
-        F.lit("India").alias("country"),
-        F.concat("customer_id", F.lit("-"), F.date_format("event_timestamp", "yyyyMMdd")).alias("session_id"),
-        F.when(has_product, product_code(k)).alias("product_id"),
-        F.when(has_product, F.concat(F.lit("Product "), k.cast("string"))).alias("product_name"),
-        F.when(has_product, pick(CATEGORIES, k)).alias("category"),
-        F.when(t.isin("PRODUCT_VIEW", "ADD_TO_CART"), value).alias("price"),
-        F.when(bought, F.array(product_code(k), product_code((k + 1) % 100))).alias("product_ids"),
-        F.when(bought, F.array(pick(CATEGORIES, k), pick(CATEGORIES, k + 1))).alias("categories"),
-        F.when(bought, value).alias("total_amount"),
-        F.when(bought, F.round(value.cast("decimal(12,2)") / 10, 2).cast("double")).alias("discount_amount"),
-        F.when(bought, k % 3 + 1).alias("items_count"),
-        F.when(has_order, F.concat(F.lit("ORD-"), n.cast("string"))).alias("order_id"),
-        F.when(t.isin("PURCHASE", "PAYMENT_FAILURE"), pick(METHODS, k)).alias("payment_method"),
-        F.when(t == "REFUND", value).alias("refund_amount"),
-        F.when(t == "SUBSCRIPTION", value).alias("amount"),
-        F.when(t == "SUBSCRIPTION", pick(PLANS, k)).alias("plan"),
-        F.when(t == "PAYMENT_FAILURE", value).alias("attempted_amount"),
-        F.when(t == "PAYMENT_FAILURE", F.lit("card_declined")).alias("failure_reason"),
+
+    def only(kinds: str, value: str, name: str) -> str:
+        return f"CASE WHEN event_type IN ({kinds}) THEN {value} END AS {name}"
+
+    shown, bought = "'PRODUCT_VIEW', 'ADD_TO_CART', 'REFUND'", "'PURCHASE'"
+    return typed.selectExpr(
+        "concat('E', cast(n AS string)) AS event_id", "customer_id", "event_type", "event_timestamp",
+        f"{pick(DEVICES, 'u + k')} AS device",
+        f"{pick(REGIONS, 'u')} AS region",
+        "'India' AS country",
+        "concat(customer_id, '-', date_format(event_timestamp, 'yyyyMMdd')) AS session_id",
+        only(shown, "p0", "product_id"),
+        only(shown, "concat('Product ', cast(k AS string))", "product_name"),
+        only(shown, pick(CATEGORIES, "k"), "category"),
+        only("'PRODUCT_VIEW', 'ADD_TO_CART'", "value", "price"),
+        only(bought, "array(p0, p1)", "product_ids"),
+        only(bought, f"array({pick(CATEGORIES, 'k')}, {pick(CATEGORIES, 'k + 1')})", "categories"),
+        only(bought, "value", "total_amount"),
+        only(bought, "floor((cast(round(value * 100) AS bigint) + 5) / 10) / 100", "discount_amount"),
+        only(bought, "k % 3 + 1", "items_count"),
+        only("'PURCHASE', 'REFUND', 'PAYMENT_FAILURE'", "concat('ORD-', cast(n AS string))", "order_id"),
+        only("'PURCHASE', 'PAYMENT_FAILURE'", pick(METHODS, "k"), "payment_method"),
+        only("'REFUND'", "value", "refund_amount"),
+        only("'SUBSCRIPTION'", "value", "amount"),
+        only("'SUBSCRIPTION'", pick(PLANS, "k"), "plan"),
+        only("'PAYMENT_FAILURE'", "value", "attempted_amount"),
+        only("'PAYMENT_FAILURE'", "'card_declined'", "failure_reason"),
     )
 
 
@@ -105,35 +97,31 @@ def untidy_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def untidy_from(tidy: DataFrame) -> DataFrame:
-    n = F.substring("event_id", 2, 20).cast("long")
-    text_time = (
-        F.when(n % 97 == 0, F.lit("not a time"))
-        .when(n % 3 == 0, F.date_format("event_timestamp", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
-        .when(n % 3 == 1, F.date_format("event_timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSS"))
-        .otherwise(F.date_format("event_timestamp", "yyyy-MM-dd'T'HH:mm:ss"))
-    )
-    sign = F.when(n % 11 == 0, -1.0).otherwise(1.0)
-    copies = F.explode(F.sequence(F.lit(1), F.when(n % 7 == 0, 2).otherwise(1)))
-    return (
-        tidy.select("*", copies.alias("copy_no"), n.alias("n"), text_time.alias("timestamp"), sign.alias("sign"))
-        .select(
-            "event_id",
-            F.when(F.col("n") % 101 == 0, F.lit(None))
-            .otherwise(F.concat(F.lit(" "), F.lower("customer_id"))).alias("customer_id"),
-            F.when(F.col("n") % 103 == 0, F.lit("wishlist"))
-            .otherwise(F.concat(F.lower("event_type"), F.lit(" "))).alias("event_type"),
-            "session_id",
-            pick(DIRTY_DEVICES, F.col("n")).alias("device"),
-            F.upper("region").alias("region"),
-            "country", "timestamp", "product_id", "product_name", "category",
-            (F.col("price") * F.col("sign")).alias("price"),
-            "product_ids", "categories",
-            (F.col("total_amount") * F.col("sign")).alias("total_amount"),
-            "discount_amount", "items_count",
-            F.when(F.col("n") % 13 == 0, F.lit(None)).otherwise(F.col("order_id")).alias("order_id"),
-            "payment_method", "refund_amount", "amount", "plan", "attempted_amount", "failure_reason", "copy_no",
-            F.col("event_timestamp").alias("sent_at"),
-        )
+    signed = "CASE WHEN n % 11 = 0 THEN -1.0D ELSE 1.0D END"
+    return tidy.selectExpr(
+        "*", "cast(substring(event_id, 2, 20) AS bigint) AS n"
+    ).selectExpr(
+        "*", "explode(sequence(1, CASE WHEN n % 7 = 0 THEN 2 ELSE 1 END)) AS copy_no"
+    ).selectExpr(
+        "event_id",
+        "CASE WHEN n % 101 <> 0 THEN concat(' ', lower(customer_id)) END AS customer_id",
+        "CASE WHEN n % 103 = 0 THEN 'wishlist' ELSE concat(lower(event_type), ' ') END AS event_type",
+        "session_id",
+        f"{pick(DIRTY_DEVICES, 'n')} AS device",
+        "upper(region) AS region",
+        "country",
+        """CASE WHEN n % 97 = 0 THEN 'not a time'
+            WHEN n % 3 = 0 THEN date_format(event_timestamp, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+            WHEN n % 3 = 1 THEN date_format(event_timestamp, "yyyy-MM-dd'T'HH:mm:ss.SSS")
+            ELSE date_format(event_timestamp, "yyyy-MM-dd'T'HH:mm:ss") END AS timestamp""",
+        "product_id", "product_name", "category",
+        f"price * {signed} AS price",
+        "product_ids", "categories",
+        f"total_amount * {signed} AS total_amount",
+        "discount_amount", "items_count",
+        "CASE WHEN n % 13 <> 0 THEN order_id END AS order_id",
+        "payment_method", "refund_amount", "amount", "plan", "attempted_amount", "failure_reason", "copy_no",
+        "event_timestamp AS sent_at",
     )
 
 
@@ -145,44 +133,45 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Discounts add up in ten-thousandths as integers, which is exact and cheaper than decimals per line.
     lines = (
         table(spark, sf_dir, "lineitem")
-        .groupBy(F.col("l_orderkey").alias("o_orderkey"))
-        .agg(
-            F.sum(money(F.col("l_extendedprice")) * F.col("l_discount").cast("decimal(4,2)")).alias("discount"),
-            F.count("*").cast("int").alias("items"),
+        .selectExpr(
+            "l_orderkey AS o_orderkey",
+            "cast(round(l_extendedprice * 100) AS bigint) * cast(round(l_discount * 100) AS bigint) AS off",
         )
+        .groupBy("o_orderkey")
+        .agg(F.sum("off").alias("off"), F.count("*").cast("int").alias("items"))
     )
     places = (
         table(spark, sf_dir, "nation")
         .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select(F.col("n_nationkey").alias("c_nationkey"), "r_name")
+        .selectExpr("n_nationkey AS c_nationkey", "r_name")
     )
     buyers = (
         table(spark, sf_dir, "customer")
         .join(places, "c_nationkey", "left")
-        .select(F.col("c_custkey").alias("o_custkey"), "r_name", "c_mktsegment")
+        .selectExpr("c_custkey AS o_custkey", "r_name", "c_mktsegment")
     )
-    total = money(F.col("o_totalprice"))
-    discount = money(F.round(F.coalesce(F.col("discount"), F.lit(0)), 2), 12)
-    moment = F.col("o_orderdate").cast("timestamp")
     return (
         table(spark, sf_dir, "orders")
         .join(lines, "o_orderkey", "left")
         .join(buyers, "o_custkey", "left")
-        .select(
-            F.col("o_orderkey").cast("string").alias("order_id"),
-            customer_code(F.col("o_custkey")).alias("customer_id"),
-            moment.alias("event_timestamp"),
-            F.to_date(moment).alias("event_date"),
-            total.alias("total_amount"),
-            discount.alias("discount_amount"),
-            F.lit(0).cast("decimal(12,2)").alias("tax_amount"),
-            (total - discount).cast("decimal(15,2)").alias("net_amount"),
-            F.col("o_orderpriority").alias("payment_method"),
-            F.coalesce(F.col("items"), F.lit(0)).alias("items_count"),
-            F.col("r_name").alias("region"),
-            F.col("c_mktsegment").alias("device"),
+        .selectExpr(
+            "cast(o_orderkey AS string) AS order_id",
+            "concat('C', lpad(cast(o_custkey AS string), 7, '0')) AS customer_id",
+            "cast(o_orderdate AS timestamp) AS event_timestamp",
+            "cast(o_totalprice AS decimal(15,2)) AS total_amount",
+            "cast(coalesce(floor((off + 50) / 100), 0) / 100BD AS decimal(12,2)) AS discount_amount",
+            "cast(0 AS decimal(12,2)) AS tax_amount",
+            "o_orderpriority AS payment_method",
+            "coalesce(items, 0) AS items_count",
+            "r_name AS region",
+            "c_mktsegment AS device",
+        )
+        .selectExpr(
+            "*", "to_date(event_timestamp) AS event_date",
+            "cast(total_amount - discount_amount AS decimal(15,2)) AS net_amount",
         )
     )
 

@@ -328,3 +328,13 @@ def _(spark, sf_dir):
 SELECT order_id, {exact_ratio(cents('total_amount - discount_amount'), '1', 0)} / 100.0 AS net_amount FROM fo""")
 def _(spark, sf_dir):
     return tb.fact_orders(spark, sf_dir).select("order_id", staging.net_amount().alias("net_amount"))
+
+
+@add("fill_defaults", f"""WITH {EVENTS_CTE}
+SELECT event_id, coalesce(total_amount, 0) AS total_amount, coalesce(payment_method, 'unknown') AS payment_method,
+       coalesce(items_count, 1)::BIGINT AS items_count, 'Unknown' AS city FROM ev""")
+def _(spark, sf_dir):
+    return cleaning.fill_defaults(
+        tb.events(spark, sf_dir),
+        {"total_amount": 0.0, "payment_method": "unknown", "items_count": 1, "city": "Unknown"},
+    ).select("event_id", "total_amount", "payment_method", "items_count", "city")

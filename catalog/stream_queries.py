@@ -162,3 +162,18 @@ def _(spark, sf_dir):
         )
     loaded = spark.read.parquet(f"{folder}/out")
     return loaded.groupBy("event_type").agg(F.count("*").alias("n"), F.countDistinct("event_id").alias("ids"))
+
+
+@add("dedup_stream", f"WITH {EVENTS_CTE} SELECT event_id, session_id, product_id FROM ev")
+def _(spark, sf_dir):
+    from basketry.operators.dedup import dedup_stream
+
+    folder = fresh_folder(spark)
+    rows = tb.untidy_from(tb.event_stream(spark, sf_dir))
+    finish(
+        [
+            dedup_stream(rows, time="sent_at").writeStream.format("parquet").option("path", f"{folder}/out")
+            .option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
+        ]
+    )
+    return spark.read.parquet(f"{folder}/out").select("event_id", "session_id", "product_id")
