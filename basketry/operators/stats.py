@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from basketry.functions import band_up_to
 from basketry.operators.ordering import with_row_number, with_running_totals
-from basketry.session import broadcast_if_small
+from basketry.session import broadcast_if_small, settle
 from basketry.vocabulary import RFM_BANDS, RFM_LAST
 
 
@@ -86,7 +86,7 @@ def clipped_histogram(
     """
     top = exact_quantiles(df, columns, [clip_at]).withColumnRenamed("q0", "top")
     # One row per column of the table, so the broadcast is bounded by the schema.
-    clipped = (
+    clipped = settle(
         melt(df, columns, [label])
         .join(F.broadcast(top), "feature")
         .select("feature", F.col(label).alias("label"), F.least("value", "top").alias("value"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from basketry import testbed as tb
 from basketry.operators import vectors
 from basketry.plans import churn, features
+from basketry.session import settle
 from catalog.common import EV_NOW, Catalog
 from catalog.warehouse_queries import fresh_folder
 
@@ -17,7 +18,7 @@ QUICK = churn.ChurnParams(trees=10, depth=4)
 
 
 def training_rows(spark, sf_dir):
-    return features.label_churn(tb.combined_features(spark, sf_dir))
+    return settle(features.label_churn(tb.combined_features(spark, sf_dir)))
 
 
 def trained(spark, sf_dir):
