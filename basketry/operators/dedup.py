@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.operators.keyed import first_per_key
@@ -16,10 +16,18 @@ def dedup_batch(df: DataFrame, key: str = "event_id", order_by: Sequence[str] =
 
 
 def dedup_stream(
-    df: DataFrame, key: str = "event_id", time: str = "event_timestamp", delay: str = "1 hour"
+    df: DataFrame, key: str = "event_id", time: str = "event_timestamp", delay: str = "1 hour",
+    spread: Column | None = None,
 ) -> DataFrame:
-    """One row per key while the watermark can still see a copy; state is dropped afterwards."""
-    return df.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
+    """One row per key while the watermark can still see a copy; state is dropped afterwards.
+
+    Copies of one key meet in one task. Where a key may be very hot, ``spread`` (any column expression with few
+    values, such as a remainder of the offset) removes copies per value first, so the last step sees few of them.
+    """
+    marked = df.withWatermark(time, delay)
+    if spread is not None:
+        marked = marked.withColumn("_spread", spread).dropDuplicatesWithinWatermark([key, "_spread"]).drop("_spread")
+    return marked.dropDuplicatesWithinWatermark([key])
 
 
 def duplicate_rows(df: DataFrame, key: str = "event_id") -> DataFrame:

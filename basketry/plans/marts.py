@@ -270,3 +270,12 @@ def product_analytics(raw_events: DataFrame) -> DataFrame:
         }
     )
 
+
+def customer_retention_report(stg_orders: DataFrame) -> DataFrame:
+    """The retention mart in reading order."""
+    return customer_retention(stg_orders).orderBy("cohort_month", "period_number")
+
+
+def product_analytics_report(raw_events: DataFrame) -> DataFrame:
+    """The product mart, most bought first."""
+    return product_analytics(raw_events).orderBy(F.desc("purchases"), "product_id")

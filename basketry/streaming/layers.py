@@ -88,16 +88,21 @@ def _write_batch(rows: DataFrame, path: str, batch_id: int, partitions: list[str
 def split_sinks(
     messages: DataFrame, base: str, checkpoint: str, *, dedup_delay: str = "24 hours",
     as_of: Moment | None = None, available_now: bool = False, every: str = "30 seconds",
+    spread: int = 8,
 ) -> list[StreamingQuery]:
     """Bronze, silver and dead letters from broker messages.
 
     Bronze holds every message as it came, copies included, so its query keeps no state. Silver and dead letters
     share one query, one deduplication state and one cached batch. Copies are recognised by arrival time: event
-    times may be missing or absurd and must not move the watermark.
+    times may be missing or absurd and must not move the watermark. ``spread`` is the number of tasks that share
+    the copies of one hot event id.
     """
     trigger = {"availableNow": True} if available_now else {"processingTime": every}
     parsed = parse_payload(messages, schemas.PAYLOAD)
-    unique = dedup_stream(silver_rows(parsed, as_of), time="broker_timestamp", delay=dedup_delay)
+    shares = F.pmod("offset", F.lit(spread)) if spread > 1 else None
+    unique = dedup_stream(
+        silver_rows(parsed, as_of), time="broker_timestamp", delay=dedup_delay, spread=shares
+    )
 
     def write(batch: DataFrame, batch_id: int) -> None:
         kept = batch.persist()

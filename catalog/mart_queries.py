@@ -218,7 +218,7 @@ SELECT {day_text('cohort')} AS cohort_month, {day_text('pm')} AS purchase_month,
        {exact_ratio('kept', 'size', 2, 100)} AS retention_rate_pct, size - kept AS churned_customers,
        {exact_ratio('(size - kept)', 'size', 2, 100)} AS churn_rate_pct FROM cr""")
 def _(spark, sf_dir):
-    return marts.customer_retention(orders(spark, sf_dir))
+    return marts.customer_retention_report(orders(spark, sf_dir))
 
 
 @add("customer_retention_table", f"""WITH {ORDERS_CTE}, {RETENTION_CTE}
@@ -290,7 +290,7 @@ SELECT *, {exact_ratio('cart_adds', 'views', 2, 100)} AS view_to_cart_rate,
        {exact_ratio('purchases', 'views', 2, 100)} AS overall_conversion_rate,
        {exact_ratio('refunds', 'purchases', 2, 100)} AS refund_rate FROM f""")
 def _(spark, sf_dir):
-    return marts.product_analytics(tb.raw_events(spark, sf_dir))
+    return marts.product_analytics_report(tb.raw_events(spark, sf_dir))
 
 
 @add("gold_revenue_by_region", f"""WITH {EVENTS_CTE}

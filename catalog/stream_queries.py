@@ -172,7 +172,7 @@ def _(spark, sf_dir):
     rows = tb.untidy_from(tb.event_stream(spark, sf_dir))
     finish(
         [
-            dedup_stream(rows, time="sent_at").writeStream.format("parquet").option("path", f"{folder}/out")
+            dedup_stream(rows, time="sent_at", spread=F.col("copy_no")).writeStream.format("parquet").option("path", f"{folder}/out")
             .option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
         ]
     )

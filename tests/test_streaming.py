@@ -3,6 +3,7 @@
 import json
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from basketry import schemas
@@ -71,10 +72,13 @@ def test_sliding_windows_and_zero_views(spark):
     assert (row.view_to_cart_rate, row.cart_to_purchase_rate, row.overall_conversion_rate) == (0, 0, 0)
 
 
-def test_dedup_stream_across_batches(spark, folder):
+@pytest.mark.parametrize("shares", [1, 3])
+def test_dedup_stream_across_batches(spark, folder, shares):
+    spread = F.pmod(F.minute("event_timestamp"), F.lit(shares)) if shares > 1 else None
+
     def run():
         stream = readers.read_layer_stream(spark, f"{folder}/in", EVENTS, max_files=1)
-        dedup_stream(stream, delay="1 hour").writeStream.format("parquet").option("path", f"{folder}/out").option(
+        dedup_stream(stream, delay="1 hour", spread=spread).writeStream.format("parquet").option("path", f"{folder}/out").option(
             "checkpointLocation", f"{folder}/cp").trigger(availableNow=True).start().awaitTermination()
 
     drop(spark, folder, event(1, 0), event(1, 0), event(2, 1))
