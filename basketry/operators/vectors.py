@@ -16,6 +16,7 @@ from basketry.functions import unit
 
 DIMENSIONS = 384
 QUERY_BYTES = 32 << 20
+SCORE_CELLS = 4_000_000
 
 
 def tickets_to_documents(tickets: DataFrame) -> DataFrame:
@@ -55,38 +56,38 @@ def _unit_rows(matrix: np.ndarray) -> np.ndarray:
     return np.divide(matrix, lengths, out=np.zeros_like(matrix), where=lengths > 0)
 
 
-def _block_top(ids, queries: np.ndarray, k: int, digits: int):
+def _block_top(ids: list, queries: np.ndarray, k: int, digits: int, cells: int):
     """A function from batches of (vec_id, vector) to the best ``k`` of its partition per query."""
+    step = max(1, cells // len(queries))
 
     def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kept = None
+        kept = pd.DataFrame({"query": [], "vec_id": [], "similarity": []})
         for batch in batches:
-            if batch.empty:
-                continue
-            matrix = _unit_rows(np.stack(batch["vector"].to_numpy()).astype("float64"))
-            sims = np.round(queries @ matrix.T, digits) + 0.0
-            found = pd.DataFrame(
-                {
-                    "query": np.repeat(np.arange(len(queries)), len(batch)),
-                    "vec_id": np.tile(batch["vec_id"].to_numpy(), len(queries)),
-                    "similarity": sims.ravel(),
-                }
-            )
-            # Only rows at least as good as a query's k-th best can matter; ties are settled by id below.
-            if len(batch) > k:
-                floor = np.partition(sims, len(batch) - k, axis=1)[:, len(batch) - k]
-                found = found[(sims >= floor[:, None]).ravel()]
-            kept = found if kept is None else pd.concat([kept, found])
-            kept = kept.sort_values(["query", "similarity", "vec_id"], ascending=[True, False, True])
-            kept = kept.groupby("query", sort=False).head(k)
-        if kept is not None:
+            for start in range(0, len(batch), step):
+                part = batch.iloc[start : start + step]
+                matrix = _unit_rows(np.stack(part["vector"].to_numpy()).astype("float64"))
+                sims = np.round(queries @ matrix.T, digits) + 0.0
+                hopeful = np.ones_like(sims, dtype=bool)
+                if len(part) > k:
+                    # Only vectors at least as near as a query's k-th nearest here can matter; ids settle ties below.
+                    edge = len(part) - k
+                    hopeful = sims >= np.partition(sims, edge, axis=1)[:, edge : edge + 1]
+                query, place = np.nonzero(hopeful)
+                found = pd.DataFrame(
+                    {"query": query, "vec_id": part["vec_id"].to_numpy()[place], "similarity": sims[query, place]}
+                )
+                kept = found if kept.empty else pd.concat([kept, found])
+                kept = kept.sort_values(["query", "similarity", "vec_id"], ascending=[True, False, True])
+                kept = kept.groupby("query", sort=False).head(k)
+        if not kept.empty:
             yield kept.assign(query_id=[ids[i] for i in kept["query"]])[["query_id", "vec_id", "similarity"]]
 
     return best
 
 
 def similarity_topk(
-    queries: DataFrame, vectors: DataFrame, k: int = 3, digits: int = 6, query_bytes: int = QUERY_BYTES
+    queries: DataFrame, vectors: DataFrame, k: int = 3, digits: int = 6, query_bytes: int = QUERY_BYTES,
+    score_cells: int = SCORE_CELLS,
 ) -> DataFrame:
     """The ``k`` nearest vectors by cosine for every query; ties by id, a zero vector has similarity 0.
 
@@ -94,6 +95,7 @@ def similarity_topk(
     against a block of queries as a matrix product and lets go of all but ``k`` per query, so the shuffle carries
     k rows per query and task, never all pairs. A block of queries travels with the tasks and is bounded by
     ``query_bytes``; more queries make more blocks (one pass over the vectors each), and the answer stays exact.
+    A task holds at most about ``score_cells`` scores at a time.
     """
     asked = queries.select("query_id", F.col("embedding").alias("vector"))
     shape = asked.agg(F.count("*"), F.max(F.size("vector"))).first()
@@ -110,7 +112,7 @@ def similarity_topk(
         if not rows:
             continue
         matrix = _unit_rows(np.array([r["vector"] for r in rows], dtype="float64"))
-        part = stored.mapInPandas(_block_top([r["query_id"] for r in rows], matrix, k, digits), out)
+        part = stored.mapInPandas(_block_top([r["query_id"] for r in rows], matrix, k, digits, score_cells), out)
         found = part if found is None else found.unionByName(part)
     if found is None:
         found = stored.limit(0).select(

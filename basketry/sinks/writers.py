@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry import schemas
 from basketry.functions import Moment, as_moment
+from basketry.operators.keyed import upsert
 from basketry.plans.warehouse import topic_of
+from basketry.session import settle
 
 
 def write_gold(df: DataFrame, path: str, run_date: str) -> None:
@@ -21,6 +25,31 @@ def write_gold(df: DataFrame, path: str, run_date: str) -> None:
     )
 
 
+def upsert_partitions(
+    updates: DataFrame, path: str, keys: Sequence[str], partition: str, update_cols: Sequence[str] | None = None,
+    most: int = 1000,
+) -> None:
+    """Upsert into a table stored by ``partition``, which is one of the keys.
+
+    Only the partitions the updates touch are read and rewritten. Beyond ``most`` of them the whole table is read,
+    which gives the same result. The merged rows are stored before the old ones are replaced.
+    """
+    if partition not in keys:
+        raise ValueError(f"{partition} must be one of the keys")
+    target = updates.sparkSession.read.parquet(path)
+    touched = [r[0] for r in updates.select(partition).distinct().limit(most + 1).collect()]
+    if len(touched) <= most:
+        target = target.filter(F.col(partition).isin(touched))
+    merged = settle(upsert(target, updates.select(*[c for c in target.columns if c in updates.columns]),
+                           keys, update_cols))
+    (
+        merged.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(partition)
+        .parquet(path)
+    )
+
+
 def to_topic_rows(events: DataFrame) -> DataFrame:
     """(key, value, topic) rows, ready for ``format("kafka")``: key customer, value the event as JSON."""
     return events.select(

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from basketry import testbed as tb
 from basketry.operators import cleaning, contract, dedup, quality
 from basketry.plans import marts, staging
-from basketry.sinks.writers import to_topic_rows
+from basketry.session import shared_folder
+from basketry.sinks.writers import append_dq_results, to_topic_rows
 from catalog.common import (
     EV_NOW, EVENTS_CTE, ORD_NOW, ORDERS_CTE, UNTIDY_CTE, Catalog, cents, day_text, exact_ratio, time_text,
 )
@@ -162,7 +165,9 @@ ORDER BY checked_at DESC, rule_name, table_name LIMIT 20""")
 def _(spark, sf_dir):
     from basketry.plans.serving import latest_dq_results
 
-    return latest_dq_results(rule_results(spark, sf_dir))
+    folder = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    append_dq_results(rule_results(spark, sf_dir), folder)
+    return latest_dq_results(spark.read.parquet(folder))
 
 
 NOT_NULL, TO_EXIST, IN_SET = (

@@ -231,11 +231,12 @@ def _(spark, sf_dir):
             "frequency", "max_purchase_value",
         )
 
-    orders = tb.fact_orders(spark, sf_dir)
-    return keyed.upsert(
-        store(orders.filter(F.col("event_timestamp") < TURN)), store(orders),
-        ["customer_id", "snapshot_date", "feature_set"], ["frequency"],
+    orders, folder = tb.fact_orders(spark, sf_dir), fresh_folder(spark)
+    store(orders.filter(F.col("event_timestamp") < TURN)).write.partitionBy("snapshot_date").parquet(folder)
+    writers.upsert_partitions(
+        store(orders), folder, ["customer_id", "snapshot_date", "feature_set"], "snapshot_date", ["frequency"]
     )
+    return spark.read.parquet(folder)
 
 
 # --- files and snapshots --------------------------------------------------------------------------------------

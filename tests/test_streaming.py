@@ -163,3 +163,27 @@ def test_ticket_file_and_tables(spark, folder):
     assert readers.read_json_array(spark, f"{folder}/t.json").count() == 2
     writers.materialize(spark.range(3), "a_view", "view")
     assert readers.read_table(spark, "a_view").count() == 3
+
+
+def test_partition_upsert_leaves_other_partitions_alone(spark, folder):
+    import os
+
+    path = f"{folder}/store"
+    ddl = "customer_id string, snapshot_date date, recency int, extra int"
+
+    def rows(*data):
+        return spark.createDataFrame([(c, datetime.fromisoformat(d).date(), r, e) for c, d, r, e in data], ddl)
+
+    rows(("a", "2024-01-01", 1, 1), ("a", "2024-01-02", 2, 2), ("b", "2024-01-02", 3, 3)).write.partitionBy(
+        "snapshot_date").parquet(path)
+    untouched = sorted(os.listdir(f"{path}/snapshot_date=2024-01-01"))
+    updates = rows(("a", "2024-01-02", 9, 9), ("c", "2024-01-02", 5, 5), ("d", "2024-01-03", 6, 6))
+    keys = ["customer_id", "snapshot_date"]
+    for most in (1000, 1, 1000):
+        writers.upsert_partitions(updates, path, keys, "snapshot_date", ["recency"], most=most)
+        got = sorted((r.customer_id, str(r.snapshot_date), r.recency, r.extra) for r in spark.read.parquet(path).collect())
+        assert got == [("a", "2024-01-01", 1, 1), ("a", "2024-01-02", 9, 2), ("b", "2024-01-02", 3, 3),
+                       ("c", "2024-01-02", 5, 5), ("d", "2024-01-03", 6, 6)]
+        if most == 1000 and untouched is not None:
+            assert sorted(os.listdir(f"{path}/snapshot_date=2024-01-01")) == untouched
+            untouched = None

@@ -33,6 +33,7 @@ def test_topk_with_ties_zero_vectors_and_many_blocks(spark):
     want = brute(q, v, 5)
     assert found(vectors.similarity_topk(asked, stored, 5)) == want
     assert found(vectors.similarity_topk(asked, stored, 5, query_bytes=64)) == want
+    assert found(vectors.similarity_topk(asked, stored, 5, score_cells=30)) == want
 
 
 def test_k_larger_than_the_table_and_no_queries(spark):
