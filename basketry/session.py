@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,3 +61,19 @@ SMALL_ROWS = 100_000
 def broadcast_if_small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
     """``df`` marked for broadcast when it has at most ``rows`` rows, else as it is (joined by shuffle)."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+@contextmanager
+def state_partitions(spark: SparkSession, number: int | None) -> Iterator[None]:
+    """Streams started inside keep their state in ``number`` partitions, for as long as their checkpoint lives.
+
+    Without a number the session's own setting holds.
+    """
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    try:
+        if number:
+            spark.conf.set(name, str(number))
+        yield
+    finally:
+        spark.conf.set(name, before)

@@ -11,6 +11,7 @@ from basketry.functions import Moment, event_calendar, parse_event_time
 from basketry.operators.cleaning import clean_stream, parse_payload, quality_flags
 from basketry.operators.dedup import dedup_stream
 from basketry.plans.warehouse import topic_of
+from basketry.session import state_partitions
 
 BRONZE_PARTITIONS = ["kafka_topic", "year", "month", "day"]
 SILVER_PARTITIONS = ["event_type", "year", "month", "day"]
@@ -88,7 +89,7 @@ def _write_batch(rows: DataFrame, path: str, batch_id: int, partitions: list[str
 def split_sinks(
     messages: DataFrame, base: str, checkpoint: str, *, dedup_delay: str = "24 hours",
     as_of: Moment | None = None, available_now: bool = False, every: str = "30 seconds",
-    spread: int = 8,
+    spread: int = 8, partitions: int | None = None,
 ) -> list[StreamingQuery]:
     """Bronze, silver and dead letters from broker messages.
 
@@ -107,16 +108,20 @@ def split_sinks(
     def write(batch: DataFrame, batch_id: int) -> None:
         kept = batch.persist()
         try:
+            # The count runs every partition, so the state of a batch without rows is committed as well.
+            if kept.count() == 0:
+                return
             good = F.col("dq_passed")
             _write_batch(kept.filter(good), f"{base}/silver", batch_id, SILVER_PARTITIONS)
             _write_batch(kept.filter(~good), f"{base}/dlq", batch_id, [])
         finally:
             kept.unpersist()
 
-    checked = (
-        unique.writeStream.foreachBatch(write)
-        .option("checkpointLocation", f"{checkpoint}/checked")
-        .trigger(**trigger)
-        .start()
-    )
+    with state_partitions(messages.sparkSession, partitions):
+        checked = (
+            unique.writeStream.foreachBatch(write)
+            .option("checkpointLocation", f"{checkpoint}/checked")
+            .trigger(**trigger)
+            .start()
+        )
     return [write_bronze(parsed, f"{base}/bronze", f"{checkpoint}/bronze", available_now=available_now), checked]

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from basketry.functions import count_when
+from basketry.session import state_partitions
 
 TIME = "event_timestamp"
 
@@ -145,18 +146,19 @@ METRICS = {
 
 def run_aggregations(
     silver: DataFrame, output: str, checkpoints: str, *, available_now: bool = False,
-    metrics: dict = METRICS,
+    metrics: dict = METRICS, partitions: int | None = None,
 ) -> list[StreamingQuery]:
     """One query per metric over a streaming silver table, appending finished windows to Parquet."""
     trigger = {"availableNow": True} if available_now else {"processingTime": "1 minute"}
-    return [
-        metric(silver)
-        .writeStream.queryName(name)
-        .format("parquet")
-        .option("path", f"{output}/{name}")
-        .option("checkpointLocation", f"{checkpoints}/{name}")
-        .outputMode("append")
-        .trigger(**trigger)
-        .start()
-        for name, metric in metrics.items()
-    ]
+    with state_partitions(silver.sparkSession, partitions):
+        return [
+            metric(silver)
+            .writeStream.queryName(name)
+            .format("parquet")
+            .option("path", f"{output}/{name}")
+            .option("checkpointLocation", f"{checkpoints}/{name}")
+            .outputMode("append")
+            .trigger(**trigger)
+            .start()
+            for name, metric in metrics.items()
+        ]

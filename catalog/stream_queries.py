@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from basketry import testbed as tb
+from basketry.session import state_partitions
 from basketry.sources import readers
 from basketry.streaming import layers, windows
 from catalog.common import EV_NOW, EVENTS_CTE, Catalog, cents, exact_ratio, time_text
@@ -73,6 +74,12 @@ METRICS = {
 }
 
 
+def state_size(spark, sf_dir) -> int:
+    """State partitions that grow with the source: twice its scan tasks, at least 8, at most the session's setting."""
+    scans = tb.table(spark, sf_dir, "events").rdd.getNumPartitions()
+    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), max(8, 2 * scans))
+
+
 def finish(queries) -> None:
     for query in queries:
         query.awaitTermination()
@@ -93,7 +100,7 @@ def _register(name, metric, sql, minutes, hours):
         finish(
             windows.run_aggregations(
                 tb.event_stream(spark, sf_dir), f"{folder}/out", f"{folder}/checkpoint", available_now=True,
-                metrics={name: metric},
+                metrics={name: metric}, partitions=state_size(spark, sf_dir),
             )
         )
         return _shown(spark.read.parquet(f"{folder}/out/{name}"), name)
@@ -109,7 +116,8 @@ def layered(spark, sf_dir) -> str:
     messages = tb.messages_from(tb.untidy_from(tb.event_stream(spark, sf_dir)))
     finish(
         layers.split_sinks(
-            messages, folder, f"{folder}/checkpoint", as_of="2024-01-30 00:00:00", available_now=True
+            messages, folder, f"{folder}/checkpoint", as_of="2024-01-30 00:00:00", available_now=True,
+            partitions=state_size(spark, sf_dir),
         )
     )
     return folder
@@ -170,10 +178,12 @@ def _(spark, sf_dir):
 
     folder = fresh_folder(spark)
     rows = tb.untidy_from(tb.event_stream(spark, sf_dir))
-    finish(
-        [
-            dedup_stream(rows, time="sent_at", spread=F.col("copy_no")).writeStream.format("parquet").option("path", f"{folder}/out")
-            .option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
-        ]
-    )
+    unique = dedup_stream(rows, time="sent_at", spread=F.col("copy_no"))
+    with state_partitions(spark, state_size(spark, sf_dir)):
+        finish(
+            [
+                unique.writeStream.format("parquet").option("path", f"{folder}/out")
+                .option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
+            ]
+        )
     return spark.read.parquet(f"{folder}/out").select("event_id", "session_id", "product_id")
