@@ -64,16 +64,20 @@ def broadcast_if_small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
 
 
 @contextmanager
-def state_partitions(spark: SparkSession, number: int | None) -> Iterator[None]:
-    """Streams started inside keep their state in ``number`` partitions, for as long as their checkpoint lives.
-
-    Without a number the session's own setting holds.
-    """
-    name = "spark.sql.shuffle.partitions"
+def setting(spark: SparkSession, name: str, value: str | None) -> Iterator[None]:
+    """A session setting changed for the duration of the block; ``None`` leaves it alone."""
     before = spark.conf.get(name)
     try:
-        if number:
-            spark.conf.set(name, str(number))
+        if value is not None:
+            spark.conf.set(name, value)
         yield
     finally:
         spark.conf.set(name, before)
+
+
+def state_partitions(spark: SparkSession, number: int | None):
+    """Streams started inside keep their state in ``number`` partitions, for as long as their checkpoint lives.
+
+    Without a number the session's own setting holds.
+    """
+    return setting(spark, "spark.sql.shuffle.partitions", str(number) if number else None)

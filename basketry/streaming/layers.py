@@ -11,7 +11,7 @@ from basketry.functions import Moment, event_calendar, parse_event_time
 from basketry.operators.cleaning import clean_stream, parse_payload, quality_flags
 from basketry.operators.dedup import dedup_stream
 from basketry.plans.warehouse import topic_of
-from basketry.session import state_partitions
+from basketry.session import setting, state_partitions
 
 BRONZE_PARTITIONS = ["kafka_topic", "year", "month", "day"]
 SILVER_PARTITIONS = ["event_type", "year", "month", "day"]
@@ -112,8 +112,10 @@ def split_sinks(
             if kept.count() == 0:
                 return
             good = F.col("dq_passed")
-            _write_batch(kept.filter(good), f"{base}/silver", batch_id, SILVER_PARTITIONS)
-            _write_batch(kept.filter(~good), f"{base}/dlq", batch_id, [])
+            # A stream plans without adaptive execution; these writes are plain batches and gain from it.
+            with setting(batch.sparkSession, "spark.sql.adaptive.enabled", "true"):
+                _write_batch(kept.filter(good), f"{base}/silver", batch_id, SILVER_PARTITIONS)
+                _write_batch(kept.filter(~good), f"{base}/dlq", batch_id, [])
         finally:
             kept.unpersist()
 
