@@ -19,14 +19,6 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] =
     return kept.select(*[F.col(c) if c in keys else F.col(f"_first.{c}").alias(c) for c in df.columns])
 
 
-def last_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """One row per key, the largest by ``order_by`` and then by the whole row."""
-    rest = [c for c in df.columns if c not in keys]
-    ordered = list(order_by) + [c for c in rest if c not in order_by]
-    kept = df.groupBy(*keys).agg(F.max(F.struct(*ordered)).alias("_last"))
-    return kept.select(*[F.col(c) if c in keys else F.col(f"_last.{c}").alias(c) for c in df.columns])
-
-
 def upsert(
     target: DataFrame, updates: DataFrame, keys: Sequence[str], update_cols: Sequence[str] | None = None
 ) -> DataFrame:

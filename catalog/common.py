@@ -75,10 +75,6 @@ def cents(x: str) -> str:
     return f"CAST(({x}) * 100 AS BIGINT)"
 
 
-def from_cents(x: str) -> str:
-    return f"(({x})::DOUBLE / 100.0)"
-
-
 def pick_sql(labels: list[str], number: str) -> str:
     names = ", ".join(f"'{x}'" for x in labels)
     return f"([{names}])[(({number}) % {len(labels)}) + 1]"

@@ -6,7 +6,7 @@ from basketry import testbed as tb
 from basketry.plans import gold, marts, staging, warehouse
 from catalog.common import (
     EV_DAY, EV_NOW, EV_START, EVENTS_CTE, ORD_DAY, ORD_NOW, ORDERS_CTE, Catalog, cents, day_text, exact_ratio,
-    from_cents, time_text,
+    time_text,
 )
 
 CATALOG = Catalog()

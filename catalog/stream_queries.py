@@ -8,7 +8,7 @@ from basketry import testbed as tb
 from basketry.session import state_partitions
 from basketry.sources import readers
 from basketry.streaming import layers, windows
-from catalog.common import EV_NOW, EVENTS_CTE, Catalog, cents, exact_ratio, time_text
+from catalog.common import EVENTS_CTE, Catalog, cents, exact_ratio, time_text
 from catalog.quality_queries import DIRTY_CTE, FLAGS_SQL
 from catalog.warehouse_queries import fresh_folder
 

@@ -14,7 +14,7 @@ from basketry.session import shared_folder
 from basketry.sinks import writers
 from basketry.sources import readers
 from catalog.common import (
-    EV_DAY, EV_NOW, EVENTS_CTE, ORD_NOW, ORDERS_CTE, Catalog, cents, day_text, exact_ratio, time_text,
+    EV_DAY, EVENTS_CTE, ORD_NOW, ORDERS_CTE, Catalog, cents, day_text, exact_ratio, time_text,
 )
 from catalog.mart_queries import DIM_CTE, dim_customer
 
