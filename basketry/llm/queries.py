@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from basketry.llm import quality_classifier, quality_rules, simhash
+from basketry.llm import bpe, quality_classifier, quality_rules, simhash, sketches, substring_dedup, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,6 +27,54 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op2_url_filter", """
+WITH u AS (
+  SELECT page_id, coalesce(url, '') AS url, strpos(coalesce(url, ''), '://') AS p FROM pages),
+r AS (SELECT page_id, CASE WHEN p > 0 THEN substr(url, p + 3) ELSE '' END AS rest FROM u),
+h AS (SELECT page_id, regexp_extract(rest, '^([^/?#]*)', 1) AS raw, rest FROM r),
+k AS (
+  SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(substr(rest, length(raw) + 1), '^([^?#]*)', 1) AS path FROM h),
+rules(rhost, rpath, rule, verdict) AS (
+  VALUES ('net', '/', 'net/', 'block'), ('example.net', '/en/', 'example.net/en/', 'allow'),
+         ('example.com', '/de/', 'example.com/de/', 'block'), ('org', '/fr', 'org/fr', 'allow')),
+j AS (
+  SELECT k.page_id, k.host, k.path, rule, verdict,
+         row_number() OVER (PARTITION BY k.page_id ORDER BY length(rule) DESC NULLS LAST) AS place
+  FROM k LEFT JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath))
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM j WHERE place = 1
+""")
+def op2(spark, sf_dir):
+    rules = spark.sql(
+        "SELECT * FROM VALUES ('net', '', 'block'), ('example.net', 'en/', 'allow'), ('example.com', 'de/', 'block'),"
+        " ('org', 'fr', 'allow') AS rules(host, path, verdict)")
+    return url_filter.judge(table(spark, sf_dir, "pages"), rules)
+
+
+OP3_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (
+  SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)),
+late AS (
+  SELECT doc_id, i FROM (SELECT *, min(doc_id) OVER (PARTITION BY h) AS least FROM win) WHERE doc_id > least),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS j FROM late),
+word AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS j FROM d),
+kept AS (
+  SELECT doc_id, string_agg(x, ' ' ORDER BY j) AS text, count(*) AS n
+  FROM word ANTI JOIN gone USING (doc_id, j) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)"""
+
+
+@query("op3_substring_dedup", OP3_SQL)
+def op3(spark, sf_dir):
+    rows = substring_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op5_quality_classifier")
 def op5(spark, sf_dir):
     return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -36,6 +85,36 @@ def op6(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op7_bpe")
+def op7(spark, sf_dir):
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokens = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    return tokens.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op8_warc", """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS digest FROM pages),
+t AS (SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY digest) ELSE page_id END AS target FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN target = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN target <> page_id THEN target END AS refers_to
+FROM t""")
+def op8(spark, sf_dir):
+    rows = warc.round_trip(table(spark, sf_dir, "pages"))
+    return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op9_sketches")
+def op9(spark, sf_dir):
+    return sketches.compare_edits(table(spark, sf_dir, "documents"))
+
+
 WORDS = r"[^\x20\x09-\x0D]+"
 OP10_SQL = f"""
 WITH d AS (
