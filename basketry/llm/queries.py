@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import bpe, packing, quality_classifier, quality_rules, simhash, sketches, substring_dedup, url_filter, warc
+from basketry.llm import (
+    bpe, packing, pii, quality_classifier, quality_rules, simhash, sketches, substring_dedup, url_filter, warc,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -84,6 +86,12 @@ def op3(spark, sf_dir):
     return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query("op4_pii")
+def op4(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    return pii.scan(documents, pii.train(documents)).withColumn("base_sha256", F.sha2("base_spans", 256)).drop("base_spans")
+
+
 @query("op5_quality_classifier")
 def op5(spark, sf_dir):
     return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -165,8 +165,10 @@ def cut(text: bytes, cuts: bytes | None) -> tuple[int, int, bytes]:
 
 def remove_repeats(
     documents: DataFrame, width: int = 50, id_column: str = "doc_id", text_column: str = "text",
+    names: tuple[str, str, str] = ("n_words", "n_removed", "kept"),
 ) -> DataFrame:
-    """``documents`` with ``n_words``, ``n_removed`` (long) and ``kept``: each text without its repeated words.
+    """``documents`` with ``names``, by default ``n_words``, ``n_removed`` (long) and ``kept``: each text without its
+    repeated words.
 
     A word goes if it lies in a window of ``width`` words that also starts in a document with a smaller id; windows
     are judged on the input. A null text has no words; a null id counts as larger than any other; rows of one id are
@@ -179,7 +181,7 @@ def remove_repeats(
     cuts = stored(repeated_words(own, width), "repeats")
     cuts = cuts.groupBy("doc_id", "text_key").agg(F.first("cuts").alias("__cuts"))
     cuts = cuts.withColumnsRenamed({"doc_id": "__id", "text_key": "__key"})
-    rest = [c for c in documents.columns if c not in ("n_words", "n_removed", "kept")]
+    rest = [c for c in documents.columns if c not in names]
     rows = documents.select(*[F.col(f"`{c}`") for c in rest]).withColumn("__text", text)
     same = F.col("__id").eqNullSafe(F.col(f"`{id_column}`").cast("long")) & (F.col("__key") == F.xxhash64("__text"))
     rows = rows.join(cuts, same, "left").drop("__id", "__key")
@@ -189,10 +191,10 @@ def remove_repeats(
             texts = piece.column("__text").cast(pa.binary()).to_pylist()
             found = [cut(t, c) for t, c in zip(texts, piece.column("__cuts").to_pylist())]
             n, gone, kept = zip(*found)
-            columns = [piece.column(c) for c in rest]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())],
-                names=[*rest, "n_words", "n_removed", "kept"])
+            new = [pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())]
+            yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in rest), *new], names=[*rest, *names])
 
-    out = T.StructType([documents.schema[c] for c in rest]).add("n_words", "long").add("n_removed", "long")
-    return rows.mapInArrow(run, out.add("kept", "string"))
+    out = T.StructType([documents.schema[c] for c in rest])
+    for name, kind in zip(names, ("long", "long", "string")):
+        out = out.add(name, kind)
+    return rows.mapInArrow(run, out)
