@@ -25,7 +25,7 @@ from basketry.llm.common import by_key, groups_of, partitions, pieces, record_ba
 #: Words that a task hashes before it sends them; a longer document goes alone.
 CHUNK_WORDS = 2_000_000
 #: Bytes of text whose windows one bucket takes up.
-BUCKET_BYTES = 16_000_000
+BUCKET_BYTES = 8_000_000
 #: Stands for a null id: larger than any other.
 LAST = np.iinfo(np.int64).max
 
@@ -64,7 +64,7 @@ def repeated_words(documents: DataFrame, width: int) -> DataFrame:
     """
     size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_buckets = max(partitions(documents.sparkSession), -(-size // BUCKET_BYTES))
-    kind = "u1" if n_buckets <= 100 else "<u2"
+    kind = "u1" if n_buckets <= 200 else "<u2"
 
     def send(batches):
         from pyspark import TaskContext
@@ -182,13 +182,14 @@ def remove_repeats(
     cuts = cuts.groupBy("doc_id", "text_key").agg(F.first("cuts").alias("__cuts"))
     cuts = cuts.withColumnsRenamed({"doc_id": "__id", "text_key": "__key"})
     rest = [c for c in documents.columns if c not in names]
-    rows = documents.select(*[F.col(f"`{c}`") for c in rest]).withColumn("__text", text)
-    same = F.col("__id").eqNullSafe(F.col(f"`{id_column}`").cast("long")) & (F.col("__key") == F.xxhash64("__text"))
-    rows = rows.join(cuts, same, "left").drop("__id", "__key")
+    rows = documents.select(*[F.col(f"`{c}`") for c in rest])
+    same = F.col("__id").eqNullSafe(F.col(f"`{id_column}`").cast("long")) & (F.col("__key") == F.xxhash64(text))
+    # The cuts grow with the documents, so they are merged at every size, never broadcast.
+    rows = rows.join(cuts.hint("merge"), same, "left").drop("__id", "__key")
 
     def run(batches):
-        for piece in pieces(batches, "__text"):
-            texts = piece.column("__text").cast(pa.binary()).to_pylist()
+        for piece in pieces(batches, text_column):
+            texts = piece.column(text_column).fill_null("").cast(pa.binary()).to_pylist()
             found = [cut(t, c) for t, c in zip(texts, piece.column("__cuts").to_pylist())]
             n, gone, kept = zip(*found)
             new = [pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())]
