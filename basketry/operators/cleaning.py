@@ -78,12 +78,15 @@ REQUIRED = ("customer_id", "event_type", "timestamp")
 
 
 def clean_batch(events: DataFrame, processed_at: Moment) -> DataFrame:
-    """Backfill cleaning: incomplete rows out, one row per event id, normalised text, dated, unsigned amounts."""
-    complete = events.dropna(subset=list(REQUIRED))
-    unique = dedup_batch(complete, "event_id", ["timestamp"])
+    """Backfill cleaning: incomplete and undated rows out, then one row per event id (the earliest), normalised text,
+    unsigned amounts. Times are parsed before copies are compared, so a broken copy never displaces a good one. Rows
+    without an id are no copies of each other and stay.
+    """
     moment = F.col("event_timestamp")
+    complete = events.dropna(subset=list(REQUIRED))
+    dated = complete.withColumn("event_timestamp", parse_event_time(F.col("timestamp"))).filter(moment.isNotNull())
+    unique = dedup_batch(dated, "event_id", ["event_timestamp", "timestamp"])
     named = {
-        "event_timestamp": parse_event_time(F.col("timestamp")),
         "customer_id": _tidy("customer_id"),
         "event_type": _tidy("event_type"),
         "device": canonical_device(F.col("device")),
@@ -92,7 +95,6 @@ def clean_batch(events: DataFrame, processed_at: Moment) -> DataFrame:
     unsigned = {c: F.abs(c) for c in UNSIGNED if c in events.columns}
     return (
         unique.withColumns({**named, **unsigned})
-        .filter(moment.isNotNull())
         .withColumns(
             {
                 "event_date": F.to_date(moment),
@@ -108,7 +110,11 @@ def clean_batch(events: DataFrame, processed_at: Moment) -> DataFrame:
 
 
 def cleaning_report(events: DataFrame) -> DataFrame:
-    """Rows in, out and removed by reason for ``clean_batch``, from one grouped pass over the input."""
+    """Rows in, out and removed by reason for ``clean_batch``, from one grouped pass over the input.
+
+    An id none of whose complete rows has a time is undated once, its further rows are copies. Rows without an id count
+    one by one.
+    """
     complete = F.lit(True)
     for c in REQUIRED:
         complete = complete & F.col(c).isNotNull()
@@ -119,17 +125,19 @@ def cleaning_report(events: DataFrame) -> DataFrame:
         .agg(
             F.count("*").alias("n"),
             F.count_if("_complete").alias("complete"),
-            F.min(F.when(F.col("_complete"), F.struct(F.col("timestamp"), dated.alias("dated")))).alias("first"),
+            F.count_if(F.col("_complete") & dated).alias("dated"),
         )
     )
-    kept = F.coalesce(F.col("first.dated"), F.lit(False))
+    named, some = F.col("event_id").isNotNull(), F.col("complete") > 0
+    kept = F.when(named, (F.col("dated") > 0).cast("long")).otherwise(F.col("dated"))
+    undated = F.when(named, (some & (F.col("dated") == 0)).cast("long")).otherwise(F.col("complete") - F.col("dated"))
     zero = lambda c: F.coalesce(c, F.lit(0))
     return per_id.agg(
         zero(F.sum("n")).alias("rows_in"),
         zero(F.sum(F.col("n") - F.col("complete"))).alias("incomplete"),
-        zero(F.sum(F.greatest(F.col("complete") - 1, F.lit(0)))).alias("copies"),
-        F.count_if((F.col("complete") > 0) & ~kept).alias("undated"),
-        F.count_if(kept).alias("rows_out"),
+        zero(F.sum(F.when(named, F.greatest(F.col("complete") - 1, F.lit(0))))).alias("copies"),
+        zero(F.sum(undated)).alias("undated"),
+        zero(F.sum(kept)).alias("rows_out"),
     ).withColumns(
         {"removed": F.col("rows_in") - F.col("rows_out"), "is_empty": F.col("rows_out") == 0}
     )

@@ -7,28 +7,39 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.operators.keyed import first_per_key
+from basketry.operators.keyed import first_of_known_keys
 from basketry.session import broadcast_if_small, settle
 
 
 def dedup_batch(df: DataFrame, key: str = "event_id", order_by: Sequence[str] = ("event_timestamp",)) -> DataFrame:
-    """First row per key. Copies collapse before the shuffle, so a hot key stays cheap."""
-    return first_per_key(df, [key], list(order_by))
+    """First row per key, undated rows last. Copies collapse before the shuffle, so a hot key stays cheap.
+
+    Rows without a key are no copies of each other: all of them stay.
+    """
+    return first_of_known_keys(df, [key], list(order_by))
 
 
 def dedup_stream(
-    df: DataFrame, key: str = "event_id", time: str = "event_timestamp", delay: str = "1 hour",
+    df: DataFrame, key: str | Column = "event_id", time: str | None = "event_timestamp", delay: str = "1 hour",
     spread: Column | None = None,
 ) -> DataFrame:
-    """One row per key while the watermark can still see a copy; state is dropped afterwards.
+    """One row per key while a copy may still come; state is dropped ``delay`` after the key was seen.
+
+    Rows whose key is null are no copies of each other: all of them stay. ``time`` is the column whose watermark tells
+    how far the stream is; rows older than the watermark are late and left out. With ``time=None`` the moment at which
+    the engine takes a row up counts instead: then no row is ever late, in whatever order old data arrives.
 
     Copies of one key meet in one task. Where a key may be very hot, ``spread`` (any column expression with few
     values, such as a remainder of the offset) removes copies per value first, so the last step sees few of them.
     """
-    marked = df.withWatermark(time, delay)
+    named = F.col(key) if isinstance(key, str) else key
+    marked = df.withColumn("_key", F.coalesce(named.cast("string"), F.concat(F.lit("no key "), F.expr("uuid()"))))
+    if time is None:
+        marked, time = marked.withColumn("_taken", F.current_timestamp()), "_taken"
+    marked = marked.withWatermark(time, delay)
     if spread is not None:
-        marked = marked.withColumn("_spread", spread).dropDuplicatesWithinWatermark([key, "_spread"]).drop("_spread")
-    return marked.dropDuplicatesWithinWatermark([key])
+        marked = marked.withColumn("_spread", spread).dropDuplicatesWithinWatermark(["_key", "_spread"]).drop("_spread")
+    return marked.dropDuplicatesWithinWatermark(["_key"]).drop("_key", "_taken")
 
 
 def duplicate_rows(df: DataFrame, key: str = "event_id") -> DataFrame:

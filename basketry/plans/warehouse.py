@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from basketry import schemas
 from basketry.functions import Moment, as_moment, count_when, money
 from basketry.operators.keyed import first_per_key
 from basketry.session import broadcast_if_small
@@ -100,8 +101,12 @@ def dim_product(events: DataFrame) -> DataFrame:
     )
 
 
-def fact_orders(events: DataFrame) -> DataFrame:
-    """Purchases with order and customer id, defaults filled, one row per order."""
+def fact_orders(events: DataFrame, loaded_at: Moment | None = None) -> DataFrame:
+    """Purchases with order and customer id, defaults filled, one row per order, in the shape of the stored table.
+
+    ``loaded_at`` is the time of the load, now if not given.
+    """
+    now = F.current_timestamp() if loaded_at is None else as_moment(loaded_at)
     zero = lambda c, p: F.coalesce(F.col(c), F.lit(0)).cast(f"decimal({p},2)").alias(c)
     rows = events.filter(
         (F.col("event_type") == "PURCHASE") & F.col("order_id").isNotNull() & F.col("customer_id").isNotNull()
@@ -113,15 +118,18 @@ def fact_orders(events: DataFrame) -> DataFrame:
         F.to_date("event_timestamp").alias("event_date"),
         zero("total_amount", 15),
         zero("discount_amount", 12),
+        (zero("tax_amount", 12) if "tax_amount" in events.columns else F.lit(0).cast("decimal(12,2)").alias("tax_amount")),
         F.coalesce("payment_method", F.lit("unknown")).alias("payment_method"),
         F.coalesce(F.nullif(F.col("items_count"), F.lit(0)), F.lit(1)).alias("items_count"),
         F.coalesce("region", F.lit("Unknown")).alias("region"),
         F.coalesce("device", F.lit("Unknown")).alias("device"),
+        (F.col("delivery_type") if "delivery_type" in events.columns else F.lit(None).cast("string").alias("delivery_type")),
+        now.alias("created_at"),
     )
-    return (
+    return schemas.shaped(
         first_per_key(rows, ["order_id"], ["event_timestamp", "event_id"])
-        .drop("event_id")
-        .withColumn("net_amount", (F.col("total_amount") - F.col("discount_amount")).cast("decimal(15,2)"))
+        .withColumn("net_amount", F.col("total_amount") - F.col("discount_amount")),
+        schemas.FACT_ORDERS,
     )
 
 

@@ -88,6 +88,15 @@ TICKETS = (
 MESSAGE = "key string, value string, topic string, partition int, offset bigint, timestamp timestamp"
 
 
+def shaped(df, ddl: str):
+    """``df`` with exactly the columns and types of ``ddl``; columns it lacks are null."""
+    from pyspark.sql import functions as F
+
+    return df.select(*[
+        (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in struct(ddl).fields
+    ])
+
+
 def struct(ddl: str) -> T.StructType:
     """The parsed schema (needs a running session)."""
     return T.StructType.fromDDL(ddl)

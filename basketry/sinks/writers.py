@@ -11,6 +11,7 @@ from basketry import schemas
 from basketry.functions import Moment, as_moment
 from basketry.operators.keyed import upsert
 from basketry.plans.warehouse import topic_of
+from basketry.schemas import shaped
 from basketry.session import settle
 
 
@@ -27,21 +28,23 @@ def write_gold(df: DataFrame, path: str, run_date: str) -> None:
 
 def upsert_partitions(
     updates: DataFrame, path: str, keys: Sequence[str], partition: str, update_cols: Sequence[str] | None = None,
-    most: int = 1000,
+    order_by: Sequence[str] = (),
 ) -> None:
     """Upsert into a table stored by ``partition``, which is one of the keys.
 
-    Only the partitions the updates touch are read and rewritten. Beyond ``most`` of them the whole table is read,
-    which gives the same result. The merged rows are stored before the old ones are replaced.
+    Only the partitions the updates touch are read and rewritten; the null partition is one of them if an update has
+    no partition value, and its stored rows stay. The merged rows are stored before the old ones are replaced.
     """
     if partition not in keys:
         raise ValueError(f"{partition} must be one of the keys")
     target = updates.sparkSession.read.parquet(path)
-    touched = [r[0] for r in updates.select(partition).distinct().limit(most + 1).collect()]
-    if len(touched) <= most:
-        target = target.filter(F.col(partition).isin(touched))
-    merged = settle(upsert(target, updates.select(*[c for c in target.columns if c in updates.columns]),
-                           keys, update_cols))
+    touched = updates.select(F.col(partition).cast(target.schema[partition].dataType).alias("_touched")).distinct()
+    touched = settle(touched)
+    known = target.join(touched, F.col(partition) == F.col("_touched"), "left_semi")
+    if not touched.filter("_touched IS NULL").isEmpty():
+        known = known.unionByName(target.filter(F.col(partition).isNull()))
+    merged = settle(upsert(known, updates.select(*[c for c in target.columns if c in updates.columns]),
+                           keys, update_cols, order_by))
     (
         merged.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -69,17 +72,8 @@ def materialize(df: DataFrame, name: str, kind: str = "table") -> None:
         raise ValueError(f"unknown materialization {kind}")
 
 
-def _shaped(df: DataFrame, ddl: str) -> DataFrame:
-    return df.select(
-        *[
-            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in schemas.struct(ddl).fields
-        ]
-    )
-
-
 def append_dq_results(results: DataFrame, path: str) -> None:
-    _shaped(results, schemas.QUALITY_RESULTS).write.mode("append").parquet(path)
+    shaped(results, schemas.QUALITY_RESULTS).write.mode("append").parquet(path)
 
 
 def run_log_row(
@@ -95,8 +89,8 @@ def run_log_row(
         (F.unix_seconds(end) - F.unix_seconds(start)).alias("duration_seconds"),
         start.alias("started_at"), end.alias("completed_at"),
     )
-    return _shaped(row, schemas.RUN_LOG)
+    return shaped(row, schemas.RUN_LOG)
 
 
 def append_run_log(row: DataFrame, path: str) -> None:
-    _shaped(row, schemas.RUN_LOG).write.mode("append").parquet(path)
+    shaped(row, schemas.RUN_LOG).write.mode("append").parquet(path)

@@ -91,18 +91,22 @@ def split_sinks(
     as_of: Moment | None = None, available_now: bool = False, every: str = "30 seconds",
     spread: int = 8, partitions: int | None = None,
 ) -> list[StreamingQuery]:
-    """Bronze, silver and dead letters from broker messages.
+    """Bronze, silver and dead letters from broker messages. Every message ends in silver, in dead letters, or is a copy.
 
     Bronze holds every message as it came, copies included, so its query keeps no state. Silver and dead letters
-    share one query, one deduplication state and one cached batch. Copies are recognised by arrival time: event
-    times may be missing or absurd and must not move the watermark. ``spread`` is the number of tasks that share
-    the copies of one hot event id.
+    share one query, one deduplication state and one cached batch. A passing event with an id is a copy if the same id
+    passed within ``dedup_delay`` before, by the engine's own clock: event and broker times may be missing, absurd or,
+    in a replay, out of order, and no row is too late. Failing events and events without an id are compared by their
+    place in the broker only, so a bad copy never hides a good one. ``spread`` is the number of tasks that share the
+    copies of one hot event id.
     """
     trigger = {"availableNow": True} if available_now else {"processingTime": every}
     parsed = parse_payload(messages, schemas.PAYLOAD)
     shares = F.pmod("offset", F.lit(spread)) if spread > 1 else None
+    event = F.when(F.col("dq_passed"), F.concat(F.lit("event "), F.col("event_id")))
+    message = F.concat(F.lit("message "), F.concat_ws(":", "topic", "partition"), F.lit(":"), F.col("offset"))
     unique = dedup_stream(
-        silver_rows(parsed, as_of), time="broker_timestamp", delay=dedup_delay, spread=shares
+        silver_rows(parsed, as_of), F.coalesce(event, message), time=None, delay=dedup_delay, spread=shares
     )
 
     def write(batch: DataFrame, batch_id: int) -> None:

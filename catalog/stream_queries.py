@@ -154,6 +154,65 @@ def _(spark, sf_dir):
     return bronze.groupBy("year", "month", "day").agg(F.count("*").alias("messages"))
 
 
+ARRIVALS = f"""{DIRTY_CTE}, {FLAGS_SQL},
+arrived AS (SELECT flags.*, e.event_timestamp AS sent, {PASSED} AS good FROM flags JOIN ev e USING (event_id))"""
+
+
+def _accounts(spark, folder):
+    """Per day of arrival: messages in bronze, silver and dead letters, and the copies, which are what is left."""
+    layer = lambda name: spark.read.parquet(f"{folder}/{name}").select(
+        F.date_format("broker_timestamp", "yyyy-MM-dd").alias("day"), F.lit(name).alias("layer"))
+    rows = layer("bronze").union(layer("silver")).union(layer("dlq"))
+    counts = [F.count_if(F.col("layer") == n).alias(n) for n in ("bronze", "silver", "dlq")]
+    return rows.groupBy("day").agg(*counts).withColumn("copies", F.col("bronze") - F.col("silver") - F.col("dlq"))
+
+
+@add("stream_accounting", f"""WITH {ARRIVALS}
+SELECT strftime(sent, '%Y-%m-%d') AS day, count(*) AS bronze, count(DISTINCT event_id) FILTER (good) AS silver,
+       count(DISTINCT event_id) FILTER (NOT good) AS dlq,
+       count(*) - count(DISTINCT event_id) FILTER (good) - count(DISTINCT event_id) FILTER (NOT good) AS copies
+FROM arrived GROUP BY 1""")
+def _(spark, sf_dir):
+    return _accounts(spark, layered(spark, sf_dir))
+
+
+REPLAYED = f"""WITH {ARRIVALS},
+r AS (
+  SELECT sent, n, copy_no, event_id,
+         CASE WHEN n % 83 = 0 THEN FALSE WHEN n % 7 = 0 AND copy_no = 1 THEN FALSE ELSE good END AS good,
+         n % 83 = 0 AS broken, n % 89 = 0 AS no_id FROM arrived)
+SELECT strftime(sent, '%Y-%m-%d') AS day, count(*) AS bronze,
+       count(*) FILTER (good AND no_id) + count(DISTINCT event_id) FILTER (good AND NOT no_id) AS silver,
+       count(*) FILTER (NOT good) AS dlq,
+       count(*) FILTER (good AND NOT no_id) - count(DISTINCT event_id) FILTER (good AND NOT no_id) AS copies
+FROM r GROUP BY 1"""
+
+
+@add("stream_replay", REPLAYED)
+def _(spark, sf_dir):
+    """Old messages last: three files, the newest events first, each a micro-batch of its own. Some are broken, some
+    have no id, and of events sent twice the first copy is bad."""
+    folder = fresh_folder(spark)
+    rows = tb.untidy_events(spark, sf_dir).withColumn("n", F.substring("event_id", 2, 20).cast("long"))
+    bad = (F.col("n") % 7 == 0) & (F.col("copy_no") == 1)
+    rows = rows.withColumns({
+        "customer_id": F.when(~bad, F.col("customer_id")), "event_id": F.when(F.col("n") % 89 != 0, F.col("event_id"))})
+    body = [c for c in rows.columns if c not in ("n", "copy_no", "sent_at")]
+    messages = rows.select(
+        F.lit("k").cast("binary").alias("key"),
+        F.when(F.col("n") % 83 == 0, F.lit("{broken")).otherwise(F.to_json(F.struct(*body))).cast("binary").alias("value"),
+        F.lit("product-events").alias("topic"), F.lit(0).alias("partition"),
+        (F.col("n") * 2 + F.col("copy_no")).alias("offset"), F.col("sent_at").alias("timestamp"))
+    days = [("2024-01-21", "9999-01-01"), ("2024-01-11", "2024-01-21"), ("0001-01-01", "2024-01-11")]
+    for first, last in days:
+        part = messages.filter((F.col("timestamp") >= first) & (F.col("timestamp") < last))
+        part.coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    stream = readers.read_event_stream(spark, f"{folder}/in", kind="files", max_per_trigger=1)
+    finish(layers.split_sinks(stream, folder, f"{folder}/checkpoint", as_of="2024-01-30 00:00:00", available_now=True,
+                              partitions=state_size(spark, sf_dir)))
+    return _accounts(spark, folder)
+
+
 @add("stream_new_files", f"""WITH {EVENTS_CTE}
 SELECT event_type, count(*) AS n, count(DISTINCT event_id) AS ids FROM ev GROUP BY 1""")
 def _(spark, sf_dir):

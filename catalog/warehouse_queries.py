@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 
 from basketry import schemas
 from basketry import testbed as tb
-from basketry.operators import keyed
+from basketry.operators import cleaning, keyed
 from basketry.plans import gold, serving, staging, warehouse
 from basketry.session import shared_folder
-from basketry.sinks import writers
+from basketry.sinks import versions, writers
 from basketry.sources import readers
 from catalog.common import (
     EV_DAY, EVENTS_CTE, ORD_NOW, ORDERS_CTE, Catalog, cents, day_text, exact_ratio, time_text,
@@ -83,7 +83,7 @@ FROM ev WHERE event_type = 'PURCHASE'"""
 
 @add("fact_orders", f"WITH {EVENTS_CTE} {FACT_SQL}")
 def _(spark, sf_dir):
-    return warehouse.fact_orders(tb.events(spark, sf_dir))
+    return warehouse.fact_orders(tb.events(spark, sf_dir)).drop("tax_amount", "delivery_type", "created_at")
 
 
 @add("fact_transactions", f"""WITH {EVENTS_CTE}
@@ -239,6 +239,42 @@ def _(spark, sf_dir):
     return spark.read.parquet(folder)
 
 
+@add("stored_upsert_scores", f"""WITH s AS (
+  SELECT 'C' || lpad(c_custkey::VARCHAR, 7, '0') AS customer_id, (c_custkey * 7919 % 1000) / 1000.0 AS p, c_custkey AS k
+  FROM customer)
+SELECT customer_id, CASE WHEN k % 3 = 0 THEN 0.5 ELSE p END::DOUBLE AS churn_probability,
+       CASE WHEN k % 3 = 0 THEN 'v2.0' ELSE 'v1.0' END AS model_version FROM s""")
+def _(spark, sf_dir):
+    """Scores stored, then new ones for every third customer (some twice) upserted, twice."""
+    path = fresh_folder(spark)
+    scores = tb.churn_scores(spark, sf_dir).select("customer_id", "churn_probability", "model_version")
+    versions.upsert_stored(scores, path, ["customer_id"])
+    third = F.substring("customer_id", 2, 7).cast("long") % 3 == 0
+    new = scores.filter(third).withColumns({
+        "churn_probability": F.lit(0.5).cast("decimal(8,6)"), "model_version": F.lit("v2.0")})
+    both = new.unionByName(new.withColumn("churn_probability", F.lit(0.9).cast("decimal(8,6)")))
+    for _run in range(2):
+        versions.upsert_stored(both, path, ["customer_id"], order_by=["churn_probability"])
+    return versions.read_current(spark, path)
+
+
+@add("pipeline_monthly_revenue", f"""WITH {EVENTS_CTE}, untidy AS (
+  SELECT event_id, n % 101 <> 0 AND n % 97 <> 0 AND n % 103 <> 0 AND n % 13 <> 0 AS kept, region, total_amount,
+         discount_amount, event_timestamp, customer_id FROM ev WHERE event_type = 'PURCHASE'),
+o AS (
+  SELECT *, CAST(total_amount AS DECIMAL(15,2)) AS total, CAST(discount_amount AS DECIMAL(12,2)) AS off
+  FROM untidy WHERE kept AND total_amount > 0)
+SELECT region, year(event_timestamp) AS order_year, month(event_timestamp) AS order_month, count(*) AS orders,
+       sum(total)::DOUBLE AS total_revenue, sum(total - off)::DOUBLE AS net_revenue, 0.0::DOUBLE AS tax FROM o GROUP BY 1, 2, 3""")
+def _(spark, sf_dir):
+    """Untidy events through cleaning, the order fact and its staging model, into a report."""
+    clean = cleaning.clean_batch(tb.untidy_events(spark, sf_dir), EV_DAY)
+    staged = staging.stg_orders(warehouse.fact_orders(clean, EV_DAY))
+    return staged.groupBy("region", "order_year", "order_month").agg(
+        F.count("*").alias("orders"), F.sum("total_amount").alias("total_revenue"), F.sum("net_amount").alias("net_revenue"),
+        F.sum("tax_amount").alias("tax"))
+
+
 # --- files and snapshots --------------------------------------------------------------------------------------
 
 

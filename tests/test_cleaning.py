@@ -61,10 +61,22 @@ def test_batch_cleaning_and_its_report_agree(spark):
         (None, "c5", "login", "app", "x", "2024-01-01T11:00:00", None, None, None),
     )
     out = cleaning.clean_batch(df, "2024-02-01").orderBy("event_timestamp").collect()
-    assert [(r.event_id, r.total_amount) for r in out] == [("e1", 4.0), (None, None)]
+    # rows without an id are no copies of each other
+    assert [(r.event_id, r.total_amount) for r in out] == [("e1", 4.0), (None, None), (None, None)]
     report = cleaning.cleaning_report(df).first()
-    assert (report.rows_in, report.incomplete, report.copies, report.undated, report.rows_out) == (7, 1, 3, 1, 2)
-    assert report.removed == 5 and not report.is_empty
+    assert (report.rows_in, report.incomplete, report.copies, report.undated, report.rows_out) == (7, 1, 2, 1, 3)
+    assert report.removed == 4 and not report.is_empty
+
+
+def test_a_copy_with_a_broken_time_never_displaces_a_good_one(spark):
+    row = lambda i, t: (i, "c1", "login", "app", "x", t, None, None, None)
+    df = rows(spark, row("e1", "01/02/2024"), row("e1", "2024-01-01T00:00:00"), row("e2", "bad"), row("e2", "worse"),
+              row(None, "2024-01-03T00:00:00"), row(None, "2024-01-03T00:00:00"), row(None, "bad"))
+    out = cleaning.clean_batch(df, "2024-02-01").collect()
+    assert sorted((str(r.event_id), r.event_timestamp.day) for r in out) == [("None", 3), ("None", 3), ("e1", 1)]
+    report = cleaning.cleaning_report(df).first()
+    assert (report.rows_in, report.incomplete, report.copies, report.undated, report.rows_out) == (7, 0, 2, 2, 3)
+    assert report.rows_in == report.incomplete + report.copies + report.undated + report.rows_out
 
 
 def test_report_of_an_empty_table(spark):
@@ -75,11 +87,16 @@ def test_report_of_an_empty_table(spark):
 def test_dedup_is_the_same_on_any_partitioning(spark):
     data = [("a", 1, "x"), ("a", 1, "w"), ("a", 2, "v"), ("b", 3, "u"), (None, 1, "n1"), (None, 2, "n2")]
     df = spark.createDataFrame(data, "event_id string, event_timestamp int, v string")
-    want = {("a", 1, "w"), ("b", 3, "u"), (None, 1, "n1")}
+    want = {("a", 1, "w"), ("b", 3, "u"), (None, 1, "n1"), (None, 2, "n2")}
     for parts in (1, 3, 6):
         assert {tuple(r) for r in dedup.dedup_batch(df.repartition(parts)).collect()} == want
 
 
+def test_an_undated_copy_comes_last(spark):
+    df = spark.createDataFrame([("a", None, "x"), ("a", 5, "y"), ("b", None, "z")], "event_id string, event_timestamp int, v string")
+    assert {tuple(r) for r in dedup.dedup_batch(df).collect()} == {("a", 5, "y"), ("b", None, "z")}
+
+
 def test_duplicate_rows_leave_null_keys_out(spark):
     df = spark.createDataFrame([("a",), ("a",), ("a",), ("b",), (None,), (None,)], "event_id string")
     assert dedup.duplicate_rows(df).count() == 3

@@ -189,6 +189,27 @@ def test_upsert_never_matches_null_keys(spark):
     assert keyed.upsert(target, target, ["k"]).count() == 2
 
 
+def test_upsert_takes_one_update_per_key_and_adds_null_keys(spark):
+    target = spark.createDataFrame([("a", 1, "x"), (None, 2, "x")], "k string, n int, t string")
+    updates = spark.createDataFrame([("a", 5, "late"), ("a", 4, "early"), (None, 6, "z"), (None, 6, "z")], target.schema)
+    got = sorted((str(r.k), r.n, r.t) for r in keyed.upsert(target, updates, ["k"], order_by=["n"]).collect())
+    assert got == [("None", 2, "x"), ("None", 6, "z"), ("None", 6, "z"), ("a", 4, "early")]
+
+
+def test_orders_feed_their_own_staging(spark):
+    from basketry import schemas
+    from basketry.plans import staging, warehouse
+
+    ddl = ("event_id string, event_type string, order_id string, customer_id string, event_timestamp timestamp, total_amount double, "
+           "discount_amount double, payment_method string, items_count int, region string, device string")
+    events = spark.sql("SELECT 'e', 'PURCHASE', 'o', 'c', timestamp'2024-01-01 00:00:00', 10D, 1D, 'upi', 1, 'delhi', 'app'").toDF(
+        *[x.split()[0] for x in ddl.split(", ")])
+    facts = warehouse.fact_orders(events, "2024-02-01")
+    assert facts.schema.simpleString() == schemas.struct(schemas.FACT_ORDERS).simpleString()
+    row = staging.stg_orders(facts).first()
+    assert (float(row.tax_amount), float(row.net_amount), row.region) == (0.0, 9.0, "Delhi")
+
+
 def test_insert_ignore_keeps_old_rows_and_the_first_of_a_batch(spark):
     target = spark.createDataFrame([(1, "old", "x")], TARGET)
     rows = spark.createDataFrame([(1, "new", "y"), (2, "late", "9"), (2, "early", "1")], TARGET)
