@@ -1,41 +1,27 @@
 """Exact evaluation of scored rows: ROC and precision-recall curves, areas, per-class report.
 
-Scores have six decimals, so rows shrink to at most a million and one distinct scores. Running counts are taken
-inside a thousand score slots and over the slot totals, both of bounded size.
+Rows shrink to their distinct scores, whatever the range and the digits of a score. Running counts over the scores come
+from range partitions and one row of totals per partition.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SLOTS = 1000
+from basketry.operators.ordering import with_running_totals
 
 
 def _by_score(scored: DataFrame, label: str, score: str) -> DataFrame:
     """Distinct scores with positives and negatives at and above each, and the overall totals."""
-    s = F.col(score).cast("decimal(8,6)")
     distinct = (
         scored.filter(F.col(label).isNotNull() & F.col(score).isNotNull())
-        .groupBy(s.alias("score"))
+        .groupBy(F.col(score).cast("double").alias("score"))
         .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg"))
-        .withColumn("slot", F.floor(F.col("score") * SLOTS).cast("int"))
     )
-    slots = distinct.groupBy("slot").agg(F.sum("pos").alias("sp"), F.sum("neg").alias("sn"))
-    above = Window.orderBy(F.desc("slot")).rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    slots = slots.select(
-        "slot",
-        F.coalesce(F.sum("sp").over(above), F.lit(0)).alias("pos_before"),
-        F.coalesce(F.sum("sn").over(above), F.lit(0)).alias("neg_before"),
-        F.sum("sp").over(everything).alias("positives"),
-        F.sum("sn").over(everything).alias("negatives"),
-    )
-    down = Window.partitionBy("slot").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
-    return distinct.join(F.broadcast(slots), "slot").select(
-        "score", "pos", "neg", "positives", "negatives",
-        (F.col("pos_before") + F.sum("pos").over(down)).alias("tp"),
-        (F.col("neg_before") + F.sum("neg").over(down)).alias("fp"),
+    return with_running_totals(
+        distinct, [F.col("score").desc()], {"tp": "pos", "fp": "neg"},
+        totals_as={"positives": "pos", "negatives": "neg"},
     )
 
 
@@ -48,7 +34,7 @@ def roc_curve(scored: DataFrame, label: str = "label", score: str = "score") ->
     )
     start = points.agg(
         F.max("threshold").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")
-    ).withColumn("threshold", F.lit(None).cast("decimal(8,6)"))
+    ).withColumn("threshold", F.lit(None).cast("double"))
     return points.unionByName(start)
 
 
@@ -61,7 +47,7 @@ def pr_curve(scored: DataFrame, label: str = "label", score: str = "score") -> D
     )
     end = points.agg(
         F.max("threshold").alias("threshold"), F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall")
-    ).withColumn("threshold", F.lit(None).cast("decimal(8,6)"))
+    ).withColumn("threshold", F.lit(None).cast("double"))
     return points.unionByName(end)
 
 

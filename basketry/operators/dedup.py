@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.operators.keyed import first_of_known_keys
-from basketry.session import broadcast_if_small, settle
+from basketry.session import settle
 
 
 def dedup_batch(df: DataFrame, key: str = "event_id", order_by: Sequence[str] = ("event_timestamp",)) -> DataFrame:
@@ -45,11 +45,11 @@ def dedup_stream(
 def duplicate_rows(df: DataFrame, key: str = "event_id") -> DataFrame:
     """All rows whose (non-null) key occurs more than once.
 
-    Keys are counted first and the repeated ones stored. Few of them are broadcast, so the rows need no shuffle;
-    many meet the rows in a semi join, which adaptive execution splits where one key is hot.
+    Keys are counted first and the repeated ones stored; they meet the rows in a semi join, which adaptive execution
+    turns into a broadcast where they are few bytes and splits where one key is hot.
     """
     repeated = df.filter(F.col(key).isNotNull()).groupBy(key).count().filter(F.col("count") > 1)
-    return df.join(broadcast_if_small(settle(repeated.select(key))), key, "left_semi")
+    return df.join(settle(repeated.select(key)), key, "left_semi")
 
 
 def duplicate_row_count(df: DataFrame, key: str = "event_id") -> DataFrame:

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.session import broadcast_if_small, settle
+from basketry.session import settle
 
 # monotonically_increasing_id keeps the partition above bit 33 and the row inside the partition below it.
 ROW_BITS = 33
@@ -37,7 +37,7 @@ def _join_offsets(rows: DataFrame, offsets: DataFrame, by: Sequence[str]) -> Dat
     renamed = offsets.select(*[F.col(k).alias(f"_o_{k}") for k in keys],
                              *[c for c in offsets.columns if c not in keys])
     match = [F.col(k).eqNullSafe(F.col(f"_o_{k}")) for k in keys]
-    return rows.join(broadcast_if_small(renamed), match, "inner").drop(*[f"_o_{k}" for k in keys])
+    return rows.join(renamed, match, "inner").drop(*[f"_o_{k}" for k in keys])
 
 
 def with_row_number(

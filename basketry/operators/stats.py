@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from basketry.functions import band_up_to
 from basketry.operators.ordering import with_row_number, with_running_totals
-from basketry.session import broadcast_if_small, settle
+from basketry.session import settle
 from basketry.vocabulary import RFM_BANDS, RFM_LAST
 
 
@@ -105,7 +105,7 @@ def clipped_histogram(
     width = (F.col("high") - F.col("low")) / bins
     place = F.least(F.floor((F.col("value") - F.col("low")) / width), F.lit(bins - 1))
     return (
-        clipped.join(broadcast_if_small(edges), ["feature", "label"])
+        clipped.join(edges, ["feature", "label"])
         .groupBy("feature", "label", place.alias("bin"))
         .agg(F.sum("n").alias("n"), F.first("low").alias("low"), F.first("high").alias("high"),
              F.first("total").alias("total"))
@@ -123,16 +123,21 @@ def quintile(position, total) -> F.Column:
     return F.greatest(F.lit(1), share).cast("int")
 
 
-def _quintile_cuts(df: DataFrame, column: str, key: str) -> list:
-    """The (value, key) pairs that end quintiles 1 to 4: four rows, whatever the table."""
-    placed = with_row_number(
-        df.select(F.col(column).alias("v"), F.col(key).alias("k")), [F.col("v"), F.col("k")], total="total"
-    )
+def _quintile_cuts(df: DataFrame, columns: list[str], key: str) -> dict[str, list]:
+    """Per column the (value, key) pairs that end quintiles 1 to 4: four rows each, whatever the table.
+
+    The columns are laid one below the other and sorted together, by column.
+    """
+    kinds = {c: df.schema[c].dataType for c in columns}
+    wide = "double" if any(k.typeName() == "double" for k in kinds.values()) else "decimal(38,6)"
+    entries = [F.struct(F.lit(c).alias("column"), F.col(c).cast(wide).alias("v"), F.col(key).alias("k")) for c in columns]
+    long = df.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    placed = with_row_number(long, [F.col("v"), F.col("k")], by=["column"], total="total")
     ends = []
     for q in range(1, 5):
         at = F.floor(F.lit(q) * (F.col("total") - 1) / 5) + 1
         ends.append(F.max(F.when(F.col("row_number") == at, F.struct("v", "k"))).alias(f"c{q}"))
-    return list(placed.agg(*ends).first())
+    return {r["column"]: [r[f"c{q}"] for q in range(1, 5)] for r in placed.groupBy("column").agg(*ends).collect()}
 
 
 def rfm_quintiles(
@@ -144,10 +149,11 @@ def rfm_quintiles(
     """
     scores = {}
     kinds = features.schema
-    for score, column in (("r_score", "recency_days"), ("f_score", "frequency"), ("m_score", "monetary")):
-        cuts = _quintile_cuts(features, column, key)
+    names = {"r_score": "recency_days", "f_score": "frequency", "m_score": "monetary"}
+    every = _quintile_cuts(features, list(names.values()), key)
+    for score, column in names.items():
         rank = F.lit(1)
-        for cut in cuts:
+        for cut in every.get(column, []):
             if cut is not None:
                 edge = F.struct(F.lit(cut["v"]).cast(kinds[column].dataType).alias("v"),
                                 F.lit(cut["k"]).cast(kinds[key].dataType).alias("k"))

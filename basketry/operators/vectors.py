@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -56,17 +57,17 @@ def _unit_rows(matrix: np.ndarray) -> np.ndarray:
     return np.divide(matrix, lengths, out=np.zeros_like(matrix), where=lengths > 0)
 
 
-def _block_top(ids: list, queries: np.ndarray, k: int, digits: int, cells: int):
-    """A function from batches of (vec_id, vector) to the best ``k`` of its partition per query."""
-    step = max(1, cells // len(queries))
+def _grid_top(k: int, digits: int, cells: int):
+    """A function from the cells of the grid, each its queries and then its vectors, to the best ``k`` per query."""
 
-    def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kept = pd.DataFrame({"query": [], "vec_id": [], "similarity": []})
-        for batch in batches:
+    def best_of(queries: pd.DataFrame, vectors: Iterator[pd.DataFrame]) -> pd.DataFrame | None:
+        asked = _unit_rows(np.stack(queries["vector"].to_numpy()).astype("float64"))
+        step, kept = max(1, cells // len(asked)), None
+        for batch in vectors:
             for start in range(0, len(batch), step):
                 part = batch.iloc[start : start + step]
                 matrix = _unit_rows(np.stack(part["vector"].to_numpy()).astype("float64"))
-                sims = np.round(queries @ matrix.T, digits) + 0.0
+                sims = np.round(asked @ matrix.T, digits) + 0.0
                 hopeful = np.ones_like(sims, dtype=bool)
                 if len(part) > k:
                     # Only vectors at least as near as a query's k-th nearest here can matter; ids settle ties below.
@@ -74,15 +75,36 @@ def _block_top(ids: list, queries: np.ndarray, k: int, digits: int, cells: int):
                     hopeful = sims >= np.partition(sims, edge, axis=1)[:, edge : edge + 1]
                 query, place = np.nonzero(hopeful)
                 found = pd.DataFrame(
-                    {"query": query, "vec_id": part["vec_id"].to_numpy()[place], "similarity": sims[query, place]}
+                    {"query": query, "vec_id": part["id"].to_numpy()[place], "similarity": sims[query, place]}
                 )
-                kept = found if kept.empty else pd.concat([kept, found])
+                kept = found if kept is None else pd.concat([kept, found])
                 kept = kept.sort_values(["query", "similarity", "vec_id"], ascending=[True, False, True])
                 kept = kept.groupby("query", sort=False).head(k)
-        if not kept.empty:
-            yield kept.assign(query_id=[ids[i] for i in kept["query"]])[["query_id", "vec_id", "similarity"]]
-
-    return best
+        if kept is None:
+            return None
+        ids = queries["id"].to_numpy()
+        return kept.assign(query_id=ids[kept["query"].to_numpy()])[["query_id", "vec_id", "similarity"]]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts = (
+            (cell, part) for batch in batches for cell, part in batch.groupby(["block", "share"], sort=False)
+        )
+        for _, group in itertools.groupby(parts, key=lambda p: p[0]):
+            asked, first = [], None
+            frames = (part for _, part in group)
+            for part in frames:
+                is_query = part["kind"] == 0
+                asked.append(part[is_query])
+                if not is_query.all():
+                    first = part[~is_query]
+                    break
+            queries = pd.concat(asked)
+            if first is not None and len(queries):
+                found = best_of(queries, itertools.chain([first], frames))
+                if found is not None:
+                    yield found
+
+    return run
 
 
 def similarity_topk(
@@ -91,33 +113,37 @@ def similarity_topk(
 ) -> DataFrame:
     """The ``k`` nearest vectors by cosine for every query; ties by id, a zero vector has similarity 0.
 
-    ``queries`` has (query_id, embedding), ``vectors`` has (vec_id, embedding). Each task scores its vectors
-    against a block of queries as a matrix product and lets go of all but ``k`` per query, so the shuffle carries
-    k rows per query and task, never all pairs. A block of queries travels with the tasks and is bounded by
-    ``query_bytes``; more queries make more blocks (one pass over the vectors each), and the answer stays exact.
-    A task holds at most about ``score_cells`` scores at a time.
+    ``queries`` has (query_id, embedding), ``vectors`` has (vec_id, embedding); rows without an id or a vector match
+    nothing. Queries fall into blocks of about ``query_bytes``, vectors into shares, and block and share meet in a cell
+    of a grid: a task scores the vectors of its share, as they stream by, against the block as a matrix product and
+    keeps ``k`` per query. Every query goes to each share and every vector to each block, k rows per query and share
+    come back, and nothing passes through the driver but two counts. A task holds about ``score_cells`` scores.
     """
-    asked = queries.select("query_id", F.col("embedding").alias("vector"))
-    shape = asked.agg(F.count("*"), F.max(F.size("vector"))).first()
-    count, dim = shape[0], shape[1] or 1
+    spark = queries.sparkSession
     id_type, vec_type = queries.schema["query_id"].dataType, vectors.schema["vec_id"].dataType
-    out = f"query_id {id_type.simpleString()}, vec_id {vec_type.simpleString()}, similarity double"
-    stored = vectors.select("vec_id", F.col("embedding").alias("vector"))
-    per_block = max(1, query_bytes // (8 * dim))
-    blocks = max(1, -(-count // per_block) * 2 if count > per_block else 1)
-    slot = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
-    found = None
-    for block in range(blocks):
-        rows = asked.filter(slot == block).collect() if blocks > 1 else asked.collect()
-        if not rows:
-            continue
-        matrix = _unit_rows(np.array([r["vector"] for r in rows], dtype="float64"))
-        part = stored.mapInPandas(_block_top([r["query_id"] for r in rows], matrix, k, digits, score_cells), out)
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        found = stored.limit(0).select(
-            F.lit(None).cast(id_type).alias("query_id"), "vec_id", F.lit(0.0).alias("similarity")
-        )
+    asked = queries.filter("query_id IS NOT NULL AND embedding IS NOT NULL")
+    shape = asked.agg(F.count("*"), F.max(F.size("embedding"))).first()
+    blocks = max(1, -(-8 * shape[0] * (shape[1] or 1) // query_bytes))
+    shares = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def number(c: str, n: int) -> F.Column:
+        return F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
+
+    def every(n: int) -> F.Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    vector = F.col("embedding").cast("array<double>").alias("vector")
+    # One id column for both kinds: whole numbers as they are, other ids as text.
+    whole = all(t.typeName() in ("long", "integer", "short", "byte") for t in (id_type, vec_type))
+    common = "long" if whole else "string"
+    left = asked.select(number("query_id", blocks).alias("block"), every(shares).alias("share"), F.lit(0).alias("kind"),
+                        F.col("query_id").cast(common).alias("id"), vector)
+    right = vectors.filter("vec_id IS NOT NULL AND embedding IS NOT NULL").select(
+        every(blocks).alias("block"), number("vec_id", shares).alias("share"), F.lit(1).alias("kind"),
+        F.col("vec_id").cast(common).alias("id"), vector)
+    grid = left.union(right).repartition(shares, "block", "share").sortWithinPartitions("block", "share", "kind")
+    found = grid.mapInPandas(_grid_top(k, digits, score_cells), f"query_id {common}, vec_id {common}, similarity double")
+    found = found.withColumns({"query_id": F.col("query_id").cast(id_type), "vec_id": F.col("vec_id").cast(vec_type)})
     order = Window.partitionBy("query_id").orderBy(F.desc("similarity"), "vec_id")
     return found.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k)
 

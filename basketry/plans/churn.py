@@ -98,14 +98,14 @@ def cross_validate(
     ready = _weighted(_ready(stratified_folds(df, folds, label, params.seed), features, label), label, params)
     found = CrossValidator(
         estimator=_pipeline(features, label, params), estimatorParamMaps=ParamGridBuilder().build(),
-        evaluator=BinaryClassificationEvaluator(rawPredictionCol="rawPrediction", labelCol=label),
+        evaluator=BinaryClassificationEvaluator(rawPredictionCol="rawPrediction", labelCol=label, numBins=0),
         numFolds=folds, foldCol="fold",
     ).fit(ready)
     return found.avgMetrics[0], found.stdMetrics[0]
 
 
 def probabilities(model: PipelineModel, df: DataFrame) -> DataFrame:
-    return model.transform(df).withColumn("score", F.round(vector_to_array("probability")[1], 6))
+    return model.transform(df).withColumn("score", vector_to_array("probability")[1])
 
 
 def feature_importance(model: PipelineModel, features: Sequence[str], top: int = 10) -> DataFrame:
@@ -131,7 +131,7 @@ def score_customers(
     return scored.select(
         "customer_id",
         F.col("score").cast("decimal(8,6)").alias("churn_probability"),
-        churn_band(F.col("score")).alias("churn_segment"),
+        churn_band(F.round("score", 6)).alias("churn_segment"),
         F.lit(version).alias("model_version"),
         as_moment(as_of).alias("scored_at"),
     )

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from basketry.functions import Moment, as_day, as_moment, clip01, count_when, elapsed_days
 from basketry.operators.ordering import with_row_number
-from basketry.session import broadcast_if_small
 from basketry.vocabulary import CHURN_AFTER_DAYS, NEVER_DAYS
 
 
@@ -102,11 +101,14 @@ def session_features(sessions: DataFrame) -> DataFrame:
 def combined_features(
     rfm: DataFrame, behavioral: DataFrame, sessions: DataFrame, as_of: Moment, never_as_zero: bool = False
 ) -> DataFrame:
-    """All features of all customers.
+    """All features of all customers (rows without a customer are left out).
 
-    Missing numbers become 0; missing days-since columns become the never value unless ``never_as_zero``.
+    Missing numbers become 0; missing days-since columns become the never value unless ``never_as_zero``. Each part has
+    one row per customer, so the parts are laid one below the other and meet in one aggregate, one shuffle for all.
     """
-    wide = rfm.join(behavioral, "customer_id", "full").join(sessions, "customer_id", "full")
+    parts = [p.filter(F.col("customer_id").isNotNull()) for p in (rfm, behavioral, sessions)]
+    rows = parts[0].unionByName(parts[1], allowMissingColumns=True).unionByName(parts[2], allowMissingColumns=True)
+    wide = rows.groupBy("customer_id").agg(*[F.max(c).alias(c) for c in rows.columns if c != "customer_id"])
     numeric = [
         f.name for f in wide.schema.fields
         if f.dataType.typeName() in ("integer", "long", "double", "decimal")
@@ -157,7 +159,7 @@ def stratified_split(
     )
     inside = F.struct(F.col("_hash"), F.col(key)) <= F.col("_cut")
     return (
-        marked.join(broadcast_if_small(cuts), label, "left")
+        marked.join(cuts, label, "left")
         .withColumn("is_test", F.coalesce(inside, F.lit(False)))
         .drop("_hash", "_cut")
         .select(*df.columns, "is_test")

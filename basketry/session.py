@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -31,7 +31,7 @@ def build_session(app: str = "basketry", master: str | None = None, **settings:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    Only a local session without the setting gets a folder of its own.
+    Only a session in one local process without the setting gets a folder of its own.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -39,7 +39,7 @@ def shared_folder(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     made = tempfile.mkdtemp(prefix="basketry-")
     spark.sparkContext.setCheckpointDir(made)
@@ -55,14 +55,6 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-SMALL_ROWS = 100_000
-
-
-def broadcast_if_small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
-    """``df`` marked for broadcast when it has at most ``rows`` rows, else as it is (joined by shuffle)."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
-
 @contextmanager
 def setting(spark: SparkSession, name: str, value: str | None) -> Iterator[None]:
     """A session setting changed for the duration of the block; ``None`` leaves it alone."""

@@ -13,13 +13,14 @@ ALL_TOPICS = sorted(set(TOPIC_OF_EVENT.values()))
 
 
 def read_event_stream(
-    spark: SparkSession, source: str, *, kind: str = "kafka", max_per_trigger: int = 50_000,
+    spark: SparkSession, source: str, *, kind: str = "kafka", max_per_trigger: int = 50_000, max_files: int = 1000,
     starting: str = "latest",
 ) -> DataFrame:
     """All topics as one stream of (key, value, topic, partition, offset, timestamp).
 
     ``kind="kafka"`` reads from the brokers in ``source`` and needs the Kafka connector on the classpath.
-    ``kind="files"`` reads message files (Parquet) from the folder ``source``; its limit counts files.
+    ``max_per_trigger`` messages make a batch. ``kind="files"`` reads message files (Parquet) from the folder
+    ``source``, ``max_files`` to a batch.
     """
     if kind == "kafka":
         return (
@@ -31,7 +32,7 @@ def read_event_stream(
             .option("failOnDataLoss", "false")
             .load()
         )
-    return spark.readStream.schema(schemas.MESSAGE).option("maxFilesPerTrigger", max_per_trigger).parquet(source)
+    return spark.readStream.schema(schemas.MESSAGE).option("maxFilesPerTrigger", max_files).parquet(source)
 
 
 def read_layer_stream(
@@ -103,6 +104,12 @@ def read_table(
 
 
 def read_latest_snapshot(spark: SparkSession, path: str, partition: str = "run_date") -> DataFrame:
-    """Rows of the newest run. The newest date is a scalar subquery, so only its folder is scanned for data."""
-    df = spark.read.parquet(path)
-    return df.filter(F.col(partition) == df.agg(F.max(partition)).scalar())
+    """Rows of the newest run: the last partition folder by name, as dates and padded numbers sort. Only its files are
+    listed and read."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    entries = place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)
+    names = [e.getPath().getName() for e in entries]
+    newest = max((n for n in names if n.startswith(f"{partition}=") and "__HIVE_DEFAULT" not in n), default=None)
+    if newest is None:
+        return spark.read.parquet(path)
+    return spark.read.option("basePath", path).parquet(f"{path}/{newest}")

@@ -284,6 +284,44 @@ c AS (
   FROM g)"""
 
 
+FINE_CTE = """
+sc AS (
+  SELECT (c_custkey * 7919 % 1000 - 300) + (c_custkey % 17) * 0.00000003125::DOUBLE AS s,
+         CASE WHEN c_custkey * 104729 % 1000 < c_custkey * 7919 % 1000 THEN 1 ELSE 0 END AS label FROM customer),
+g AS (SELECT s, count(*) FILTER (label = 1) AS pos, count(*) FILTER (label = 0) AS neg FROM sc GROUP BY 1),
+c AS (
+  SELECT s AS threshold, pos, neg, sum(pos) OVER (ORDER BY s DESC)::BIGINT AS tp,
+         sum(neg) OVER (ORDER BY s DESC)::BIGINT AS fp, sum(pos) OVER ()::BIGINT AS p, sum(neg) OVER ()::BIGINT AS n FROM g)"""
+
+
+def fine(spark, sf_dir):
+    """Scores far outside 0 to 1 that differ in the eighth decimal only."""
+    key = F.col("c_custkey")
+    return tb.table(spark, sf_dir, "customer").select(
+        ((key * 7919 % 1000 - 300) + (key % 17) * F.lit(0.00000003125)).alias("score"),
+        F.when(key * 104729 % 1000 < key * 7919 % 1000, 1).otherwise(0).alias("label"))
+
+
+@add("roc_curve_any_score", f"""WITH {FINE_CTE}
+SELECT threshold, fp / n AS fpr, tp / p AS tpr FROM c UNION ALL SELECT NULL, 0, 0""")
+def _(spark, sf_dir):
+    return curves.roc_curve(fine(spark, sf_dir))
+
+
+@add("pr_curve_any_score", f"""WITH {FINE_CTE}
+SELECT threshold, tp / (tp + fp) AS precision, tp / p AS recall FROM c UNION ALL SELECT NULL, 1, 0""")
+def _(spark, sf_dir):
+    return curves.pr_curve(fine(spark, sf_dir))
+
+
+@add("areas_any_score", f"""WITH {FINE_CTE}
+SELECT max(p) AS positives, max(n) AS negatives,
+       round(sum(neg::DOUBLE * (tp - pos / 2)) / (max(p)::DOUBLE * max(n)), 6) AS auc_roc,
+       round(sum(pos * tp / (tp + fp)) / max(p), 6) AS avg_precision FROM c""")
+def _(spark, sf_dir):
+    return curves.areas(fine(spark, sf_dir))
+
+
 @add("roc_curve", f"""WITH {CURVE_CTE}
 SELECT threshold::DOUBLE AS threshold, fp / n AS fpr, tp / p AS tpr FROM c UNION ALL SELECT NULL, 0, 0""")
 def _(spark, sf_dir):

@@ -81,6 +81,21 @@ def _(spark, sf_dir):
     return vectors.similarity_topk(label_means(spark, sf_dir), stored, 3)
 
 
+@add("similarity_blocks", """WITH v AS (
+  SELECT vec_id, embedding, sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x))) AS n FROM embeddings),
+s AS (
+  SELECT q.vec_id AS query_id, v.vec_id,
+         round(list_sum(list_transform(list_zip(q.embedding, v.embedding), lambda p: p[1]::DOUBLE * p[2])) / (q.n * v.n), 6) AS similarity
+  FROM v AS q, v WHERE q.vec_id % 100 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, vec_id) AS place FROM s)
+SELECT query_id, vec_id, similarity, place FROM r WHERE place <= 5""")
+def _(spark, sf_dir):
+    """Every hundredth vector asks all vectors; the queries fall into several blocks."""
+    stored = tb.table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    asked = stored.filter("vec_id % 100 = 0").withColumnRenamed("vec_id", "query_id")
+    return vectors.similarity_topk(asked, stored, 5, query_bytes=1 << 10)
+
+
 def tickets(spark, sf_dir):
     ticket = F.concat_ws("-", F.lit("TKT"), F.col("conv_id").cast("string"), F.col("turn").cast("string"))
     return tb.table(spark, sf_dir, "conversations").select(
@@ -104,7 +119,9 @@ def collection(spark, sf_dir):
     return spark.read.parquet(folder)
 
 
-@add("ticket_embeddings")
+@add("ticket_embeddings", """
+SELECT 'TKT-' || conv_id || '-' || turn AS ticket_id, 384::BIGINT AS dimensions,
+       CASE WHEN trim(coalesce(text, '')) = '' THEN 0.0 ELSE 1.0 END::DOUBLE AS length FROM conversations""")
 def _(spark, sf_dir):
     stored = collection(spark, sf_dir)
     return stored.select(
@@ -113,6 +130,16 @@ def _(spark, sf_dir):
     )
 
 
+@add("ticket_finds_itself", """
+SELECT DISTINCT text, 1.0::DOUBLE AS similarity FROM conversations WHERE trim(text) <> ''""")
+def _(spark, sf_dir):
+    """Every ticket text as a query: the best ticket has similarity 1."""
+    documents = collection(spark, sf_dir)
+    asked = documents.filter("trim(text) <> ''").select("text").distinct().withColumn("query_id", F.xxhash64("text"))
+    best = vectors.search_tickets(asked, documents, 1).select("query_id", "similarity")
+    return asked.join(best, "query_id").select("text", F.round("similarity", 4).alias("similarity"))
+
+
 @add("ticket_search")
 def _(spark, sf_dir):
     asked = tb.table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")

@@ -228,16 +228,14 @@ FROM (SELECT customer_id, region FROM (SELECT DISTINCT customer_id, region FROM
 def _(spark, sf_dir):
     rows = cleaned(spark, sf_dir)
     summary = marts.int_customer_orders(tb.fact_orders(spark, sf_dir), ORD_NOW)
-    return quality.violation_counts(
-        {
-            "not_null customer_id": quality.not_null_violations(rows, "customer_id"),
-            "unique event_id": quality.unique_violations(rows, "event_id"),
-            "accepted_values event_type": quality.accepted_values_violations(
-                rows, "event_type", KNOWN.strip("'").split("','")
-            ),
-            "unique customer_id, region": quality.unique_violations(summary, "customer_id", "region"),
-        }
-    )
+    by_row = quality.table_tests(rows, {
+        "not_null customer_id": quality.bad_rows(F.col("customer_id").isNull()),
+        "accepted_values event_type": quality.bad_values("event_type", KNOWN.strip("'").split("','")),
+    })
+    return by_row.union(quality.violation_counts({
+        "unique event_id": quality.unique_violations(rows, "event_id"),
+        "unique customer_id, region": quality.unique_violations(summary, "customer_id", "region"),
+    }))
 
 
 @add("singular_tests", f"""WITH {DIRTY_CTE}, {ORDERS_CTE}, {LTV_CTE}
@@ -254,16 +252,35 @@ UNION ALL SELECT 'revenue not negative', count(*), count(*) = 0 FROM (
 def _(spark, sf_dir):
     bought = cleaned(spark, sf_dir).filter((F.col("event_type") == "PURCHASE") & F.col("order_id").isNotNull())
     monthly = marts.monthly_revenue(orders(spark, sf_dir))
-    return quality.violation_counts(
-        {
-            "orders positive amount": quality.orders_without_positive_amount(bought),
-            "revenue keys not null": quality.revenue_rows_with_nulls(monthly),
-            "score between 0 and 100": quality.scores_out_of_range(ltv(spark, sf_dir)),
-            "revenue not negative": quality.negative_revenue(monthly),
-        }
+    no_key = F.lit(False)
+    for c in ("order_year", "order_month", "region", "gross_revenue"):
+        no_key = no_key | F.col(c).isNull()
+    score = F.col("ltv_score")
+    return (
+        quality.table_tests(bought, {"orders positive amount": quality.bad_rows(F.col("total_amount") <= 0)})
+        .union(quality.table_tests(monthly, {
+            "revenue keys not null": quality.bad_rows(no_key),
+            "revenue not negative": quality.bad_rows(F.col("gross_revenue") < 0),
+        }))
+        .union(quality.table_tests(ltv(spark, sf_dir), {
+            "score between 0 and 100": quality.bad_rows((score < 0) | (score > 100))}))
     )
 
 
+@add("suite_from_text", f"""WITH {DIRTY_CTE}
+SELECT 1::BIGINT AS position, 'expect_column_values_to_not_be_null' AS expectation, 'customer_id' AS column_name,
+       'critical' AS severity, count(*) FILTER (customer_id IS NULL) AS bad_rows,
+       count(*) FILTER (customer_id IS NULL) = 0 AS passed FROM cleaned
+UNION ALL SELECT 2, 'expect_table_row_count_to_be_between', NULL, 'info', 0, count(*) BETWEEN 1 AND 100 FROM cleaned""")
+def _(spark, sf_dir):
+    suite = quality.load_suite("""{"expectations": [
+      {"expectation_type": "expect_column_values_to_not_be_null", "kwargs": {"column": "customer_id"},
+       "meta": {"severity": "critical"}},
+      {"expectation_type": "expect_table_row_count_to_be_between", "kwargs": {"min_value": 1, "max_value": 100},
+       "meta": {"severity": "info"}}]}""")
+    return quality.run_suite(cleaned(spark, sf_dir), suite)
+
+
 @add("event_contract", f"""WITH {EVENTS_CTE}, v AS (
   SELECT event_id, event_type,
     list_filter([

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from basketry import schemas
 from basketry import testbed as tb
+from basketry.operators import cleaning
 from basketry.session import state_partitions
 from basketry.sources import readers
 from basketry.streaming import layers, windows
@@ -207,12 +209,52 @@ def _(spark, sf_dir):
     for first, last in days:
         part = messages.filter((F.col("timestamp") >= first) & (F.col("timestamp") < last))
         part.coalesce(1).write.mode("append").parquet(f"{folder}/in")
-    stream = readers.read_event_stream(spark, f"{folder}/in", kind="files", max_per_trigger=1)
+    stream = readers.read_event_stream(spark, f"{folder}/in", kind="files", max_files=1)
     finish(layers.split_sinks(stream, folder, f"{folder}/checkpoint", as_of="2024-01-30 00:00:00", available_now=True,
                               partitions=state_size(spark, sf_dir)))
     return _accounts(spark, folder)
 
 
+def _single_sink(spark, sf_dir, write):
+    """Flagged events of the message stream through one sink; no row is a copy here."""
+    folder = fresh_folder(spark)
+    parsed = cleaning.parse_payload(tb.messages_from(tb.untidy_from(tb.event_stream(spark, sf_dir))), schemas.PAYLOAD)
+    flagged = layers.silver_rows(parsed, "2024-01-30 00:00:00")
+    finish([write(flagged, f"{folder}/out", f"{folder}/checkpoint", available_now=True)])
+    return readers.read_layer(spark, f"{folder}/out").groupBy("event_id", "customer_id", "dq_negative_amount").agg(
+        F.count("*").alias("copies"))
+
+
+@add("sink_silver", f"""WITH {DIRTY_CTE}, {FLAGS_SQL}
+SELECT event_id, customer_id, dq_negative_amount, count(*) AS copies FROM flags WHERE {PASSED} GROUP BY 1, 2, 3""")
+def _(spark, sf_dir):
+    return _single_sink(spark, sf_dir, layers.write_silver)
+
+
+@add("sink_dead_letters", f"""WITH {DIRTY_CTE}, {FLAGS_SQL}
+SELECT event_id, customer_id, dq_negative_amount, count(*) AS copies FROM flags WHERE NOT {PASSED} GROUP BY 1, 2, 3""")
+def _(spark, sf_dir):
+    return _single_sink(spark, sf_dir, layers.write_dlq)
+
+
+LATE_FROM = "2024-01-21 00:00:00"
+
+
+@add("late_events", closed(HOURLY.replace("AND total_amount IS NOT NULL", f"AND event_timestamp >= TIMESTAMP '{LATE_FROM}'"),
+                           "src", 60, "1 HOUR"))
+def _(spark, sf_dir):
+    """Newer events first, older ones in a second micro-batch: the watermark has passed them, so they count nowhere."""
+    folder = fresh_folder(spark)
+    events = tb.events(spark, sf_dir)
+    for part in (F.col("event_timestamp") >= LATE_FROM, F.col("event_timestamp") < LATE_FROM):
+        events.filter(part).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        stream = readers.read_layer_stream(spark, f"{folder}/in", events.schema)
+        finish(windows.run_aggregations(
+            stream, f"{folder}/out", f"{folder}/checkpoint", available_now=True,
+            metrics={"revenue_per_hour": windows.revenue_per_hour}, partitions=state_size(spark, sf_dir)))
+    return spark.read.parquet(f"{folder}/out/revenue_per_hour")
+
+
 @add("stream_new_files", f"""WITH {EVENTS_CTE}
 SELECT event_type, count(*) AS n, count(DISTINCT event_id) AS ids FROM ev GROUP BY 1""")
 def _(spark, sf_dir):

@@ -293,6 +293,30 @@ def _(spark, sf_dir):
     return readers.read_latest_snapshot(spark, folder).drop("avg_order_value", "unique_customers")
 
 
+@add("materialized_table", f"""WITH {EVENTS_CTE}
+SELECT region, year(event_timestamp) AS event_year, month(event_timestamp) AS event_month, count(event_id) AS order_count
+FROM ev WHERE event_type = 'PURCHASE' GROUP BY 1, 2, 3""")
+def _(spark, sf_dir):
+    """A gold model as a managed table, read back by name."""
+    name = f"gold_{uuid.uuid4().hex}"
+    writers.materialize(gold.revenue_by_region(tb.events(spark, sf_dir)), name)
+    return readers.read_table(spark, name).select("region", "event_year", "event_month", "order_count")
+
+
+@add("ticket_files", """
+SELECT 'T' || conv_id || '-' || turn AS ticket_id, text AS issue_text, role AS status FROM conversations""")
+def _(spark, sf_dir):
+    """Tickets as files that hold one JSON array each, read back; a thousand tickets or so to a file."""
+    folder = fresh_folder(spark)
+    rows = tb.table(spark, sf_dir, "conversations").select(
+        F.concat(F.lit("T"), F.col("conv_id"), F.lit("-"), F.col("turn")).alias("ticket_id"),
+        F.col("text").alias("issue_text"), F.col("role").alias("status"))
+    share = F.pmod(F.xxhash64("ticket_id"), F.lit(rows.count() // 1000 + 1))
+    arrays = rows.groupBy(share.alias("share")).agg(F.to_json(F.collect_list(F.struct(*rows.columns))).alias("value"))
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(folder)
+    return readers.read_json_array(spark, f"{folder}/*.txt").select("ticket_id", "issue_text", "status")
+
+
 @add("read_layer_since", f"""WITH {EVENTS_CTE}
 SELECT event_id, customer_id, event_type, day(event_timestamp) AS day FROM ev
 WHERE event_timestamp >= TIMESTAMP '2024-01-20'""")

@@ -102,7 +102,7 @@ def test_layers_keep_every_message_and_split_good_from_bad(spark, folder):
     spark.createDataFrame(rows, schemas.MESSAGE).coalesce(1).write.parquet(f"{folder}/in")
 
     def run():
-        stream = readers.read_event_stream(spark, f"{folder}/in", kind="files", max_per_trigger=1)
+        stream = readers.read_event_stream(spark, f"{folder}/in", kind="files", max_files=1)
         for query in layers.split_sinks(stream, folder, f"{folder}/cp", as_of="2024-02-01", available_now=True):
             query.awaitTermination()
 
@@ -228,7 +228,7 @@ def test_nothing_vanishes_between_bronze_and_the_other_layers(spark, folder):
     ]
     for rows in batches:
         spark.createDataFrame(rows, schemas.MESSAGE).coalesce(1).write.mode("append").parquet(f"{folder}/in")
-        stream = readers.read_event_stream(spark, f"{folder}/in", kind="files", max_per_trigger=1)
+        stream = readers.read_event_stream(spark, f"{folder}/in", kind="files", max_files=1)
         for query in layers.split_sinks(stream, folder, f"{folder}/cp", as_of="2024-02-01", available_now=True):
             query.awaitTermination()
     assert spark.read.parquet(f"{folder}/bronze").count() == 16
