@@ -236,3 +236,25 @@ def test_nothing_vanishes_between_bronze_and_the_other_layers(spark, folder):
     assert silver == ["None"] * 4 + ["e1", "e2", "e3"]
     dead = sorted(str(r.event_id) for r in spark.read.parquet(f"{folder}/dlq").collect())
     assert dead == ["None"] * 6 + ["e2"]
+
+
+def test_compaction_bounds_files_and_loses_nothing(spark, folder):
+    import os
+
+    from basketry.streaming.compaction import compact
+
+    path, parts = f"{folder}/silver", ["event_type", "day"]
+    for batch in range(20):
+        rows = spark.range(6).selectExpr(f"id + {batch * 6} AS n", "concat('T', id % 2) AS event_type", "id % 3 AS day")
+        layers._write_batch(rows.coalesce(1), path, batch, parts)
+    read = lambda: sorted(map(tuple, spark.read.parquet(path).select("n", "event_type", "day").collect()))
+    count = lambda: sum(f.endswith(".parquet") for _, _, names in os.walk(path) for f in names)
+    before, files = read(), count()
+    assert compact(spark, path, parts, keep=2) == 18
+    assert read() == before and count() <= files // 5
+    assert compact(spark, path, parts, keep=2) == 0
+    # broken off after the merged rows were written: the next run finishes it
+    os.rename(f"{path}/batch=17", f"{path}/_merged-0-17")
+    layers._write_batch(spark.sql("SELECT 1L AS n, 'T0' AS event_type, 1L AS day"), path, 3, parts)
+    compact(spark, path, parts, keep=2)
+    assert read() == before
