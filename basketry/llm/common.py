@@ -85,7 +85,8 @@ def record_batch(columns: dict) -> pa.RecordBatch:
 
 def rows_of(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
     for batch in batches:
-        yield from batch.to_pylist()
+        for first in range(0, batch.num_rows, 8):  # a batch of blobs may be large: never all of it as Python objects
+            yield from batch.slice(first, 8).to_pylist()
 
 
 def groups_of(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[tuple[object, list[dict]]]:

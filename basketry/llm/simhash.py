@@ -27,9 +27,9 @@ from basketry.llm.words import mixed
 
 SEED = 42
 #: Distinct fingerprints whose balls a task holds at a time.
-BLOCK = 4096
+BLOCK = 2048
 #: Entries of the line that a reducer holds at a time.
-BUCKET = 8_000_000
+BUCKET = 4_000_000
 #: Slots of the line per variant: one variant in so many meets another by chance.
 ROOM = 64
 

@@ -23,7 +23,7 @@ from basketry.llm import words as w
 from basketry.llm.common import by_key, groups_of, partitions, pieces, record_batch, stored, text_bytes
 
 #: Words that a task hashes before it sends them; a longer document goes alone.
-CHUNK_WORDS = 2_000_000
+CHUNK_WORDS = 1_000_000
 #: Bytes of text whose windows one bucket takes up.
 BUCKET_BYTES = 8_000_000
 #: Stands for a null id: larger than any other.

@@ -32,7 +32,7 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
             return out
 
         have = table(base), table(pow(base, -1, 1 << 64))
-        if size <= 1 << 23:  # a longer text gets tables of its own, which go with it
+        if size <= 1 << 21:  # a longer text gets tables of its own, which go with it
             _powers[base] = have
     return have[0][:n], have[1][:n]
 
