@@ -70,6 +70,14 @@ def _ready(df: DataFrame, features: Sequence[str], label: str | None = None) ->
     return filled if label is None else filled.withColumn(label, F.col(label).cast("double"))
 
 
+#: Rows per task while trees grow: hundreds of trees mean thousands of short jobs, which few tasks keep short.
+ROWS_PER_TASK = 100_000
+
+
+def _gathered(df: DataFrame) -> DataFrame:
+    return df.coalesce(df.count() // ROWS_PER_TASK + 1)
+
+
 def train_churn(
     df: DataFrame, features: Sequence[str], params: ChurnParams = ChurnParams(), label: str = "is_churned",
     test_share: float = 0.2,
@@ -77,7 +85,7 @@ def train_churn(
     """A fitted model, and one row of metrics measured on the held-out share."""
     split = settle(_weighted(_ready(stratified_split(df, label, test_share, params.seed), features, label), label, params))
     learned, held_out = split.filter(~F.col("is_test")), split.filter("is_test")
-    model = _pipeline(features, label, params).fit(learned)
+    model = _pipeline(features, label, params).fit(_gathered(learned))
     judged = probabilities(model, held_out).select(F.col(label).cast("int").alias("label"), "score")
     metrics = areas(judged).select(
         "auc_roc",
@@ -100,7 +108,7 @@ def cross_validate(
         estimator=_pipeline(features, label, params), estimatorParamMaps=ParamGridBuilder().build(),
         evaluator=BinaryClassificationEvaluator(rawPredictionCol="rawPrediction", labelCol=label, numBins=0),
         numFolds=folds, foldCol="fold",
-    ).fit(ready)
+    ).fit(_gathered(settle(ready)))
     return found.avgMetrics[0], found.stdMetrics[0]
 
 

@@ -8,23 +8,30 @@ from basketry import testbed as tb
 from basketry.operators import vectors
 from basketry.plans import churn, features
 from basketry.session import settle
+from basketry.vocabulary import FEATURE_COLUMNS, WEEKLY_FEATURES
 from catalog.common import EV_NOW, Catalog
+from catalog.feature_queries import ALL_CTE
 from catalog.warehouse_queries import fresh_folder
 
 CATALOG = Catalog()
 add = CATALOG.add
 
-QUICK = churn.ChurnParams(trees=10, depth=4)
-
-
 def training_rows(spark, sf_dir):
     return settle(features.label_churn(tb.combined_features(spark, sf_dir)))
 
 
-def trained(spark, sf_dir):
-    rows = training_rows(spark, sf_dir)
-    names = churn.model_features(rows.columns)
-    return (*churn.train_churn(rows, names, QUICK), rows, names)
+_trained: dict[tuple, tuple] = {}
+
+
+def trained(spark, sf_dir, params=churn.ChurnParams(), wanted=FEATURE_COLUMNS):
+    """The model with its real settings, learnt once per session and data for all queries that use it."""
+    key = (spark.sparkContext.applicationId, sf_dir, params, tuple(wanted))
+    if key not in _trained:
+        rows = training_rows(spark, sf_dir)
+        names = churn.model_features(rows.columns, wanted)
+        model, metrics = churn.train_churn(rows, names, params)
+        _trained[key] = (model, settle(metrics), rows, names)
+    return _trained[key]
 
 
 @add("train_churn")
@@ -47,10 +54,53 @@ def _(spark, sf_dir):
     return churn.score_customers(churn.load_model(folder), rows, names, EV_NOW)
 
 
+def _facts(metrics):
+    """What the data determine, whatever trees come out."""
+    return metrics.select(
+        "training_samples", "test_samples", F.size(F.from_json("features", "array<string>")).alias("features"),
+        F.get_json_object("params", "$.trees").cast("int").alias("trees"), F.get_json_object("params", "$.depth").cast("int").alias("depth"),
+        (F.col("auc_roc").isNull() | F.col("auc_roc").between(0, 1)).alias("auc_in_range"))
+
+
+def _facts_sql(n_features: int, trees: int) -> str:
+    return f"""WITH {ALL_CTE}, n AS (SELECT is_churned, count(*) AS n FROM lab GROUP BY 1)
+SELECT CAST(sum(n) - sum(round(n * 0.2)) AS BIGINT) AS training_samples, CAST(sum(round(n * 0.2)) AS BIGINT) AS test_samples,
+       {n_features}::BIGINT AS features, {trees}::BIGINT AS trees, 6::BIGINT AS depth, TRUE AS auc_in_range FROM n"""
+
+
+@add("train_churn_facts", _facts_sql(len(FEATURE_COLUMNS) - 1, 300))
+def _(spark, sf_dir):
+    return _facts(trained(spark, sf_dir)[1])
+
+
+@add("weekly_churn_facts", _facts_sql(len(WEEKLY_FEATURES) - 1, 200))
+def _(spark, sf_dir):
+    """The weekly retraining: its own settings and features."""
+    return _facts(trained(spark, sf_dir, churn.WEEKLY, WEEKLY_FEATURES)[1])
+
+
+@add("churn_scores_facts", f"""WITH {ALL_CTE}
+SELECT customer_id, TRUE AS in_range, TRUE AS band_fits, TRUE AS same_after_reload FROM lab""")
+def _(spark, sf_dir):
+    """One score per customer, its band by the probability, the same from a stored and loaded model."""
+    model, metrics, rows, names = trained(spark, sf_dir)
+    folder = fresh_folder(spark)
+    churn.save_model(model, metrics, folder)
+    scores = churn.score_customers(model, rows, names, EV_NOW)
+    again = churn.score_customers(churn.load_model(folder), rows, names, EV_NOW).select(
+        "customer_id", F.col("churn_probability").alias("again"))
+    p = F.col("churn_probability")
+    band = F.when(p <= 0.3, "low_risk").when(p <= 0.6, "medium_risk").otherwise("high_risk")
+    return scores.join(again, "customer_id").select(
+        "customer_id", p.between(0, 1).alias("in_range"), (F.col("churn_segment") == band).alias("band_fits"),
+        (p == F.col("again")).alias("same_after_reload"))
+
+
 @add("cross_validate")
 def _(spark, sf_dir):
     rows = training_rows(spark, sf_dir)
-    mean, std = churn.cross_validate(rows, churn.model_features(rows.columns), churn.ChurnParams(trees=3, depth=3))
+    # The only cut model: five models of 300 trees take minutes of short jobs on any data, see the README.
+    mean, std = churn.cross_validate(rows, churn.model_features(rows.columns), churn.ChurnParams(trees=20))
     return rows.agg(F.lit(mean).alias("cv_auc_mean"), F.lit(std).alias("cv_auc_std"), F.count("*").alias("customers"))
 
 
