@@ -86,8 +86,7 @@ def encode_column(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """All ids of a column of texts, and the offsets of each text."""
     data, offsets = text_bytes(texts)
     at = cuts(data, offsets, path)
-    whole, places = data.tobytes(), at.tolist()
-    ids, sizes = fragment_ids(path).of([whole[a:b] for a, b in zip(places, places[1:])])
+    ids, sizes = fragment_ids(path).of_spans(data, at[:-1], at[1:])
     return ids, per_text(sizes, np.searchsorted(at, offsets))
 
 

@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 
 from basketry.llm.common import by_key, each_piece, partitions, record_batch, stored, text_bytes, texts_of
 from basketry.llm.cutting_stock import rounded, solve
+from basketry.llm.text_stats import DIGIT, LOWER, UPPER
 from basketry.llm.tokens import fragment_ids, per_text
-from basketry.llm.words import spans
+from basketry.llm.words import SPACE, spans, sums_before
 from basketry.operators.ordering import with_running_totals
 
 #: Tokens by which lengths are rounded up for the linear program.
@@ -32,20 +33,43 @@ STEP = 8
 GROUP_ROWS = 1024
 #: Tokens of the line of left-over documents that one step of the final cut takes up.
 LINE = 1 << 16
+#: ASCII bytes that are neither letters nor digits nor white space.
+PUNCTUATION = ~(UPPER | LOWER | DIGIT | SPACE) & (np.arange(256) > 0x20) & (np.arange(256) < 0x7F)
+
+
+def fragments(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes, starts, ends and text numbers of the parts that are encoded one by one: words, cut after a letter where
+    punctuation follows, and with small letters. So that nothing changes for the tokenizer, words with bytes beyond
+    ASCII (which may combine) stay as they are, as do words with ``<|`` (which may be special tokens)."""
+    starts, ends, doc = spans(data, offsets)
+    odd = data >= 0x80
+    odd[:-1] |= (data[:-1] == ord("<")) & (data[1:] == ord("|"))
+    odds = sums_before(odd.astype(np.int64))
+    plain = np.zeros(len(data) + 1, np.int8)
+    usual = odds[ends] == odds[starts]
+    plain[starts[usual]] += 1
+    plain[ends[usual]] -= 1
+    plain = np.cumsum(plain[:-1], dtype=np.int8).astype(bool)
+    upper = plain & UPPER[data]
+    data = data + (upper.astype(np.uint8) << 5)
+    cut = np.flatnonzero(plain[:-1] & plain[1:] & LOWER[data[:-1]] & PUNCTUATION[data[1:]]) + 1
+    if len(cut):
+        at = np.searchsorted(starts, cut, "right")
+        starts, doc = np.insert(starts, at, cut), np.insert(doc, at, doc[at - 1])
+        ends = np.insert(ends, at - 1, cut)
+    return data, starts, ends, doc
 
 
 def tokenize(documents: DataFrame, path: str, end_id: int = 1, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``row, doc_id, n, ids``: the ids of every text and ``end_id``. ``row`` tells rows apart, whatever their ids.
 
-    For tokenizers that drop white space and never look across it, so that words can be encoded one by one.
+    For tokenizers that ignore case, drop white space, never look across it, and split letters from punctuation.
     """
 
     def make(piece):
         data, offsets = text_bytes(piece.column("text"))
-        starts, ends, doc = spans(data, offsets)
-        whole = data.tobytes()
-        words = [whole[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
-        ids, sizes = fragment_ids(path).of(words)
+        data, starts, ends, doc = fragments(data, offsets)
+        ids, sizes = fragment_ids(path).of_spans(data, starts, ends)
         at = per_text(sizes, np.searchsorted(doc, np.arange(len(offsets))))
         ids = np.insert(ids, at[1:], end_id)
         at = at + np.arange(len(at))

@@ -1,4 +1,8 @@
-"""Token ids of many short fragments, each distinct fragment encoded once."""
+"""Token ids of many short fragments, each distinct fragment encoded once per worker.
+
+Fragments are known by two 64-bit hashes: the first finds them in an open hash table held in numpy arrays, the second
+confirms. So a million fragments take little memory and look-ups run over whole batches.
+"""
 
 from __future__ import annotations
 
@@ -6,10 +10,13 @@ import os
 
 import numpy as np
 
+from basketry.llm import words as w
 from basketry.llm.words import sums_before
 
 #: Distinct fragments a worker remembers; beyond that it starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 1_000_000
+SLOTS = 1 << 21
+CHECK_BASE = 0xA0761D6478BD642F
 
 
 def ragged(offsets: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -32,29 +39,72 @@ class FragmentIds:
         self._forget()
 
     def _forget(self) -> None:
-        self.number: dict[bytes, int] = {}
+        self.keys = np.zeros(SLOTS, np.uint64)  # 0: free
+        self.rows = np.zeros(SLOTS, np.int32)
+        self.checks = np.zeros(0, np.uint64)
         self.ids = np.zeros(0, np.int32)
         self.offsets = np.zeros(1, np.int64)
 
-    def _learn(self, new: list[bytes]) -> None:
-        encoded = self.tokenizer.encode([f.decode() for f in new], is_pretokenized=True, add_special_tokens=False)
-        words = np.array(encoded.word_ids, np.int64)
-        sizes = np.bincount(words, minlength=len(new))
-        self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
+    def _look_up(self, keys: np.ndarray) -> np.ndarray:
+        """The row of each key, -1 for unknown ones."""
+        found = np.full(len(keys), -1, np.int64)
+        left, slot = np.arange(len(keys)), (keys & np.uint64(SLOTS - 1)).astype(np.int64)
+        while len(left):
+            here = self.keys[slot]
+            hit = here == keys[left]
+            found[left[hit]] = self.rows[slot[hit]]
+            on = ~hit & (here != 0)
+            left, slot = left[on], (slot[on] + 1) & (SLOTS - 1)
+        return found
+
+    def _enter(self, keys: np.ndarray, rows: np.ndarray) -> None:
+        """Puts new keys into free slots; where several want one slot, the last gets it and the others go on."""
+        slot = (keys & np.uint64(SLOTS - 1)).astype(np.int64)
+        while len(keys):
+            free = self.keys[slot] == 0
+            self.keys[slot[free]] = keys[free]
+            self.rows[slot[free]] = rows[free]
+            on = self.keys[slot] != keys
+            keys, rows, slot = keys[on], rows[on], (slot[on] + 1) & (SLOTS - 1)
+
+    def _learn(self, fragments: list[bytes], checks: np.ndarray) -> np.ndarray:
+        """Encodes fragments and returns their new rows."""
+        encoded = self.tokenizer.encode([f.decode() for f in fragments], is_pretokenized=True, add_special_tokens=False)
+        sizes = np.bincount(np.array(encoded.word_ids, np.int64), minlength=len(fragments))
+        rows = np.arange(len(self.checks), len(self.checks) + len(fragments))
+        self.checks = np.concatenate([self.checks, checks])
         self.ids = np.concatenate([self.ids, np.array(encoded.ids, np.int32)])
         self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum(sizes)])
+        return rows
+
+    def of_spans(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the fragments ``data[starts[k]:ends[k]]`` in order, and how many each fragment has."""
+        keys = np.maximum(w.hashes(data, starts, ends), 1)
+        checks = w.stretch_hashes(data.astype(np.uint64) + np.uint64(1), starts, ends, CHECK_BASE)
+        rows = self._look_up(keys)
+        rows[(rows >= 0) & (np.append(self.checks, 0)[rows] != checks)] = -1
+        new = np.flatnonzero(rows < 0)
+        if len(new):
+            _, first, again = np.unique(w.mixed(keys[new]) ^ checks[new], return_index=True, return_inverse=True)
+            if len(self.checks) and len(self.checks) + len(first) > REMEMBERED:
+                self._forget()
+                return self.of_spans(data, starts, ends)
+            at, whole = new[first], data.tobytes()
+            learnt = self._learn([whole[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())], checks[at])
+            if len(self.checks) <= REMEMBERED:  # else one batch alone is too large for the table
+                self._enter(keys[at], learnt)
+            rows[new] = learnt[again]
+        at, sizes = ragged(self.offsets, rows)
+        ids = self.ids[at]
+        if len(self.checks) > REMEMBERED:
+            self._forget()
+        return ids, sizes
 
     def of(self, fragments: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids in order, and how many each fragment has."""
-        new = set(fragments).difference(self.number)
-        if new and len(self.number) + len(new) > REMEMBERED:
-            self._forget()
-            new = set(fragments)
-        if new:
-            self._learn(sorted(new))
-        rows = np.fromiter(map(self.number.__getitem__, fragments), np.int64, len(fragments))
-        at, sizes = ragged(self.offsets, rows)
-        return self.ids[at], sizes
+        """All ids of a list of fragments, and how many each has."""
+        ends = np.cumsum([len(f) for f in fragments], dtype=np.int64)
+        sizes = np.array([len(f) for f in fragments], np.int64)
+        return self.of_spans(np.frombuffer(b"".join(fragments), np.uint8), ends - sizes, ends)
 
 
 _known: dict[str, FragmentIds] = {}

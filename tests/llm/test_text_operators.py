@@ -140,13 +140,40 @@ def test_same_ids_as_the_library():
         assert ids[ends[k]:ends[k + 1]].tolist() == library.encode(text, add_special_tokens=False).ids, text
 
 
-def test_words_encode_one_by_one():
+def test_fragments_encode_one_by_one():
     from tokenizers import Tokenizer
 
+    from basketry.llm.common import text_bytes
+    from basketry.llm.packing import fragments
+
     path = public_tokenizers.path("word_bpe_49k.json")
-    library, words = Tokenizer.from_file(path), fragment_ids(path)
-    for text in fuzz(ODD, 3000, seed=4):
-        assert words.of(text.encode().split())[0].tolist() == library.encode(text, add_special_tokens=False).ids, text
+    library, known = Tokenizer.from_file(path), fragment_ids(path)
+    texts = fuzz([*ODD, "J\u030c", "I\u0307", "A", "B.", "It's", "we'LL", "<|startoftext|>", "|>"], 6000, seed=4) + [long_text(300)]
+    data, starts, ends, doc = fragments(*text_bytes(pa.array(texts)))
+    ids, sizes = known.of_spans(data, starts, ends)
+    at = np.concatenate([[0], np.cumsum(sizes)])[np.searchsorted(doc, np.arange(len(texts) + 1))]
+    for k, text in enumerate(texts):
+        assert ids[at[k]:at[k + 1]].tolist() == library.encode(text, add_special_tokens=False).ids, text
+
+
+def test_fragment_table_forgets_and_survives_clashes(monkeypatch):
+    from basketry.llm import tokens
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    words = [f" w{k % 300}".encode() for k in range(2000)]
+    want = [x.tolist() for x in tokens.FragmentIds(path).of(words)]
+    monkeypatch.setattr(tokens, "REMEMBERED", 40)
+    monkeypatch.setattr(tokens, "SLOTS", 64)
+    small = tokens.FragmentIds(path)
+    assert [x.tolist() for x in small.of(words)] == want
+    for k in range(0, 2000, 20):
+        got = small.of(words[k:k + 20])
+        assert got[1].tolist() == want[1][k:k + 20]
+    monkeypatch.setattr(tokens, "REMEMBERED", 1000)
+    monkeypatch.setattr(tokens, "SLOTS", 1 << 12)
+    monkeypatch.setattr(tokens.w, "hashes", lambda data, starts, ends: np.full(len(starts), 7, np.uint64))
+    clashing = tokens.FragmentIds(path)
+    assert [x.tolist() for x in clashing.of(words)] == want and [x.tolist() for x in clashing.of(words)] == want
 
 
 def test_encoding_round_trip_of_awkward_documents(spark):
