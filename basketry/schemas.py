@@ -10,6 +10,7 @@ ENVELOPE = (
     "timestamp string, kafka_topic string, ingestion_time string, schema_version string"
 )
 
+# Names and types of the stored and transported tables.
 # One wide nullable row: the union of the fields of all event types, lists included.
 PAYLOAD = (
     ENVELOPE

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from basketry.vocabulary import PAYMENT_METHODS, PLANS
+
 EVENTS_AS_OF = "2024-01-31 00:00:00"
 ORDERS_AS_OF = "2001-08-02 00:00:00"
 EVENTS_START = "2024-01-01 00:00:00"
@@ -17,8 +19,7 @@ REGIONS = ["Maharashtra", "Karnataka", "Delhi", "Tamil Nadu", "West Bengal"]
 DEVICES = ["Mobile", "Desktop", "Tablet", "Unknown"]
 DIRTY_DEVICES = [" mobile", "APP", "Desktop ", "tablet", "smart tv"]
 CATEGORIES = ["Electronics", "Fashion", "Home", "Beauty", "Sports", "Books", "Toys", "Grocery"]
-METHODS = ["credit_card", "debit_card", "upi", "net_banking", "wallet", "cod"]
-PLANS = ["free", "basic", "pro", "enterprise"]
+METHODS = PAYMENT_METHODS
 SIGNUP_AS = ["LOGOUT", "SEARCH", "LOGIN"]
 ERROR_AS = ["REFUND", "PAYMENT_FAILURE", "SUBSCRIPTION"]
 

@@ -64,7 +64,8 @@ RFM_BANDS = [(6, "Bronze"), (9, "Silver"), (12, "Gold")]
 RFM_LAST = "Platinum"
 NEVER_DAYS = 9999
 
-# Model inputs. The first list is the full set, the second the weekly retraining set.
+# Model inputs. The first list is the full set, the second the weekly retraining set, the third the set
+# that exploration looks at.
 FEATURE_COLUMNS = [
     "recency_days",
     "frequency",

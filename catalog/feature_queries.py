@@ -136,6 +136,16 @@ def _(spark, sf_dir):
     return serving.feature_snapshots(stored_features(spark, sf_dir))
 
 
+@add("feature_snapshots_of_many", f"""WITH {ALL_CTE}
+SELECT strftime(DATE '{EV_DAY}' - k * INTERVAL 7 DAY, '%Y-%m-%d') AS snapshot_date, count(*) AS customer_count
+FROM comb, (SELECT unnest([0, 1, 2, 3, 4, 5, 6, 7]) AS k) WHERE k < 5 GROUP BY 1""")
+def _(spark, sf_dir):
+    """Eight weekly snapshots, of which five are shown."""
+    weeks = tb.combined_features(spark, sf_dir).withColumn("week", F.explode(F.sequence(F.lit(0), F.lit(7))))
+    store = weeks.withColumn("snapshot_date", F.expr("date_sub(snapshot_date, 7 * week)"))
+    return serving.feature_snapshots(store)
+
+
 @add("label_churn", f"WITH {ALL_CTE} SELECT customer_id, recency_days, is_churned FROM lab")
 def _(spark, sf_dir):
     return features.label_churn(tb.combined_features(spark, sf_dir)).select(

@@ -170,6 +170,20 @@ def _(spark, sf_dir):
     return latest_dq_results(spark.read.parquet(folder))
 
 
+@add("latest_dq_results_of_many", f"""WITH {RULES_CTE}, many AS (
+  SELECT rules.* REPLACE (table_name || '_' || k AS table_name, round(failure_rate, 4) AS failure_rate)
+  FROM rules, (SELECT unnest([0, 1, 2]) AS k))
+SELECT * FROM many ORDER BY checked_at DESC, rule_name, table_name LIMIT 20""")
+def _(spark, sf_dir):
+    """Thirty stored results, of which the panel shows twenty."""
+    from basketry.plans.serving import latest_dq_results
+
+    folder, results = f"{shared_folder(spark)}/{uuid.uuid4().hex}", rule_results(spark, sf_dir)
+    for k in range(3):
+        append_dq_results(results.withColumn("table_name", F.concat("table_name", F.lit(f"_{k}"))), folder)
+    return latest_dq_results(spark.read.parquet(folder))
+
+
 NOT_NULL, TO_EXIST, IN_SET = (
     "expect_column_values_to_not_be_null", "expect_column_to_exist", "expect_column_values_to_be_in_set"
 )
@@ -310,6 +324,18 @@ def _(spark, sf_dir):
     )
 
 
+@add("event_contract_complete", f"""WITH {EVENTS_CTE}
+SELECT event_id, event_type, CASE WHEN device = 'Unknown' THEN 'unknown device' ELSE '' END AS reasons,
+       device <> 'Unknown' AS contract_valid FROM ev""")
+def _(spark, sf_dir):
+    """Events with all fields of their type: valid but for the device."""
+    events = tb.events(spark, sf_dir)
+    wanted = [*contract.BASE_FIELDS, *(f for fields in contract.TYPE_FIELDS.values() for f in fields)]
+    whole = events.withColumns({f: F.lit("x") for f in dict.fromkeys(wanted) if f not in events.columns})
+    return contract.validate_event_contract(whole).select(
+        "event_id", "event_type", F.array_join("contract_reasons", "; ").alias("reasons"), "contract_valid")
+
+
 @add("topic_rows", f"""WITH {EVENTS_CTE}
 SELECT customer_id AS key,
        CASE WHEN event_type IN ('LOGIN','LOGOUT') THEN 'customer-login'

@@ -77,9 +77,8 @@ METRICS = {
 
 
 def state_size(spark, sf_dir) -> int:
-    """State partitions that grow with the source: twice its scan tasks, at least 8, at most the session's setting."""
-    scans = tb.table(spark, sf_dir, "events").rdd.getNumPartitions()
-    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), max(8, 2 * scans))
+    """State partitions: a setting of the deployment, as they can't change while a checkpoint lives."""
+    return int(spark.conf.get("spark.basketry.state.partitions", "8"))
 
 
 def finish(queries) -> None:

@@ -489,6 +489,19 @@ def _(spark, sf_dir):
     return serving.latest_pipeline_runs(spark.read.parquet(folder))
 
 
+@add("latest_runs_of_many", """
+SELECT 'daily' AS dag_id, strftime(ts, '%Y-%m-%d') AS task_id, 'success' AS status, count(*) AS records_processed,
+       60::BIGINT AS duration_seconds, strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S.%f') AS started_at
+FROM events GROUP BY 2, 6 ORDER BY started_at DESC LIMIT 20""")
+def _(spark, sf_dir):
+    """A run for every day of events, of which twenty are shown."""
+    day = F.date_trunc("day", F.col("ts").cast("timestamp"))
+    runs = tb.table(spark, sf_dir, "events").groupBy(day.alias("started_at")).agg(F.count("*").alias("records_processed"))
+    return serving.latest_pipeline_runs(runs.select(
+        F.lit("daily").alias("dag_id"), F.date_format("started_at", "yyyy-MM-dd").alias("task_id"),
+        F.lit("success").alias("status"), "records_processed", F.lit(60).alias("duration_seconds"), "started_at"))
+
+
 @add("warehouse_sql", f"""WITH {ORDERS_CTE}, {SCORES_CTE}
 SELECT churn_segment, count(DISTINCT customer_id) AS customers, sum(total_amount)::DOUBLE AS revenue
 FROM fo JOIN sc USING (customer_id) GROUP BY 1""")

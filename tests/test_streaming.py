@@ -258,3 +258,13 @@ def test_compaction_bounds_files_and_loses_nothing(spark, folder):
     layers._write_batch(spark.sql("SELECT 1L AS n, 'T0' AS event_type, 1L AS day"), path, 3, parts)
     compact(spark, path, parts, keep=2)
     assert read() == before
+
+
+def test_console_shows_batches(spark, folder, capfd):
+    spark.range(3).write.parquet(f"{folder}/in")
+    query = layers.write_console(spark.readStream.schema("id long").parquet(f"{folder}/in"))
+    try:
+        query.processAllAvailable()
+        assert query.lastProgress["numInputRows"] in (0, 3) and query.isActive
+    finally:
+        query.stop()
