@@ -183,5 +183,7 @@ def near_duplicates(
     linked = placed.join(named, "root").select("fp", "component_id", F.lit(True).alias("linked"))
     every = nodes.join(linked, "fp", "left").select(
         "fp", F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("first_id")).alias("component_id"))
+    # Written, so that the next join deals out both sides itself and can split a fingerprint that many documents have.
+    every = stored(every, "fingerprint-groups")
     return prints.join(every, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
