@@ -45,8 +45,11 @@ def fingerprint(text: bytes, width: int) -> int:
     k = min(width, len(words))
     digest = xxhash.xxh64_digest
     raw = b"".join([digest(joined[a:b - 1], SEED) for a, b in zip(starts, ends[k - 1:])])
-    bits = np.unpackbits(np.frombuffer(raw, np.uint8).reshape(-1, 8), axis=1)
-    return int.from_bytes(np.packbits(2 * bits.sum(axis=0, dtype=np.int64) > len(bits)).tobytes(), "big")
+    hashes = np.frombuffer(raw, np.uint8).reshape(-1, 8)
+    counts = np.zeros(64, np.int64)
+    for first in range(0, len(hashes), 1 << 16):  # a bit takes a byte here: never all of a long text at once
+        counts += np.unpackbits(hashes[first:first + (1 << 16)], axis=1).sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * counts > len(hashes)).tobytes(), "big")
 
 
 def fingerprints(documents: DataFrame, width: int = 4, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -86,6 +86,7 @@ def test_rules_against_brute_force(spark):
         "".join("/" + rng.choice(["", *parts]) for _ in range(rng.randint(0, 4))), rng.choice(["", "?a=/en/", "#://net/", "?"]))
         for _ in range(1500)]
     urls += [None, "", "nothing", "://", "http://", "http://net", "http://NET/", "http://net?x", "HTTP://a.net:80/en/", "x\n://net/\n"]
+    urls += ["x" * 100_000, "http://" + "y" * 50_000 + ".net/" + "z" * 100_000 + "?", "http://net/" + "é/" * 300]
     df = spark.createDataFrame([(k, u, "r", "h") for k, u in enumerate(urls)], "page_id long, url string, row string, host string")
     listed = spark.createDataFrame([*rules, rules[0], (None, "a", "block")], "host string, path string, verdict string")
     got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in url_filter.judge(df, listed).collect()}
