@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -46,6 +47,28 @@ def shared_folder(spark: SparkSession) -> str:
     return made
 
 
+_made: list[str] = []
+
+
+def shared_path(spark: SparkSession, name: str = "table") -> str:
+    """A new folder of its own below the shared folder, for a table that later steps read."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def drop_intermediates(spark: SparkSession) -> int:
+    """Deletes the folders ``shared_path`` gave out in this process so far, and returns how many there were.
+
+    Results that still read them can't be computed again; call it once they are written.
+    """
+    paths, _made[:] = list(_made), []
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    return len(paths)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared folder, so later steps see one fixed result."""
     spark = df.sparkSession

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from basketry import testbed as tb
 from basketry.operators import cleaning, contract, dedup, quality
 from basketry.plans import marts, staging
-from basketry.session import shared_folder
+from basketry.session import shared_path
 from basketry.sinks.writers import append_dq_results, to_topic_rows
 from catalog.common import (
     EV_NOW, EVENTS_CTE, ORD_NOW, ORDERS_CTE, UNTIDY_CTE, Catalog, cents, day_text, exact_ratio, time_text,
@@ -165,7 +163,7 @@ ORDER BY checked_at DESC, rule_name, table_name LIMIT 20""")
 def _(spark, sf_dir):
     from basketry.plans.serving import latest_dq_results
 
-    folder = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    folder = shared_path(spark)
     append_dq_results(rule_results(spark, sf_dir), folder)
     return latest_dq_results(spark.read.parquet(folder))
 
@@ -178,7 +176,7 @@ def _(spark, sf_dir):
     """Thirty stored results, of which the panel shows twenty."""
     from basketry.plans.serving import latest_dq_results
 
-    folder, results = f"{shared_folder(spark)}/{uuid.uuid4().hex}", rule_results(spark, sf_dir)
+    folder, results = shared_path(spark), rule_results(spark, sf_dir)
     for k in range(3):
         append_dq_results(results.withColumn("table_name", F.concat("table_name", F.lit(f"_{k}"))), folder)
     return latest_dq_results(spark.read.parquet(folder))

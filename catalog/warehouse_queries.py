@@ -10,7 +10,7 @@ from basketry import schemas
 from basketry import testbed as tb
 from basketry.operators import cleaning, keyed
 from basketry.plans import gold, serving, staging, warehouse
-from basketry.session import shared_folder
+from basketry.session import shared_path
 from basketry.sinks import versions, writers
 from basketry.sources import readers
 from catalog.common import (
@@ -23,7 +23,7 @@ add = CATALOG.add
 
 
 def fresh_folder(spark) -> str:
-    return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    return shared_path(spark)
 
 
 @add("dim_time", f"""WITH s AS (

@@ -260,6 +260,18 @@ def test_compaction_bounds_files_and_loses_nothing(spark, folder):
     assert read() == before
 
 
+def test_intermediate_folders_can_be_dropped(spark):
+    import os
+
+    from basketry import session
+
+    path = session.shared_path(spark, "kept")
+    spark.range(3).write.parquet(path)
+    place = path.removeprefix("file://")
+    assert os.path.isdir(place) and session.drop_intermediates(spark) >= 1
+    assert not os.path.exists(place) and session.drop_intermediates(spark) == 0
+
+
 def test_console_shows_batches(spark, folder, capfd):
     spark.range(3).write.parquet(f"{folder}/in")
     query = layers.write_console(spark.readStream.schema("id long").parquet(f"{folder}/in"))
