@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import itertools
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -11,15 +10,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.session import shared_folder
+from basketry.session import shared_path
 
 #: Bytes of text that a task takes up at a time; a longer text is taken alone.
-PIECE_BYTES = 1 << 20
-
-
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A folder of its own below the folder that all executors share."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+PIECE_BYTES = 500_000
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -32,7 +32,7 @@ STEP = 8
 #: Rows per group in which ranks are counted, at least.
 GROUP_ROWS = 1024
 #: Tokens of the line of left-over documents that one step of the final cut takes up.
-LINE = 1 << 16
+LINE = 1 << 14
 #: ASCII bytes that are neither letters nor digits nor white space.
 PUNCTUATION = ~(UPPER | LOWER | DIGIT | SPACE) & (np.arange(256) > 0x20) & (np.arange(256) < 0x7F)
 
