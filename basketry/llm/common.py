@@ -31,8 +31,15 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def one_thread_each(spark: SparkSession) -> None:
+    """Python workers started from now on compute with one thread: a task has one core, and the threads of many tasks
+    would wait for each other. A setting of the deployment goes first."""
+    spark.sparkContext.environment.setdefault("OMP_NUM_THREADS", "1")
+
+
 def texts_of(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """The two columns an operator reads, as ``doc_id`` and ``text`` (null text: empty). Other columns stay out."""
+    one_thread_each(df.sparkSession)
     return df.select(
         F.col(f"`{id_column}`").cast("long").alias("doc_id"),
         F.coalesce(F.col(f"`{text_column}`").cast("string"), F.lit("")).alias("text"),

@@ -37,7 +37,7 @@ def solve(sizes: np.ndarray, demand: np.ndarray, room: int, rounds: int = 5000)
     """Patterns (one per row) and how often each is cut, so that every size is met exactly with fewest stocks.
 
     Revised simplex; the knapsack prices one new column a round. If ``rounds`` should not be enough the solution so far
-    is feasible, only not the best.
+    is feasible, only not the best; so it is when ``m`` rounds (the number of sizes) have gained next to nothing.
     """
     m = len(sizes)
     whole = demand.sum()
@@ -45,15 +45,18 @@ def solve(sizes: np.ndarray, demand: np.ndarray, room: int, rounds: int = 5000)
     patterns = np.diag(room // sizes)
     inverse = np.diag(1 / (room // sizes))
     amount = inverse @ need
+    reached, since = np.inf, 0
     for k in range(rounds):
-        if k % 200 == 199:  # against rounding
-            inverse = np.linalg.inv(patterns.T)
-            amount = np.maximum(inverse @ need, 0)
+        if amount.sum() < reached * (1 - 1e-6):
+            reached, since = amount.sum(), k
+        elif k - since > m:  # small demands: many bases give the same solution
+            break
         prices = inverse.sum(axis=0)
         gain, column = best_pattern(prices, sizes, room)
         if gain <= 1 + 1e-7:
             break
-        step = inverse @ column
+        # not by a threaded library: thousands of small products would wait for each other's threads
+        step = np.einsum("ij,j->i", inverse, column.astype(float))
         usable = np.flatnonzero(step > 1e-9)
         leave = usable[np.argmin(amount[usable] / step[usable])]
         far = amount[leave] / step[leave]

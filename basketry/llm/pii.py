@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketry.llm.common import each_piece, pieces, record_batch, texts_of
+from basketry.llm.common import each_piece, one_thread_each, pieces, record_batch, rows_of, stored, texts_of
 from basketry.llm.tagger import Tagger, classes
 
 KINDS = ("email", "ip", "card", "phone")
@@ -29,6 +29,8 @@ Span = tuple[str, int, int]
 WINDOW, STRIDE = 64, 32
 #: Windows to learn from, at most: a bounded sample, by the smallest hashes.
 SAMPLE = 2400
+#: Documents per window of the sample whose windows may compete, at most.
+STORED = 200
 HIDDEN, STEPS, BATCH, RATE, SEED = 16, 700, 48, 0.02, 11
 
 LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
@@ -146,8 +148,10 @@ def examples(rows: list[tuple[str, list[Span]]], seed: int = SEED) -> tuple[np.n
 def train(documents: DataFrame, text_column: str = "text") -> Tagger | None:
     """A tagger from at most ``SAMPLE`` windows of ``documents`` (None if no text has a digit or an at sign).
 
-    Every window competes; those with the smallest hash are taken, half of them with a span of the patterns.
+    Windows with the smallest hashes are taken, half of them with a span of the patterns. Of a large corpus only hashes
+    below a bound that falls with the number of documents compete, so that the windows stored on the way are bounded too.
     """
+    share = min(1.0, STORED * SAMPLE / max(documents.count(), 1))
 
     def cut(piece):
         texts, marks = [], []
@@ -161,17 +165,27 @@ def train(documents: DataFrame, text_column: str = "text") -> Tagger | None:
         return {"part": pa.array(texts, pa.string()), "spans": pa.array(marks, pa.string())}
 
     own = texts_of(documents.select(F.lit(0).alias("doc_id"), F.col(f"`{text_column}`").alias("text")), "doc_id", "text")
-    found = each_piece(own, cut, "part string, spans string")
-    rows = []
-    for some in ("spans <> ''", "spans = ''"):
-        rows += found.where(some).orderBy(F.xxhash64("part"), "part").limit(SAMPLE // 2).collect()
-    if not rows:
+    found = each_piece(own, cut, "part string, spans string").withColumn("rank", F.pmod(F.xxhash64("part"), F.lit(1 << 30)))
+    found = stored(found.where(F.col("rank") <= int(share * (1 << 30))), "labelled-windows").coalesce(8)
+    parts = [found.where(some).orderBy("rank", "part").limit(SAMPLE // 2) for some in ("spans <> ''", "spans = ''")]
+
+    def learn(batches):
+        """Trains in one task, which Spark gives one thread: many small products gain nothing from more."""
+        rows = sorted((r["part"], r["spans"]) for r in rows_of(batches))
+        if rows:
+            read = lambda s: [(k, int(a), int(b)) for k, a, b in (x.split(":") for x in s.split(";") if x)]
+            x, tags = examples([(part, read(spans)) for part, spans in rows])
+            tagger = Tagger.new(2 * len(KINDS) + 1, HIDDEN, SEED)
+            tagger.train(x, tags, STEPS, BATCH, RATE, SEED)
+            names, arrays = zip(*tagger.weights.items())
+            yield record_batch({"name": list(names), "shape": [list(w.shape) for w in arrays],
+                                "weights": pa.array([w.tobytes() for w in arrays], pa.binary())})
+
+    sample = parts[0].unionByName(parts[1]).select("part", "spans").repartition(1)
+    weights = sample.mapInArrow(learn, "name string, shape array<long>, weights binary").collect()
+    if not weights:
         return None
-    read = lambda s: [(k, int(a), int(b)) for k, a, b in (x.split(":") for x in s.split(";") if x)]
-    x, tags = examples([(r["part"], read(r["spans"])) for r in rows])
-    tagger = Tagger.new(2 * len(KINDS) + 1, HIDDEN, SEED)
-    tagger.train(x, tags, STEPS, BATCH, RATE, SEED)
-    return tagger
+    return Tagger({r["name"]: np.frombuffer(r["weights"], np.float32).reshape(r["shape"]) for r in weights})
 
 
 # --- finding -------------------------------------------------------------------------------------------------
@@ -305,6 +319,7 @@ def mask(documents: DataFrame, tagger: Tagger | None, text_column: str = "text",
 
     A null text stays null; all other columns stay as they are.
     """
+    one_thread_each(documents.sparkSession)
 
     def run(batches):
         for piece in pieces(batches, text_column):

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketry.llm.common import by_key, each_piece, groups_of, pieces, record_batch, stored, texts_of
+from basketry.llm.common import by_key, each_piece, groups_of, one_thread_each, pieces, record_batch, stored, texts_of
 from basketry.llm.text_stats import counts
 
 N_FEATURES = 13
@@ -206,6 +206,7 @@ def classify(documents: DataFrame, labels: DataFrame, id_column: str = "doc_id",
 
 def keep_good(documents: DataFrame, model: Model, text_column: str = "text") -> DataFrame:
     """The documents that ``model`` accepts, all columns as they were."""
+    one_thread_each(documents.sparkSession)
 
     def run(batches):
         for piece in pieces(batches, text_column):
