@@ -26,6 +26,26 @@ def ragged(offsets: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.arange(int(sizes.sum())) + np.repeat(offsets[rows] - ahead, sizes), sizes
 
 
+class Growing:
+    """A numpy array that grows at its end, by doubling."""
+
+    def __init__(self, kind) -> None:
+        self.data, self.size = np.zeros(1024, kind), 0
+
+    def extend(self, values: np.ndarray) -> None:
+        end = self.size + len(values)
+        if end > len(self.data):
+            bigger = np.zeros(max(2 * len(self.data), end), self.data.dtype)
+            bigger[:self.size] = self.data[:self.size]
+            self.data = bigger
+        self.data[self.size:end] = values
+        self.size = end
+
+    @property
+    def values(self) -> np.ndarray:
+        return self.data[:self.size]
+
+
 class FragmentIds:
     """Ids of byte fragments by a tokenizer of the ``tokenizers`` library."""
 
@@ -41,9 +61,8 @@ class FragmentIds:
     def _forget(self) -> None:
         self.keys = np.zeros(SLOTS, np.uint64)  # 0: free
         self.rows = np.zeros(SLOTS, np.int32)
-        self.checks = np.zeros(0, np.uint64)
-        self.ids = np.zeros(0, np.int32)
-        self.offsets = np.zeros(1, np.int64)
+        self.checks, self.ids, self.offsets = Growing(np.uint64), Growing(np.int32), Growing(np.int64)
+        self.offsets.extend(np.zeros(1, np.int64))
 
     def _look_up(self, keys: np.ndarray) -> np.ndarray:
         """The row of each key, -1 for unknown ones."""
@@ -71,10 +90,10 @@ class FragmentIds:
         """Encodes fragments and returns their new rows."""
         encoded = self.tokenizer.encode([f.decode() for f in fragments], is_pretokenized=True, add_special_tokens=False)
         sizes = np.bincount(np.array(encoded.word_ids, np.int64), minlength=len(fragments))
-        rows = np.arange(len(self.checks), len(self.checks) + len(fragments))
-        self.checks = np.concatenate([self.checks, checks])
-        self.ids = np.concatenate([self.ids, np.array(encoded.ids, np.int32)])
-        self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum(sizes)])
+        rows = np.arange(self.checks.size, self.checks.size + len(fragments))
+        self.checks.extend(checks)
+        self.ids.extend(np.array(encoded.ids, np.int32))
+        self.offsets.extend(self.offsets.values[-1] + np.cumsum(sizes))
         return rows
 
     def of_spans(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -82,21 +101,22 @@ class FragmentIds:
         keys = np.maximum(w.hashes(data, starts, ends), 1)
         checks = w.stretch_hashes(data.astype(np.uint64) + np.uint64(1), starts, ends, CHECK_BASE)
         rows = self._look_up(keys)
-        rows[(rows >= 0) & (np.append(self.checks, 0)[rows] != checks)] = -1
+        known = np.flatnonzero(rows >= 0)
+        rows[known[self.checks.values[rows[known]] != checks[known]]] = -1
         new = np.flatnonzero(rows < 0)
         if len(new):
             _, first, again = np.unique(w.mixed(keys[new]) ^ checks[new], return_index=True, return_inverse=True)
-            if len(self.checks) and len(self.checks) + len(first) > REMEMBERED:
+            if self.checks.size and self.checks.size + len(first) > REMEMBERED:
                 self._forget()
                 return self.of_spans(data, starts, ends)
             at, whole = new[first], data.tobytes()
             learnt = self._learn([whole[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())], checks[at])
-            if len(self.checks) <= REMEMBERED:  # else one batch alone is too large for the table
+            if self.checks.size <= REMEMBERED:  # else one batch alone is too large for the table
                 self._enter(keys[at], learnt)
             rows[new] = learnt[again]
-        at, sizes = ragged(self.offsets, rows)
-        ids = self.ids[at]
-        if len(self.checks) > REMEMBERED:
+        at, sizes = ragged(self.offsets.values, rows)
+        ids = self.ids.values[at]
+        if self.checks.size > REMEMBERED:
             self._forget()
         return ids, sizes
 
