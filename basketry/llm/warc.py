@@ -23,7 +23,7 @@ MAGIC = b"\x1f\x8b\x08"
 REVISIT_BYTES = 1000
 #: Bytes of an archive that a task owns, and that it reads at a time.
 RANGE_BYTES, BLOCK_BYTES = 8 << 20, 1 << 20
-#: A record's own header is at most so long.
+#: Bytes that are decoded at a time to see whether a member begins with a record's header, however long that is.
 HEADER_BYTES = 1 << 16
 
 
@@ -104,21 +104,28 @@ def write_archives(
 
 
 def _member(file, start: int, header_only: bool = False) -> tuple[bytes, int] | None:
-    """The record whose member begins at ``start`` and where the member ends; None if none begins there."""
+    """The record whose member begins at ``start`` and where the member ends; None if none begins there.
+
+    With ``header_only`` decoding ends with the header, and neither the record nor its end is whole.
+    """
     file.seek(start)
     unpack, out, at = zlib.decompressobj(31), bytearray(), start
+    block = b""
     while not unpack.eof:
-        block = file.read(HEADER_BYTES if at == start else BLOCK_BYTES)
         if not block:
-            return None
+            block = file.read(HEADER_BYTES if at == start else BLOCK_BYTES)
+            if not block:
+                return None
+            at += len(block)
+        seen = max(len(out) - 3, 0)
         try:
             out += unpack.decompress(block, HEADER_BYTES if header_only else 0)
         except zlib.error:
             return None
-        at += len(block)
+        block = unpack.unconsumed_tail
         if len(out) >= 7 and not out.startswith(b"WARC/1."):
             return None
-        if header_only and (b"\r\n\r\n" in out or len(out) >= HEADER_BYTES):
+        if header_only and out.find(b"\r\n\r\n", seen) >= 0:
             break
     if b"\r\n\r\n" not in out or not out.startswith(b"WARC/1."):
         return None
@@ -205,10 +212,20 @@ def read_archives(files: DataFrame, with_payload: bool = True, range_bytes: int
     return ranges.mapInArrow(read, schema + ", payload binary" * with_payload)
 
 
+def complete(rows: DataFrame, files: DataFrame) -> DataFrame:
+    """``rows`` read from the archives in ``files`` (with ``records``), stored; an error if their numbers differ."""
+    rows = stored(rows, "records")
+    read, listed = rows.count(), files.agg(F.coalesce(F.sum("records"), F.lit(0)).alias("n")).first()["n"]
+    if read != listed:
+        raise ValueError(f"{read} records read, {listed} written")
+    return rows
+
+
 def round_trip(pages: DataFrame, folder: str | None = None, **columns: str) -> DataFrame:
     """Writes archives and reads them back, without the payloads; one row per page.
 
-    Null payloads and urls, null ids, repeated pages and empty tables are fine; further columns are not written.
+    Null payloads and urls, null ids, repeated pages and empty tables are fine; further columns are not written. As many
+    records must be read as were written.
     """
     files = write_archives(pages, folder or shared_path(pages.sparkSession, "warc"), **columns)
-    return read_archives(files, with_payload=False)
+    return complete(read_archives(files, with_payload=False), files)

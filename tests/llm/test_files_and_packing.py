@@ -57,6 +57,30 @@ def test_archives_round_trip(spark, folder):
     assert warc.round_trip(pages(spark, []), folder + "/none").count() == 0
 
 
+def test_long_headers_begin_a_range(spark, folder):
+    urls = ["http://a/" + "".join(random.Random(k).choices("abcdefgh0123456789", k=n)) for k, n in enumerate((100_000, 9, 3_000_000, 65_300))]
+    raw = [warc.record(k, u, b"x" * 50, "0", None, False) for k, u in enumerate(urls)]
+    data = b"".join(gzip.compress(r) for r in raw)
+    for size in (1000, 50_000, len(data)):
+        got = [r for s in range(0, len(data), size) for r in warc.records_in(io.BytesIO(data), s, min(s + size, len(data)))]
+        assert got == raw
+    rows = [(k, u, "x" * 50) for k, u in enumerate(urls)]
+    df = pages(spark, rows).repartition(1)
+    files = warc.write_archives(df, folder + "/a")
+    for size in (1000, warc.RANGE_BYTES):
+        out = warc.read_archives(files, range_bytes=size).collect()
+        assert sorted((r.page_id, r.url) for r in out) == [(k, u) for k, u, _ in rows]
+    assert warc.round_trip(df, folder + "/b").count() == len(rows)
+
+
+def test_missing_records_are_an_error(spark, folder):
+    files = warc.write_archives(pages(spark, [(k, "u", "x") for k in range(5)]), folder)
+    rows = warc.read_archives(files, with_payload=False)
+    assert warc.complete(rows, files).count() == 5
+    with pytest.raises(ValueError):
+        warc.complete(rows.where("page_id > 0"), files)
+
+
 # --- url lists -----------------------------------------------------------------------------------------------
 
 
