@@ -2,10 +2,11 @@
 
 The patterns find e-mail and network addresses, card and phone numbers. The tagger, a bidirectional LSTM with CRF
 transitions over characters, learns from spans that the patterns label in a bounded sample of the corpus, as they stand
-and rewritten the way people write them to escape patterns (no plus sign, spelled-out at and dot, other separators). It
-reads overlapping windows around every digit and at sign of a whole text: a span of any of the four kinds has one. The
-windows' findings are reconciled over the whole text: overlapping findings of a kind become one, a finding must hold
-what its kind demands, and of those that still overlap a heaviest set of disjoint ones stays. Base spans always stay.
+and rewritten the way people write them to escape patterns (no plus sign, spelled-out at and dot, other separators),
+and from spelled-out addresses of the sample's words, which have no digit. It reads overlapping windows around every
+digit, at sign and spelled-out at with a domain behind it: a span of any of the four kinds has one. The windows'
+findings are reconciled over the whole text: overlapping findings of a kind become one, a finding must hold what its
+kind demands, and of those that still overlap a heaviest set of disjoint ones stays. Base spans always stay.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ WINDOW, STRIDE = 64, 32
 SAMPLE = 2400
 #: Documents per window of the sample whose windows may compete, at most.
 STORED = 200
+#: Spelled-out addresses without digits to learn from, per window that begins with an e-mail address.
+DIGIT_FREE = 4
 HIDDEN, STEPS, BATCH, RATE, SEED = 16, 700, 48, 0.02, 11
 
 LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
@@ -40,7 +43,13 @@ IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]+){3}")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 NO_DIGIT = re.compile(r"[^0-9]+")
-HINT = re.compile(r"[0-9@]|[(\[{] ?at ?[)\]}]")
+HINT = re.compile(r"[0-9@]|[(\[{]\s*+at\s*+[)\]}]", re.I)
+# Spelled-out signs of an address in any case; an at with a domain behind it; all of what may be such an address.
+AT = r"(?:\s*+[\[({]\s*+at\s*+[\])}]\s*+|\s++at\s++)"
+DOT = r"(?:\.|\s*+[\[({]\s*+(?:dot|\.)\s*+[\])}]\s*+|\s++dot\s++)"
+SPELLED = re.compile(rf"(?:[\[({{]\s*+at(?=\s*+[\])}}]\s*+[a-z0-9-]++{DOT}[a-z0-9-])|\sat(?=\s++[a-z0-9-]++{DOT}[a-z0-9-]))", re.I)
+CHAIN = re.compile(rf"(?<![a-z0-9._%+-])[a-z0-9._%+-]++(?:(?:{AT}|{DOT})[a-z0-9._%+-]++)++", re.I)
+AT_SIGN, DOT_SIGN = re.compile(AT, re.I), re.compile(DOT, re.I)
 
 
 def luhn(digits: str) -> bool:
@@ -82,8 +91,15 @@ def base_spans(text: str) -> list[Span]:
 
 
 def windows(text: str) -> list[int]:
-    """Starts of the windows that hold a digit or an at sign, on a fixed raster, each place in two of them."""
+    """Starts of the windows that hold a digit, an at sign or a part of what may be a spelled-out address, on a fixed
+    raster, each place in two of them. A finding that counts (``_holds``) has one of these."""
     marked = {m.start() // STRIDE for m in HINT.finditer(text)}
+    spelled = [m.start() // STRIDE for m in SPELLED.finditer(text)]
+    if spelled:
+        marked.update(spelled)
+        for m in CHAIN.finditer(text):
+            if SPELLED.search(text, *m.span()):
+                marked.update(range(m.start() // STRIDE, (m.end() - 1) // STRIDE + 1))
     return sorted({k * STRIDE for m in marked for k in (m - 1, m) if k >= 0})
 
 
@@ -106,6 +122,13 @@ def _rewritten(kind: str, value: str, rng: random.Random) -> str:
     return rng.choice([f"({area}) {first}-{last}", f"{area}-{first}-{last}", f"{area}.{first}.{last}", f"1-{area}-{first}-{last}"])
 
 
+def _address(words: str, rng: random.Random) -> str:
+    """An e-mail address without digits, of words as they come."""
+    names = re.findall(r"[A-Za-z]{2,12}", words) or ["info"]
+    user = rng.choice(["", ".", "_", "-"]).join(rng.choices(names, k=rng.randint(1, 2)))
+    return f"{user}@{'.'.join(rng.choices(names, k=rng.randint(1, 2)))}.{rng.choice(['com', 'org', 'net', 'edu', 'de'])}"
+
+
 def _decoys(rng: random.Random) -> str:
     """Numbers that are no personal data."""
     n = lambda a, b: rng.randint(a, b)
@@ -139,14 +162,21 @@ def examples(rows: list[tuple[str, list[Span]]], seed: int = SEED) -> tuple[np.n
             new = _rewritten(kind, text[a:b], rng)
             lead = text[max(0, a - rng.randint(0, 20)):a]
             add((lead + new + text[b:])[:WINDOW], [(kind, len(lead), min(len(lead) + len(new), WINDOW))])
-        a = rng.randint(0, 30)
         words = re.sub(r"[0-9@+]+", "", text)
+        if spans and spans[0][0] == "email":
+            for _ in range(DIGIT_FREE):
+                address = _address(words, rng)
+                new = _rewritten("email", address, rng)
+                lead = words[:rng.randint(0, 30)] + rng.choice([" ", ": ", "\n"])
+                add(f"{lead}{new}{rng.choice([' ', '.', ', '])}{words}"[:WINDOW], [("email", len(lead), min(len(lead) + len(new), WINDOW))])
+            add(f"{lead}at {address.partition('@')[2]} {words}"[:WINDOW], [])
+        a = rng.randint(0, 30)
         add(f"{words[:a]} {_decoys(rng)} {words[a:]}"[:WINDOW], [])
     return classes(texts, WINDOW), np.array(tags).reshape(-1, WINDOW)
 
 
 def train(documents: DataFrame, text_column: str = "text") -> Tagger | None:
-    """A tagger from at most ``SAMPLE`` windows of ``documents`` (None if no text has a digit or an at sign).
+    """A tagger from at most ``SAMPLE`` windows of ``documents`` (None if no text has one).
 
     Windows with the smallest hashes are taken, half of them with a span of the patterns. Of a large corpus only hashes
     below a bound that falls with the number of documents compete, so that the windows stored on the way are bounded too.
@@ -194,8 +224,7 @@ def train(documents: DataFrame, text_column: str = "text") -> Tagger | None:
 def _holds(kind: str, value: str) -> bool:
     """Whether a finding of the tagger has what its kind demands, however it is written."""
     if kind == "email":
-        plain = re.sub(r"\s*[\[({]\s*at\s*[\])}]\s*|\s+at\s+", "@", value)
-        plain = re.sub(r"\s*[\[({]\s*(?:dot|\.)\s*[\])}]\s*|\s+dot\s+", ".", plain)
+        plain = DOT_SIGN.sub(".", AT_SIGN.sub("@", value))
         return re.fullmatch(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", plain) is not None
     digits = NO_DIGIT.sub("", value)
     if kind == "ip":

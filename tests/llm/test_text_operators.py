@@ -267,6 +267,34 @@ def test_findings_join_base_spans_and_clean_texts_stay_clean(tagger):
     assert pii.find(clean, tagger) == [([], [])] * 4
 
 
+def spelled_out():
+    """Addresses without digits in every rewritten form, as they are and in capitals, in four settings."""
+    rng = random.Random(8)
+    settings = ["{}", "write to {} for more", "Contact: {}\nThanks", "Please send any comment you may have to {} and we answer"]
+    users, hosts = ["john", "maria.lopez", "anna_k", "peterwagner"], ["example.com", "physics.acme.org"]
+    for k in range(200):
+        new = pii._rewritten("email", f"{rng.choice(users)}@{rng.choice(hosts)}", rng)
+        yield settings[k % 4], new.upper() if k % 3 == 0 else new
+
+
+def test_windows_hold_spelled_out_addresses():
+    for setting, new in spelled_out():
+        for lead in ("", "x" * 50 + " "):
+            text = lead + setting.format(new)
+            a = text.index(new)
+            places = {p for s in pii.windows(text) for p in range(s, s + pii.WINDOW)}
+            assert places >= set(range(a, a + len(new))), text
+            assert pii._holds("email", new), new
+    assert pii.windows("we met at noon. Then at the end of a dotted line (at home)") == []
+
+
+def test_spelled_out_addresses_without_digits_are_found(tagger):
+    cases = [(setting.format(new), new) for setting, new in spelled_out()]
+    found = [[t[a:b] for _, a, b in spans] for (t, _), (_, spans) in zip(cases, pii.find([t for t, _ in cases], tagger))]
+    assert sum(f == [new] for f, (_, new) in zip(found, cases)) > 0.9 * len(cases)
+    assert pii.find(["Look at example.com for more.", "A look at the dot com boom"], tagger) == [([], [])] * 2
+
+
 def test_reconciled_spans_are_disjoint_and_heaviest():
     text = "x 4111.1111.1111.1111 y 10[.]20[.]30[.]40 z"
     found = [("card", 2, 15, 3.0), ("card", 10, 21, 4.0), ("ip", 2, 21, 1.0), ("ip", 24, 41, 2.0), ("phone", 24, 41, 9.0)]
