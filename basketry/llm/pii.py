@@ -178,8 +178,9 @@ def examples(rows: list[tuple[str, list[Span]]], seed: int = SEED) -> tuple[np.n
 def train(documents: DataFrame, text_column: str = "text") -> Tagger | None:
     """A tagger from at most ``SAMPLE`` windows of ``documents`` (None if no text has one).
 
-    Windows with the smallest hashes are taken, half of them with a span of the patterns. Of a large corpus only hashes
-    below a bound that falls with the number of documents compete, so that the windows stored on the way are bounded too.
+    Distinct windows with the smallest hashes are taken, half of them with a span of the patterns. Of a large corpus only
+    hashes below a bound that falls with the number of documents compete, so that the windows stored on the way are
+    bounded too.
     """
     share = min(1.0, STORED * SAMPLE / max(documents.count(), 1))
 
@@ -196,7 +197,9 @@ def train(documents: DataFrame, text_column: str = "text") -> Tagger | None:
 
     own = texts_of(documents.select(F.lit(0).alias("doc_id"), F.col(f"`{text_column}`").alias("text")), "doc_id", "text")
     found = each_piece(own, cut, "part string, spans string").withColumn("rank", F.pmod(F.xxhash64("part"), F.lit(1 << 30)))
-    found = stored(found.where(F.col("rank") <= int(share * (1 << 30))), "labelled-windows").coalesce(8)
+    # Equal windows share a rank: one of each, or copies would fill the sample.
+    found = found.where(F.col("rank") <= int(share * (1 << 30))).distinct()
+    found = stored(found, "labelled-windows").coalesce(8)
     parts = [found.where(some).orderBy("rank", "part").limit(SAMPLE // 2) for some in ("spans <> ''", "spans = ''")]
 
     def learn(batches):

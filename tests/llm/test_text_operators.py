@@ -316,5 +316,14 @@ def test_scan_and_mask_awkward_documents(spark, tagger):
     assert pii.masked("abcdef", [("ip", 1, 4), ("card", 2, 5)]) == "a<IP>f"
 
 
+def test_copies_of_a_window_count_once_in_the_sample(spark, monkeypatch):
+    texts = ["call +1 (555) 555-5555 now"] * 3000 + [f"number {k} of many" for k in range(100)]
+    kept, store = [], pii.stored
+    monkeypatch.setattr(pii, "stored", lambda df, name: kept.append(store(df, name)) or kept[-1])
+    monkeypatch.setattr(pii, "STEPS", 2)
+    pii.train(spark.createDataFrame([(t,) for t in texts], "text string"))
+    assert Counter(r.part for r in kept[0].collect()) == Counter(set(texts))
+
+
 def test_classes_fill_up_short_texts():
     assert classes(["a1", ""], 4).tolist() == [[4, 3, 1, 1], [1, 1, 1, 1]]
