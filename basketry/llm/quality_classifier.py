@@ -1,14 +1,14 @@
 """Document quality from text statistics: random Fourier features, ridge regression, isotonic calibration.
 
 Cosines of random projections approximate a Gaussian kernel over a few statistics of a text. Every task adds up its
-part of the normal equations; the sums meet in a few slots, and the driver solves one small system. The scores of the
-training rows, counted in fixed bins, give a rising step curve (pool adjacent violators) that turns a score into a
-share of good documents.
+part of the normal equations, by fold; the sums meet in a few slots, and the driver solves one small system, and one per
+fold without its rows. The scores that the latter give the rows they have not seen, counted in fixed bins, make a rising
+curve (pool adjacent violators) that turns a score into a share of good documents.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -16,12 +16,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketry.llm.common import by_key, each_piece, groups_of, one_thread_each, pieces, record_batch, stored, texts_of
+from basketry.llm.common import by_key, each_piece, one_thread_each, pieces, record_batch, rows_of, stored, texts_of
 from basketry.llm.text_stats import counts
 
 N_FEATURES = 13
-#: Partial sums meet in so many slots before the driver adds them.
-SLOTS = 8
+#: Labelled documents fall into so many folds by their id; calibration sees each by a model without its fold.
+FOLDS = 4
+#: Partial sums meet in so many slots per fold before the driver adds them.
+SLOTS = 4
 #: Bins for calibration: raw scores from -0.5 to 1.5.
 BINS, LOW, HIGH = 1000, -0.5, 1.5
 
@@ -69,7 +71,8 @@ class Model:
         return np.column_stack([np.ones(len(x)), waves])
 
     def raw(self, x: np.ndarray) -> np.ndarray:
-        return self.expand(x) @ self.weights
+        # Rounded: the last bits of a product depend on the rows beside it, and equal texts get equal scores.
+        return np.round(self.expand(x) @ self.weights, 9)
 
     def score(self, x: np.ndarray) -> np.ndarray:
         return np.interp(self.raw(x), *self.knots)
@@ -104,35 +107,52 @@ def _matrix(column) -> np.ndarray:
     return np.asarray(column.flatten()).reshape(-1, N_FEATURES)
 
 
-def _sums(rows: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray] | None:
-    """Normal equations of all ``rows`` (x, y): summed per task, then per slot, then here."""
+def _sums(rows: DataFrame, model: Model) -> np.ndarray:
+    """Normal equations (the target as last column) of ``rows`` (x, y, fold), one per fold: summed per task, then per
+    slot, then here."""
+    size = len(model.phases) + 1
 
     def per_task(batches):
-        total = None
+        totals = {}
         for batch in batches:
             for start in range(0, batch.num_rows, 4096):
                 part = batch.slice(start, 4096)
-                z = model.expand(_matrix(part.column("x")))
-                add = z.T @ np.column_stack([z, np.asarray(part.column("y"))])
-                total = add if total is None else total + add
-        if total is not None:
-            from pyspark import TaskContext
+                z, y = model.expand(_matrix(part.column("x"))), np.asarray(part.column("y"))
+                folds = np.asarray(part.column("fold"))
+                for fold in np.unique(folds).tolist():
+                    own = z[folds == fold]
+                    totals[fold] = totals.get(fold, 0) + own.T @ np.column_stack([own, y[folds == fold]])
+        from pyspark import TaskContext
 
-            slot = TaskContext.get().partitionId() % SLOTS
-            yield record_batch({"slot": pa.array([slot], pa.int32()), "sums": pa.array([total.tobytes()])})
+        place = TaskContext.get().partitionId() % SLOTS
+        for fold, total in totals.items():
+            yield record_batch({"slot": pa.array([fold * SLOTS + place], pa.int32()), "sums": pa.array([total.tobytes()])})
 
     def per_slot(batches):
-        for slot, parts in groups_of(batches, "slot"):
-            total = sum(np.frombuffer(p["sums"]) for p in parts)
+        slot, total = None, None
+        for row in rows_of(batches):
+            if slot is not None and row["slot"] != slot:
+                yield record_batch({"slot": pa.array([slot], pa.int32()), "sums": pa.array([total.tobytes()])})
+                total = None
+            slot, add = row["slot"], np.frombuffer(row["sums"])
+            total = add if total is None else total + add
+        if slot is not None:
             yield record_batch({"slot": pa.array([slot], pa.int32()), "sums": pa.array([total.tobytes()])})
 
     schema = "slot int, sums binary"
-    slots = by_key(rows.mapInArrow(per_task, schema), "slot").mapInArrow(per_slot, schema).collect()
-    if not slots:
-        return None
-    size = len(model.phases) + 1
-    total = sum(np.frombuffer(r["sums"]) for r in slots).reshape(size, size + 1)
-    return total[:, :size], total[:, size]
+    out = np.zeros((FOLDS, size, size + 1))
+    for row in by_key(rows.mapInArrow(per_task, schema), "slot").mapInArrow(per_slot, schema).toLocalIterator():
+        out[row["slot"] // SLOTS] += np.frombuffer(row["sums"]).reshape(size, size + 1)
+    return out
+
+
+def _solved(sums: np.ndarray, ridge: float) -> np.ndarray:
+    """The weights of normal equations; with no row all are zero."""
+    gram, target = sums[:, :-1], sums[:, -1]
+    n = gram[0, 0]
+    penalty = np.full(len(gram), ridge * n + 0.01)
+    penalty[0] = 0 if n else 1  # the constant
+    return np.linalg.solve(gram + np.diag(penalty), target)
 
 
 def fit(
@@ -140,8 +160,9 @@ def fit(
 ) -> Model:
     """A model from a table of ``features`` and ``labels`` (doc_id, quality 0 or 1).
 
-    All labelled documents that are not held out take part; labels without a document, or null, do not. Scales come
-    from all documents. Without any labelled document every score is 0.5.
+    All labelled documents that are not held out take part, every row of a repeated id; labels without a document, or
+    null, do not. A label given twice counts once, and an id with both labels has none. Scales come from all documents.
+    Without any labelled document every score is 0.5.
     """
     spread = [F.avg(F.col("x")[k]).alias(f"m{k}") for k in range(N_FEATURES)]
     spread += [F.stddev_pop(F.col("x")[k]).alias(f"s{k}") for k in range(N_FEATURES)]
@@ -153,20 +174,24 @@ def fit(
     model = Model(mean, scale, directions, phases, np.zeros(n_waves + 1), (np.array([0.0]), np.array([0.5])))
 
     marks = labels.select("doc_id", F.col("quality").cast("double").alias("y")).where("y IN (0, 1)")
-    rows = table.where(~is_held_out(F.col("doc_id"))).join(marks, "doc_id").select("x", "y")
+    marks = marks.groupBy("doc_id").agg(F.min("y").alias("y"), F.max("y").alias("top")).where("y = top").drop("top")
+    fold = F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)).cast("int").alias("fold")
+    rows = table.where(~is_held_out(F.col("doc_id"))).join(marks, "doc_id").select("x", "y", fold)
     rows = stored(rows, "quality-rows")
     sums = _sums(rows, model)
-    if sums is None:
+    if not sums.any():
         return model
-    gram, target = sums
-    n = gram[0, 0]
-    penalty = np.full(len(gram), ridge * n + 0.01)
-    penalty[0] = 0  # the constant
-    model.weights = np.linalg.solve(gram + np.diag(penalty), target)
+    total = sums.sum(axis=0)
+    model.weights = _solved(total, ridge)
+    unseen = [replace(model, weights=_solved(total - part if (total - part)[0, 0] else total, ridge)) for part in sums]
 
     def binned(batches):
         for batch in batches:
-            raw = np.clip(model.raw(_matrix(batch.column("x"))), LOW, HIGH - 1e-9)
+            x, folds = _matrix(batch.column("x")), np.asarray(batch.column("fold"))
+            raw = np.zeros(len(x))
+            for k in np.unique(folds).tolist():
+                raw[folds == k] = unseen[k].raw(x[folds == k])
+            raw = np.clip(raw, LOW, HIGH - 1e-9)
             yield record_batch({
                 "bin": ((raw - LOW) / (HIGH - LOW) * BINS).astype(np.int32), "raw": raw, "y": batch.column("y"),
             })

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from basketry.llm import (
     bpe, packing, pii, quality_classifier, quality_rules, simhash, sketches, substring_dedup, url_filter, warc,
 )
+from basketry.llm.common import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -48,7 +49,7 @@ k AS (
          regexp_extract(substr(rest, length(raw) + 1), '^([^?#]*)', 1) AS path FROM h),
 rules(rhost, rpath, rule, verdict) AS (
   VALUES ('net', '/', 'net/', 'block'), ('example.net', '/en/', 'example.net/en/', 'allow'),
-         ('example.com', '/de/', 'example.com/de/', 'block'), ('org', '/fr', 'org/fr', 'allow')),
+         ('example.com', '/de/', 'example.com/de/', 'block'), ('org', '/fr/', 'org/fr/', 'allow')),
 j AS (
   SELECT k.page_id, k.host, k.path, rule, verdict,
          row_number() OVER (PARTITION BY k.page_id ORDER BY length(rule) DESC NULLS LAST) AS place
@@ -58,7 +59,7 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM j W
 def op2(spark, sf_dir):
     rules = spark.sql(
         "SELECT * FROM VALUES ('net', '', 'block'), ('example.net', 'en/', 'allow'), ('example.com', 'de/', 'block'),"
-        " ('org', 'fr', 'allow') AS rules(host, path, verdict)")
+        " ('org', 'fr/', 'allow') AS rules(host, path, verdict)")
     return url_filter.judge(table(spark, sf_dir, "pages"), rules)
 
 
@@ -133,7 +134,7 @@ def op9(spark, sf_dir):
 
 
 WORDS = r"[^\x20\x09-\x0D]+"
-OP10_SQL = f"""
+OP10_BITS = f"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t, row_number() OVER () AS r FROM documents),
 w AS (
@@ -171,6 +172,8 @@ b AS (
          + CASE WHEN 2 * n_marks > n_words THEN 32 ELSE 0 END
          + CASE WHEN word_chars > 15 * n_words THEN 64 ELSE 0 END AS bits
   FROM m)
+"""
+OP10_SQL = f"""{OP10_BITS}
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
        CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
        CAST(n_repeat_words AS BIGINT) AS n_repeat_words, CAST(bits AS BIGINT) AS failed,
@@ -180,6 +183,15 @@ FROM b"""
 
 @query("op10_quality_rules", OP10_SQL)
 def op10(spark, sf_dir):
-    rows = quality_rules.verdicts(quality_rules.ledger(table(spark, sf_dir, "documents")))
+    ledger = stored(quality_rules.ledger(table(spark, sf_dir, "documents")), "quality-ledger")
+    rows = quality_rules.verdicts(ledger)
     return rows.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "failed", "base_failed", "kept")
+
+
+@query("quality_rule_ablations", f"""{OP10_BITS}
+SELECT rule, count(*) FILTER (bits & flag <> 0) AS n_failed, count(*) FILTER (bits = flag) AS n_only
+FROM b, (VALUES {", ".join(f"('{name}', {1 << k})" for k, (name, _) in enumerate(quality_rules.RULES))}) AS r(rule, flag)
+GROUP BY rule""")
+def quality_rule_ablations(spark, sf_dir):
+    return quality_rules.ablations(stored(quality_rules.ledger(table(spark, sf_dir, "documents")), "quality-ledger"))

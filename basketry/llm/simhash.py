@@ -74,10 +74,13 @@ def ball(radius: int) -> np.ndarray:
 def links(nodes: DataFrame, distance: int = 4) -> DataFrame:
     """Pairs ``a, b`` of distinct fingerprints (column ``fp``) that connect all within ``distance`` bits.
 
-    Each shared variant links its fingerprints to the smallest of them.
+    Each shared variant links its fingerprints to one hub, the smallest of them. With an odd distance only a fingerprint
+    that is one bit nearer to the variant than the radius can be the hub: it is within ``distance`` of all others that
+    have the variant, and of two fingerprints within an odd distance one is that near to some common variant.
     """
     count = nodes.count()
-    masks = ball((distance + 1) // 2)
+    radius = (distance + 1) // 2
+    masks = ball(radius)
     entries = max(1, count * len(masks))
     bits = min(62, (ROOM * entries - 1).bit_length())
     shift = np.uint64(64 - bits)
@@ -152,10 +155,12 @@ def links(nodes: DataFrame, distance: int = 4) -> DataFrame:
         for _, rows in groups_of(batches, "bucket"):
             variants = np.concatenate([np.frombuffer(r["variants"], np.uint64) for r in rows])
             fps = np.concatenate([np.frombuffer(r["fps"], np.int64) for r in rows])
-            order = np.lexsort((fps, variants))
-            variants, fps = variants[order], fps[order]
+            far = np.bitwise_count(variants ^ fps.view(np.uint64)) > distance - radius
+            order = np.lexsort((fps, far, variants))
+            variants, fps, far = variants[order], fps[order], far[order]
             first = np.concatenate([[True], variants[1:] != variants[:-1]])
-            least = fps[np.flatnonzero(first)][np.cumsum(first) - 1]
+            hub = np.flatnonzero(first)[np.cumsum(first) - 1]
+            fps, least = fps[~far[hub]], fps[hub][~far[hub]]
             pairs = np.unique(np.column_stack([fps, least])[fps != least], axis=0)
             near = np.bitwise_count((pairs[:, 0] ^ pairs[:, 1]).view(np.uint64)) <= distance
             if near.any():

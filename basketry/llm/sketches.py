@@ -1,8 +1,9 @@
 """Threshold-scaled sketches: every shingle hash below a fixed fraction of the hash range is kept.
 
 The size of a sketch follows the size of its text, so the share of a short text inside a much longer one can be
-estimated, and the sketch of a union is the union of the sketches. A text whose shingles all miss the threshold keeps
-its smallest hash, so that only a text without words has an empty sketch.
+estimated, and the sketch of a union is the union of the sketches. Half of the range is kept, so that few texts keep
+nothing: one in 2**k of those with k shingles. Such a text keeps its smallest hash as a mark of its own, which tells it
+from other short texts but is never found in a longer one; only a text without words has an empty sketch.
 """
 
 from __future__ import annotations
@@ -18,8 +19,8 @@ from pyspark.sql import functions as F
 from basketry.llm import words as w
 from basketry.llm.common import each_piece, partitions, pieces, record_batch, text_bytes, texts_of
 
-#: One hash in so many is kept.
-SCALE = 8
+#: One hash in so many is kept, by its upper 32 bits (two of 10,000 hashes in common by chance: 0.01 expected).
+SCALE = 2
 #: Words per shingle.
 WIDTH = 5
 #: Stands for a null id in the order of documents: smaller than any other.
@@ -36,30 +37,30 @@ def sketches(texts: pa.Array, scale: int = SCALE, width: int = WIDTH) -> list[np
     sizes = np.bincount(doc, minlength=n)
     few = np.flatnonzero((sizes > 0) & (sizes < width))
     first = (np.cumsum(sizes) - sizes)[few]
-    whole = w.mixed(w.stretch_hashes(word_hash, first, first + sizes[few], w.WORD_BASE))
-    owner, hashes = np.concatenate([doc[at], few]), np.concatenate([hashes, whole])
+    whole = w.chained(word_hash, first, sizes[few])
+    owner, hashes = np.concatenate([doc[at], few]), (np.concatenate([hashes, whole]) >> np.uint64(32)).astype(np.uint32)
     order = np.lexsort((hashes, owner))
     owner, hashes = owner[order], hashes[order]
     new_text = np.diff(owner, prepend=-1) > 0
-    new = new_text | (np.diff(hashes, prepend=np.uint64(0)) != 0)
-    kept = new & ((hashes < np.uint64((1 << 64) // scale)) | new_text)
+    new = new_text | (np.diff(hashes, prepend=np.uint32(0)) != 0)
+    kept = new & ((hashes < (1 << 32) // scale) | new_text)
     owner, hashes = owner[kept], hashes[kept]
     return np.split(hashes, np.searchsorted(owner, np.arange(1, n)))
 
 
 def to_text(sketch: np.ndarray) -> str:
-    """Sixteen hex digits per hash, rising."""
-    return sketch.astype(">u8").tobytes().hex()
+    """Eight hex digits per hash, rising."""
+    return sketch.astype(">u4").tobytes().hex()
 
 
 def from_text(text: str) -> np.ndarray:
-    return np.frombuffer(bytes.fromhex(text), ">u8").astype(np.uint64)
+    return np.frombuffer(bytes.fromhex(text), ">u4").astype(np.uint32)
 
 
 def merged(a: np.ndarray, b: np.ndarray, scale: int = SCALE) -> np.ndarray:
     """The sketch of both texts' shingles together."""
     both = np.union1d(a, b)
-    below = both[both < np.uint64((1 << 64) // scale)]
+    below = both[both < (1 << 32) // scale]
     return below if len(below) else both[:1]
 
 
@@ -84,45 +85,64 @@ def edited(text: str, following: str) -> str:
     return text[:len(text) - half] + following[:half]
 
 
+class Ranges:
+    """Ranges of the order by falling key, then falling turn; a key with several of the limits falls into as many ranges
+    of its turn, so that no key is too large for a range."""
+
+    def __init__(self, limits: list[float]) -> None:
+        self.keys, shares = np.unique(np.array(limits, np.float64).astype(np.int64), return_counts=True)
+        self.shares = shares[::-1]
+        self.firsts = 1 + np.cumsum(self.shares) - self.shares
+
+    def of(self, key: np.ndarray, turn: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.zeros(len(key), np.int64)
+        after = len(self.keys) - np.searchsorted(self.keys, key, "left") - 1  # the lowest limit at or above the key
+        at = np.maximum(after, 0)
+        fallen = (np.uint64((1 << 63) - 1) - turn.astype(np.int64).view(np.uint64)) >> np.uint64(32)
+        inside = (fallen * self.shares[at].astype(np.uint64) >> np.uint64(32)).astype(np.int64)
+        inside = np.where(self.keys[::-1][at] == key, inside, self.shares[at] - 1)
+        return np.where(after < 0, 0, self.firsts[at] + inside)
+
+
 def _with_neighbours(rows: DataFrame) -> DataFrame:
-    """``rows`` (key, text, ...) dealt into ranges of falling key, each followed by the first rows of the next range.
+    """``rows`` (key, turn, text, no_id) dealt into ranges of their order, each followed by the first row of the next.
 
-    Ranges come from quantiles of the key alone; only their limits and largest keys reach the driver, a few numbers per
+    Ranges come from quantiles of the key alone; only their limits and first keys reach the driver, a few numbers per
     partition. The text is shuffled once.
     """
-    wanted = 2 * partitions(rows.sparkSession)
+    spark = rows.sparkSession
+    wanted = 2 * partitions(spark)
     limits = rows.approxQuantile("key", [k / wanted for k in range(1, wanted)], 0.25 / wanted)
-    limits = np.unique(np.array(limits, np.float64).astype(np.int64))
+    ranges = Ranges(limits)
 
     @F.pandas_udf("int")
-    def range_of(key: pd.Series) -> pd.Series:
-        return pd.Series(len(limits) - np.searchsorted(limits, key.to_numpy(), "right"))
-
-    heads = rows.groupBy(range_of("key").alias("part")).agg(F.max("key").alias("key")).orderBy("part").collect()
-    before = pd.Series({row["key"]: heads[k - 1]["part"] for k, row in enumerate(heads)}, dtype="float64")
-
-    @F.pandas_udf("array<int>")
-    def places(key: pd.Series) -> pd.Series:
-        """The range of a row and, for the first of a range, the one before; the first range follows the last."""
-        own = (len(limits) - np.searchsorted(limits, key.to_numpy(), "right")).tolist()
-        return pd.Series([[a] if b != b else [a, int(b)] for a, b in zip(own, key.map(before))])
+    def range_of(key: pd.Series, turn: pd.Series) -> pd.Series:
+        return pd.Series(ranges.of(key.to_numpy(), turn.to_numpy()))
 
-    spread = rows.select("*", F.posexplode(places("key")).alias("ghost", "part"))
-    return spread.repartition(partitions(rows.sparkSession), "part").sortWithinPartitions(
-        "part", "ghost", F.col("key").desc(), "text")
+    dealt = rows.withColumns({"part": range_of("key", "turn"), "ghost": F.lit(0)})
+    heads = dealt.groupBy("part").agg(F.max(F.struct("key", "turn")).alias("head")).orderBy("part").collect()
+    if not heads:
+        return dealt
+    follows = [(*row["head"], heads[k - 1]["part"]) for k, row in enumerate(heads)]
+    first = F.broadcast(spark.createDataFrame(follows, "key long, turn long, part int"))  # one row per range
+    ghosts = rows.join(first, ["key", "turn"]).groupBy("key", "turn", "part").agg(
+        F.min("text").alias("text"), F.first("no_id").alias("no_id")).withColumn("ghost", F.lit(1))
+    return dealt.unionByName(ghosts).repartition(partitions(spark), "part").sortWithinPartitions(
+        "part", "ghost", F.col("key").desc(), F.col("turn").desc(), "text")
 
 
 def compare_edits(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Every document's sketch, its edited text's, and how alike they are, and it and the next document are.
 
     The next document is the one with the next smaller id, after the last the first (a single document follows
-    itself); rows of one id follow each other by text, null ids come last. A null text is empty. Repeated rows come out
-    once each; an empty table gives an empty result; further columns are left out. Likeness is the containment of the
-    smaller sketch in the other, 0 to 1.
+    itself); rows of one id follow each other by falling checksum of the text, then by text, null ids come last. A null
+    text is empty. Repeated rows come out once each; an empty table gives an empty result; further columns are left out.
+    Likeness is the containment of the smaller sketch in the other, 0 to 1.
     """
     text = F.coalesce(F.col(f"`{text_column}`").cast("string"), F.lit(""))
     rows = documents.select(
-        F.coalesce(F.col(f"`{id_column}`").cast("long"), F.lit(NO_ID)).alias("key"), text.alias("text"),
+        F.coalesce(F.col(f"`{id_column}`").cast("long"), F.lit(NO_ID)).alias("key"), F.xxhash64(text).alias("turn"), text.alias("text"),
         F.col(f"`{id_column}`").isNull().alias("no_id"))
 
     def run(batches):

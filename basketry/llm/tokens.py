@@ -1,7 +1,7 @@
 """Token ids of many short fragments, each distinct fragment encoded once per worker.
 
-Fragments are known by two 64-bit hashes: the first finds them in an open hash table held in numpy arrays, the second
-confirms. So a million fragments take little memory and look-ups run over whole batches.
+A 64-bit hash finds a fragment in an open hash table held in numpy arrays, its bytes confirm it. So a million fragments
+take little memory and look-ups run over whole batches.
 """
 
 from __future__ import annotations
@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 
 import numpy as np
+import xxhash
 
 from basketry.llm import words as w
 from basketry.llm.words import sums_before
@@ -16,7 +17,6 @@ from basketry.llm.words import sums_before
 #: Distinct fragments a worker remembers; beyond that it starts anew.
 REMEMBERED = 1_000_000
 SLOTS = 1 << 21
-CHECK_BASE = 0xA0761D6478BD642F
 
 
 def ragged(offsets: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -61,8 +61,14 @@ class FragmentIds:
     def _forget(self) -> None:
         self.keys = np.zeros(SLOTS, np.uint64)  # 0: free
         self.rows = np.zeros(SLOTS, np.int32)
-        self.checks, self.ids, self.offsets = Growing(np.uint64), Growing(np.int32), Growing(np.int64)
-        self.offsets.extend(np.zeros(1, np.int64))
+        self.bytes, self.ends = Growing(np.uint8), Growing(np.int64)
+        self.ids, self.offsets = Growing(np.int32), Growing(np.int64)
+        for growing in (self.ends, self.offsets):
+            growing.extend(np.zeros(1, np.int64))
+
+    @property
+    def known(self) -> int:
+        return self.ends.size - 1
 
     def _look_up(self, keys: np.ndarray) -> np.ndarray:
         """The row of each key, -1 for unknown ones."""
@@ -86,37 +92,47 @@ class FragmentIds:
             on = self.keys[slot] != keys
             keys, rows, slot = keys[on], rows[on], (slot[on] + 1) & (SLOTS - 1)
 
-    def _learn(self, fragments: list[bytes], checks: np.ndarray) -> np.ndarray:
+    def _same(self, rows: np.ndarray, fragments: list[bytes]) -> np.ndarray:
+        """Whether the known fragments ``rows`` have the bytes of ``fragments``."""
+        at, sizes = ragged(self.ends.values, rows)
+        lengths = np.array([len(f) for f in fragments], np.int64)
+        same = sizes == lengths
+        kept = np.repeat(same, sizes)
+        given = np.frombuffer(b"".join([f for f, s in zip(fragments, same.tolist()) if s]), np.uint8)
+        differs = np.repeat(np.flatnonzero(same), sizes[same])[self.bytes.values[at[kept]] != given]
+        same[differs] = False
+        return same
+
+    def _learn(self, fragments: list[bytes]) -> np.ndarray:
         """Encodes fragments and returns their new rows."""
         encoded = self.tokenizer.encode([f.decode() for f in fragments], is_pretokenized=True, add_special_tokens=False)
         sizes = np.bincount(np.array(encoded.word_ids, np.int64), minlength=len(fragments))
-        rows = np.arange(self.checks.size, self.checks.size + len(fragments))
-        self.checks.extend(checks)
+        rows = np.arange(self.known, self.known + len(fragments))
+        self.ends.extend(self.ends.values[-1] + np.cumsum([len(f) for f in fragments], dtype=np.int64))
+        self.bytes.extend(np.frombuffer(b"".join(fragments), np.uint8))
         self.ids.extend(np.array(encoded.ids, np.int32))
         self.offsets.extend(self.offsets.values[-1] + np.cumsum(sizes))
         return rows
 
     def of_spans(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the fragments ``data[starts[k]:ends[k]]`` in order, and how many each fragment has."""
-        keys = np.maximum(w.hashes(data, starts, ends), 1)
-        checks = w.stretch_hashes(data.astype(np.uint64) + np.uint64(1), starts, ends, CHECK_BASE)
+        fragments, which = w.distinct(data, starts, ends)
+        keys = np.maximum(np.array([xxhash.xxh3_64_intdigest(f) for f in fragments], np.uint64), 1)
         rows = self._look_up(keys)
-        known = np.flatnonzero(rows >= 0)
-        rows[known[self.checks.values[rows[known]] != checks[known]]] = -1
+        found = np.flatnonzero(rows >= 0)
+        rows[found[~self._same(rows[found], [fragments[k] for k in found.tolist()])]] = -1
         new = np.flatnonzero(rows < 0)
         if len(new):
-            _, first, again = np.unique(w.mixed(keys[new]) ^ checks[new], return_index=True, return_inverse=True)
-            if self.checks.size and self.checks.size + len(first) > REMEMBERED:
+            if self.known and self.known + len(new) > REMEMBERED:
                 self._forget()
                 return self.of_spans(data, starts, ends)
-            at, whole = new[first], data.tobytes()
-            learnt = self._learn([whole[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())], checks[at])
-            if self.checks.size <= REMEMBERED:  # else one batch alone is too large for the table
-                self._enter(keys[at], learnt)
-            rows[new] = learnt[again]
-        at, sizes = ragged(self.offsets.values, rows)
+            learnt = self._learn([fragments[k] for k in new.tolist()])
+            if self.known <= REMEMBERED:  # else one batch alone is too large for the table
+                self._enter(keys[new], learnt)
+            rows[new] = learnt
+        at, sizes = ragged(self.offsets.values, rows[which])
         ids = self.ids.values[at]
-        if self.checks.size > REMEMBERED:
+        if self.known > REMEMBERED:
             self._forget()
         return ids, sizes
 

@@ -1,18 +1,23 @@
 """Words, lines and rolling hashes over a whole batch of texts at once, in numpy.
 
-A word is a run of bytes other than space and tab to carriage return. Hashes are polynomials modulo 2**64 taken from
-running sums, so that any stretch of a batch costs two look-ups (the Rabin-Karp identity).
+A word is a run of bytes other than space and tab to carriage return. Words and lines of a batch are told apart by their
+bytes, and each distinct one is hashed once (XXH3). Windows of words are hashed as polynomials modulo 2**64 over these
+hashes, taken from running sums, so that any window costs two look-ups (the Rabin-Karp identity). Such a polynomial is
+safe only over values that are themselves well mixed, and is never taken over bytes.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
+import xxhash
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
-BYTE_BASE = 0x9E3779B97F4A7C15
 WORD_BASE = 0xD6E8FEB86659FD93
+#: Windows of at most so many words are hashed word by word.
+FEW = 8
 
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -87,10 +92,30 @@ def line_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, doc
 
 
+def distinct(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+    """The distinct stretches of bytes, and which of them each stretch is."""
+    sizes = ends - starts
+    offsets = sums_before(sizes)
+    solid = data[np.arange(int(offsets[-1])) + np.repeat(starts - offsets[:-1], sizes)]
+    found = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(starts), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(solid)]
+    ).dictionary_encode()
+    return found.dictionary.to_pylist(), found.indices.to_numpy().astype(np.int64)
+
+
 def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each stretch of bytes."""
-    poly = stretch_hashes(data.astype(np.uint64) + np.uint64(1), starts, ends, BYTE_BASE)
-    return mixed(poly + mixed((ends - starts).astype(np.uint64)))
+    values, which = distinct(data, starts, ends)
+    return np.array([xxhash.xxh3_64_intdigest(v) for v in values], np.uint64)[which]
+
+
+def chained(word_hashes: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """A hash of ``sizes[i]`` words from ``first[i]`` on, mixed word by word; for sequences of a few words."""
+    out = np.zeros(len(first), np.uint64)
+    for k in range(int(sizes.max(initial=0))):
+        on = np.flatnonzero(sizes > k)
+        out[on] = mixed(out[on] * np.uint64(WORD_BASE) + word_hashes[first[on] + k] + np.uint64(1))
+    return out
 
 
 def window_hashes(word_hashes: np.ndarray, doc: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -99,6 +124,8 @@ def window_hashes(word_hashes: np.ndarray, doc: np.ndarray, width: int) -> tuple
     if n <= 0:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     starts = np.flatnonzero(doc[:n] == doc[width - 1:])
+    if width <= FEW:
+        return starts, chained(word_hashes, starts, np.full(len(starts), width))
     return starts, mixed(stretch_hashes(word_hashes, starts, starts + width, WORD_BASE))
 
 

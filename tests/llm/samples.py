@@ -25,3 +25,9 @@ def awkward(spark, texts=TEXTS):
 
 def empty(spark):
     return spark.createDataFrame([], SCHEMA)
+
+
+def twins(size):
+    """Two words that polynomial hashes modulo 2**64 can't tell apart, whatever the base: by the parity of set bits."""
+    first = "".join("ab"[k.bit_count() & 1] for k in range(size))
+    return [first, first.translate(str.maketrans("ab", "ba"))]

@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
-from samples import awkward, empty, long_text
+from samples import awkward, empty, long_text, twins
 
 from basketry.llm import blobs, simhash, substring_dedup
 from basketry.llm.components import components
@@ -65,6 +65,18 @@ def test_links_join_exactly_what_is_near(spark, distance):
     assert groups(len(values), [(at[e.a], at[e.b]) for e in edges]) == groups(len(values), near)
 
 
+@pytest.mark.parametrize("distance", [1, 3])
+def test_links_of_small_sets_are_whole(spark, distance):
+    for seed in range(6):
+        rng = random.Random(seed)
+        values = [4, 12, 13, 9] if not seed else sorted(rng.sample(range(64 if distance == 1 else 4096), 14))
+        edges = simhash.links(spark.createDataFrame([(v,) for v in values], "fp long").coalesce(1), distance).collect()
+        assert all((e.a ^ e.b).bit_count() <= distance for e in edges)
+        at = {v: k for k, v in enumerate(values)}
+        near = [(i, j) for i, j in itertools.combinations(range(len(values)), 2) if (values[i] ^ values[j]).bit_count() <= distance]
+        assert groups(len(values), [(at[e.a], at[e.b]) for e in edges]) == groups(len(values), near)
+
+
 def plain_fingerprint(text, width=4):
     words = (text or "").encode().lower().split()
     if not words:
@@ -117,6 +129,13 @@ def test_repeated_words_against_brute_force(spark):
     assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept) for r in rows) == plain_removal(docs, 5)
 
 
+def test_words_of_equal_rolling_hashes_make_windows_differ(spark):
+    words = [f"w{k}" for k in range(49)]
+    docs = [(k, " ".join([*words, t])) for k, t in enumerate(twins(1024) + twins(4096))] + [(9, " ".join([*words, twins(1024)[1]]))]
+    rows = substring_dedup.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)).collect()
+    assert {r.doc_id: r.n_removed for r in rows} == {0: 0, 1: 0, 2: 0, 3: 0, 9: 50}
+
+
 def test_small_chunks_and_many_buckets_change_nothing(spark, monkeypatch):
     text = long_text(300, 2)
     docs = [(k, text + " " + long_text(50, k)) for k in range(30)]

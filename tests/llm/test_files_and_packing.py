@@ -3,12 +3,13 @@
 import gzip
 import io
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from samples import TEXTS, awkward, empty, long_text
+from samples import TEXTS, awkward, empty, long_text, twins
 
 import corpus_pipeline
 from basketry.llm import packing, quality_classifier, url_filter, warc
@@ -119,6 +120,27 @@ def test_rules_against_brute_force(spark):
         assert got[k] == plain_judge(url, rules), url
 
 
+def test_rules_of_the_registered_query(spark, folder):
+    from basketry.llm.queries import QUERIES
+
+    paths = {"http://a.org/fr": None, "http://a.org/fr/": "org/fr/", "http://org/fr/x": "org/fr/", "http://a.org/france/": None,
+             "http://example.net/en/": "example.net/en/", "http://example.net/english/": "net/", "http://x.example.com/de/": "example.com/de/",
+             "http://example.com/de": None, "http://notnet/": None, "http://net": None}
+    spark.createDataFrame(list(enumerate(paths)), "page_id long, url string").write.parquet(f"{folder}/pages.parquet")
+    rows = {r.page_id: (r.rule, r.verdict) for r in QUERIES["op2_url_filter"](spark, folder).collect()}
+    for k, (url, rule) in enumerate(paths.items()):
+        assert rows[k] == (rule, "block" if rule in ("net/", "example.com/de/") else "allow"), url
+
+
+def test_urls_of_many_parts(spark):
+    urls = ["http://example.net/" + "/" * 1_000_000, "http://" + "." * 1_000_000 + "net/x", "http://" + "a." * 200_000 + "org/" + "fr/" * 200_000]
+    rules = [("net", "", "block"), ("example.net", "/", "allow"), ("org", "fr/fr/", "block"), ("a.a.org", "", "allow")]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    started = time.monotonic()
+    got = {r.page_id: r.rule for r in url_filter.judge(df, spark.createDataFrame(rules, "host string, path string, verdict string")).collect()}
+    assert got == {0: "example.net//", 1: "net/", 2: "org/fr/fr/"} and time.monotonic() - started < 20
+
+
 def test_urls_without_rules_pages_or_ids(spark):
     none = spark.createDataFrame([], "host string, path string, verdict string")
     df = spark.createDataFrame([(None, "http://A.b/c"), (1, None), (1, None)], "page_id long, url string")
@@ -195,10 +217,16 @@ def test_many_documents_are_packed_without_padding(spark):
     tokens = {r.doc_id: r.doc_tokens for r in rows}
     cut = sum(n > -(-tokens[i] // 512) for i, n in pieces.items())
     assert cut < 0.15 * len(texts)
-    sums = packing.with_checksum(packing.pack(df.limit(3), WORD_BPE)).collect()
-    assert all(isinstance(r.ids_crc32, int) for r in sums)
-    one = next(r for r in rows)
-    assert zlib.crc32(np.array(one.ids, "<u4").tobytes()) >= 0
+    want = library_ids(texts)
+    for r in packing.with_checksum(packing.pack(df.where("doc_id < 40"), WORD_BPE, room=512)).collect():
+        ids = want[r.doc_id][0][r.start:r.start + r.length]
+        assert r.ids_crc32 == zlib.crc32(np.array(ids, "<u4").tobytes()) and r.doc_tokens == len(want[r.doc_id][0])
+
+
+def test_words_of_equal_rolling_hashes_are_packed_apart(spark):
+    texts = [(k, t) for k, t in enumerate(twins(1024) + twins(4096))]
+    rows = packing.pack(spark.createDataFrame(texts, "doc_id long, text string").coalesce(1), WORD_BPE).collect()
+    check_packing(rows, library_ids(texts))
 
 
 # --- the pipeline --------------------------------------------------------------------------------------------
@@ -212,11 +240,38 @@ def test_stages_take_awkward_documents(spark):
             out = stage(spark, source, "/root/testdata/sf0.001")
             assert out.columns == source.columns and out.dtypes == source.dtypes, name
             assert out.count() <= source.count()
+    pieces = corpus_pipeline.packed(spark, docs, "").collect()
+    check_packing(pieces, library_ids(TEXTS))
+    assert corpus_pipeline.packed(spark, empty(spark), "").count() == 0
+
+
+def test_stages_keep_clean_texts_and_cut_passages(spark):
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    kept = {r.doc_id for r in corpus_pipeline.quality(spark, docs, folder).collect()}
+    given = {r.doc_id for r in docs.collect()} & labels.keys()
+    assert sum((i in kept) == (labels[i] == 1) for i in given) > 0.95 * len(given)
+    passage = long_text(60, 3)
+    rows = [(1, "first " + passage), (2, "start " + passage + " end"), (3, "clean  text"), (4, None)]
+    cut = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.repeated_passages(spark, awkward(spark, rows), "").collect()}
+    assert cut == {1: (rows[0][1], len(rows[0][1])), 2: ("start end", 9), 3: ("clean  text", 11), 4: (None, None)}
 
 
 def test_one_document_of_each_group_stays(spark):
     rows = corpus_pipeline.near_duplicates(spark, awkward(spark), "").collect()
-    assert Counter(r.doc_id for r in rows) == Counter([1, 4, 7, 8, 9, 12, 13, None, None])
+    assert Counter(r.doc_id for r in rows) == Counter([1, 4, 7, 8, 9, 12, 13, None])
+
+
+def test_texts_of_one_id_or_none_are_documents_of_their_own(spark):
+    a, b, c, d = (long_text(60, k) for k in (11, 12, 13, 14))
+    given = [(1, a), (1, b), (None, c), (None, c), (4, c), (5, d), (5, d), (None, d), (None, "x y z"), (None, "p q r s t u v"), (6, b), (0, None)]
+    rows = corpus_pipeline.near_duplicates(spark, awkward(spark, given).repartition(3), "").collect()
+    best = {}
+    for i, t in given:
+        key = (i is None, i)
+        best[t] = min(best.get(t, key), key) if not (best.get(t) or (0,))[0] else key
+    assert Counter((r.doc_id, r.text) for r in rows) == Counter((key[1], t) for t, key in best.items())
 
 
 def test_pipeline_packs_what_it_kept(spark):

@@ -3,14 +3,18 @@
 import hashlib
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
-from samples import TEXTS, awkward, empty, long_text
+import xxhash
+from pyspark.sql import functions as F
+from samples import TEXTS, awkward, empty, long_text, twins
 
 from basketry.llm import bpe, pii, quality_classifier, quality_rules, sketches
+from basketry.llm import words as w
 from basketry.llm.tagger import N_CLASSES, Tagger, classes
 from basketry.llm.tokens import fragment_ids
 
@@ -47,6 +51,8 @@ def test_lines_symbols_and_policies(spark):
     assert rows[2].failed & quality_rules.mask_of(["symbols"]) and rows[3].kept
     found = {r.rule: (r.n_failed, r.n_only) for r in quality_rules.ablations(ledger).collect()}
     bits = [r.failed for r in ledger.collect()]
+    lines = spark.createDataFrame([(1, "\n".join(twins(1024) + twins(4096)))], "doc_id long, text string")
+    assert [r.n_dup_lines for r in quality_rules.ledger(lines).collect()] == [0]
     for k, (name, _) in enumerate(quality_rules.RULES):
         assert found[name] == (sum(b >> k & 1 for b in bits), sum(b == 1 << k for b in bits))
 
@@ -78,6 +84,24 @@ def test_classifier_takes_awkward_documents(spark):
     assert quality_classifier.classify(empty(spark), labels).count() == 0
 
 
+def test_weights_are_those_of_a_plain_fit(spark):
+    texts = [(k, long_text(20 + 7 * (k % 40), k) if k % 2 else "# bad !! " * (3 + k % 30)) for k in range(200)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    given = [(k, k % 2) for k, _ in texts] + [(3, 1), (8, 1), (500, 1), (None, 1)]  # twice, contradicting, no document, no id
+    table = quality_classifier.features(docs)
+    model = quality_classifier.fit(table, spark.createDataFrame(given, "doc_id long, quality int"))
+    x = quality_classifier.features_of(pa.array([t for _, t in texts]))
+    assert np.allclose(model.mean, x.mean(axis=0)) and np.allclose(model.scale, np.maximum(x.std(axis=0), 1e-3))
+    used = [k for k, _ in texts if zlib.crc32(str(k).encode()) % 3 != 1 and k != 8]
+    z, y = model.expand(x[used]), np.array([k % 2 for k in used], float)
+    penalty = np.full(z.shape[1], 2e-4 * len(used) + 0.01)
+    penalty[0] = 0
+    assert np.allclose(model.weights, np.linalg.solve(z.T @ z + np.diag(penalty), z.T @ y), atol=1e-6)
+    held = [k for k, _ in texts if k not in used and k != 8]
+    assert np.mean((model.score(x[held]) >= 0.5) == np.array([k % 2 for k in held])) > 0.95
+    assert (np.diff(model.knots[1]) >= 0).all()
+
+
 def test_rising_curve_pools_violators():
     places, shares = quality_classifier.rising_curve(np.arange(5.0), np.full(5, 100.0), np.array([0, 30, 20, 90, 95.0]))
     assert len(places) == 4 and (np.diff(shares) > 0).all() and shares[1] == pytest.approx(51 / 202)
@@ -86,22 +110,63 @@ def test_rising_curve_pools_violators():
 # --- sketches ------------------------------------------------------------------------------------------------
 
 
-def plain_order(texts):
-    return sorted(texts, key=lambda r: (-(r[0] if r[0] is not None else -10**18), r[1] or ""))
+ALL = (1 << 64) - 1
+
+
+def plain_mixed(x):
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ x >> shift) * factor & ALL
+    return x ^ x >> 31
+
+
+def plain_sketch(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    hashes = set()
+    for k in range(max(len(words) - 4, min(len(words), 1))):
+        h = 0
+        for word in words[k:k + 5]:
+            h = plain_mixed((h * w.WORD_BASE + xxhash.xxh3_64_intdigest(word.encode()) + 1) & ALL)
+        hashes.add(h >> 32)
+    return sorted(h for h in hashes if h < 1 << 31) or sorted(hashes)[:1]
+
+
+def plain_likeness(a, b):
+    return len(set(a) & set(b)) / min(len(a), len(b)) if a and b else float(not a and not b)
 
 
-def test_edits_follow_falling_ids(spark):
-    texts = [t for t in TEXTS if t[1] is not None]
-    lined = plain_order(texts)
-    rows = sketches.compare_edits(awkward(spark, texts)).collect()
+def plain_order(spark, texts):
+    turns = spark.createDataFrame([(t or "",) for _, t in texts], "t string").select(F.xxhash64("t")).collect()
+    keyed = [(i is None, -(i or 0), -turn[0], t or "", i) for (i, t), turn in zip(texts, turns)]
+    return [(k[4], k[3]) for k in sorted(keyed, key=lambda k: k[:4])]
+
+
+@pytest.mark.parametrize("texts", [TEXTS, [(k % 3 or None, long_text(k % 9, k)) for k in range(60)], list(enumerate(twins(1024)))])
+def test_edits_follow_falling_ids(spark, texts):
+    lined = plain_order(spark, texts)
     want = Counter()
     for (i, text), (_, after) in zip(lined, lined[1:] + lined[:1]):
         new = sketches.edited(text, after)
-        want[i, len(text), hashlib.sha256(new.encode()).hexdigest()] += 1
-    assert Counter((r.doc_id, r.n_chars, r.edited_sha256) for r in rows) == want
-    by = {r.doc_id: r for r in rows}
-    assert by[9].fingerprint == by[10].fingerprint and by[10].near_next == 1.0
-    assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in rows)
+        own, changed, following = plain_sketch(text), plain_sketch(new), plain_sketch(after)
+        want[i, len(text), hashlib.sha256(new.encode()).hexdigest(), "".join(f"{h:08x}" for h in own),
+             "".join(f"{h:08x}" for h in changed), plain_likeness(own, changed), plain_likeness(own, following)] += 1
+    assert Counter(tuple(r) for r in sketches.compare_edits(awkward(spark, texts)).collect()) == want
+
+
+def test_rows_of_one_id_fall_into_many_ranges(spark):
+    rows = spark.range(100_000).select(
+        F.lit(5).cast("long").alias("key"), F.xxhash64("id").alias("turn"), F.col("id").cast("string").alias("text"), F.lit(False).alias("no_id"))
+    dealt = sketches._with_neighbours(rows).where("ghost = 0").groupBy("part").count().collect()
+    assert len(dealt) > 4 and max(r["count"] for r in dealt) < 30_000 and sum(r["count"] for r in dealt) == 100_000
+
+
+def test_short_texts_are_found_in_long_ones():
+    errors = []
+    for size in (5, 8, 10, 20, 40):
+        for seed in range(100):
+            whole = long_text(2000, seed)
+            a, b = sketches.sketches(pa.array([" ".join(whole.split()[700:700 + size]), whole]))
+            errors.append(1 - sketches.containment(a, b))
+    assert np.mean(errors) < 0.2 and np.mean(errors[100:]) < 0.1 and max(errors[300:]) == 0
 
 
 def test_edits_of_few_documents(spark):
@@ -134,7 +199,7 @@ def test_same_ids_as_the_library():
 
     library = Tokenizer.from_file(BYTE_BPE)
     rng = random.Random(2)
-    texts = fuzz(ODD, 4000) + ["".join(chr(rng.choice([rng.randint(1, 127), rng.randint(128, 0x2FFF)])) for _ in range(20)) for _ in range(2000)]
+    texts = twins(1024) + twins(4096) + fuzz(ODD, 4000) + ["".join(chr(rng.choice([rng.randint(1, 127), rng.randint(128, 0x2FFF)])) for _ in range(20)) for _ in range(2000)]
     ids, ends = bpe.encode_column(pa.array(texts), BYTE_BPE)
     for k, text in enumerate(texts):
         assert ids[ends[k]:ends[k + 1]].tolist() == library.encode(text, add_special_tokens=False).ids, text
@@ -171,7 +236,7 @@ def test_fragment_table_forgets_and_survives_clashes(monkeypatch):
         assert got[1].tolist() == want[1][k:k + 20]
     monkeypatch.setattr(tokens, "REMEMBERED", 1000)
     monkeypatch.setattr(tokens, "SLOTS", 1 << 12)
-    monkeypatch.setattr(tokens.w, "hashes", lambda data, starts, ends: np.full(len(starts), 7, np.uint64))
+    monkeypatch.setattr(tokens.xxhash, "xxh3_64_intdigest", lambda value: 7)
     clashing = tokens.FragmentIds(path)
     assert [x.tolist() for x in clashing.of(words)] == want and [x.tolist() for x in clashing.of(words)] == want
 
