@@ -6,7 +6,7 @@ stage keeps the columns of its input, whatever they are called; the last returns
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.llm import packing, pii, quality_classifier, simhash, substring_dedup
@@ -24,17 +24,19 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id.
+    """Of each group of near duplicates one row: that with the smallest id, null last, and of equal ids the first stored.
 
-    Rows of one id are one document: the first by text stays. A row without an id cannot stand for a group and stays.
+    Rows are told apart by a number, not by their id: different texts of one id, or of none, are different documents.
     """
-    groups = stored(simhash.near_duplicates(docs.where("doc_id IS NOT NULL")), "near-duplicates")
-    firsts = groups.select(F.col("component_id").alias("__first")).distinct()
+    rows = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    groups = stored(simhash.near_duplicates(rows, id_column="__row"), "near-duplicates")
+    groups = groups.select(F.col("doc_id").alias("__row"), "component_id")
+    named = rows.select("__row", F.col("doc_id").cast("long").alias("id")).join(groups, "__row")
+    place = F.struct(F.col("id").isNull().alias("none"), "id", "__row")
+    first = named.groupBy("component_id").agg(F.min(place).alias("first")).select(F.col("first.__row").alias("__first"))
     # As many rows as there are groups: merged at every size, never broadcast.
-    kept = docs.join(firsts.hint("merge"), F.col("doc_id") == F.col("__first"), "left_semi")
-    place = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    kept = kept.withColumn("__place", place).where("__place = 1").drop("__place")
-    return kept.unionByName(docs.where("doc_id IS NULL"))
+    kept = rows.join(first.hint("merge"), F.col("__row") == F.col("__first"), "left_semi")
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
