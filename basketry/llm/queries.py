@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.llm import (
-    bpe, packing, pii, quality_classifier, quality_rules, simhash, sketches, substring_dedup, url_filter, warc,
+    bpe, lexical_search, packing, pii, prefix_trie, quality_classifier, quality_rules, simhash, sketches, substring_dedup,
+    token_files, url_filter, warc,
 )
 from basketry.llm.common import stored
 
@@ -195,3 +196,79 @@ FROM b, (VALUES {", ".join(f"('{name}', {1 << k})" for k, (name, _) in enumerate
 GROUP BY rule""")
 def quality_rule_ablations(spark, sf_dir):
     return quality_rules.ablations(stored(quality_rules.ledger(table(spark, sf_dir, "documents")), "quality-ledger"))
+
+
+@query("op11_token_files")
+def op11(spark, sf_dir):
+    import public_tokenizers
+
+    return token_files.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+TERMS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), " \
+    r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+
+@query("op12_lexical_search", f"""
+WITH t AS (SELECT doc_id, unnest({TERMS}) AS term FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY doc_id, term),
+n AS (SELECT doc_id, count(*) AS n FROM t GROUP BY doc_id),
+s AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM n),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+q AS (SELECT DISTINCT item_id, unnest({TERMS}) AS term FROM benchmark),
+sc AS (
+  SELECT item_id, doc_id,
+         CAST(sum(CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT)
+                  * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // words)))) AS BIGINT) AS score
+  FROM q JOIN tf USING (term) JOIN df USING (term) JOIN n USING (doc_id), s GROUP BY item_id, doc_id),
+r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+  FROM sc WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10""")
+def op12(spark, sf_dir):
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op13_prefix_trie", """
+WITH RECURSIVE ids AS (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL),
+crc AS (
+  SELECT conv_id, CAST(conv_id AS VARCHAR) AS s, 0 AS k, 4294967295::BIGINT AS v FROM ids
+  UNION ALL
+  SELECT conv_id, s, k + 1, xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END)
+  FROM (SELECT *, CASE WHEN k % 8 = 0 THEN xor(v, ascii(substr(s, k // 8 + 1, 1))::BIGINT) ELSE v END AS x FROM crc)
+  WHERE k < 8 * length(s)),
+c AS (SELECT conv_id, xor(v, 4294967295) % 9 AS h, conv_id - conv_id % 5 AS base FROM crc WHERE k = 8 * length(s)),
+t AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS i,
+         coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations),
+heads AS (SELECT c.conv_id, t.i, role, text FROM c JOIN t ON t.conv_id = base AND i <= h),
+n AS (SELECT conv_id, count(*) AS n FROM heads GROUP BY conv_id),
+r AS (
+  SELECT conv_id, i AS d, role, text FROM heads
+  UNION ALL
+  SELECT c.conv_id, coalesce(n.n, 0) + i - h, role, text
+  FROM c JOIN t ON t.conv_id = c.conv_id AND i > h LEFT JOIN n ON n.conv_id = c.conv_id),
+p AS (
+  SELECT conv_id, d, octet_length(encode(text)) AS size,
+         sha256(string_agg(sha256(concat(strlen(role), ':', role, text)), '' ORDER BY d)
+                OVER (PARTITION BY conv_id ORDER BY d)) AS key FROM r
+  UNION ALL SELECT conv_id, 0, 0, '' FROM ids),
+ended AS (SELECT conv_id, max(d) AS d FROM p GROUP BY conv_id),
+ends AS (
+  SELECT d, key, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids
+  FROM ended JOIN p USING (conv_id, d) GROUP BY d, key),
+node AS (SELECT d, key, min(conv_id) AS conv_id, count(*) AS n, any_value(size) AS size FROM p GROUP BY d, key),
+up AS (
+  SELECT node.d, node.key, node.conv_id, n, size, above.key AS pkey FROM node
+  LEFT JOIN p AS above ON above.conv_id = node.conv_id AND above.d = node.d - 1),
+kids AS (SELECT d - 1 AS d, pkey AS key, count(*) AS n_children FROM up WHERE d > 0 GROUP BY 1, 2),
+whole AS (SELECT up.*, coalesce(n_children, 0) AS n_children FROM up LEFT JOIN kids USING (d, key)),
+below AS (
+  SELECT p.d, p.key, count(*) FILTER (n_children = 0) AS n_leaves, sum((n - 1) * w.size) AS saved
+  FROM whole w JOIN p ON p.conv_id = w.conv_id AND p.d <= w.d GROUP BY p.d, p.key)
+SELECT w.conv_id, w.d AS depth, parent.conv_id AS parent_conv_id, w.n AS n_convs, w.n_children, n_leaves,
+       CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM whole w JOIN below USING (d, key) LEFT JOIN node AS parent ON parent.d = w.d - 1 AND parent.key = w.pkey
+LEFT JOIN ends ON ends.d = w.d AND ends.key = w.key""")
+def op13(spark, sf_dir):
+    return prefix_trie.nodes(table(spark, sf_dir, "conversations"))

@@ -64,9 +64,11 @@ def stretch_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, bas
     return (sums[ends] - sums[starts]) * down[starts]
 
 
-def spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and text number of each word."""
-    solid = ~SPACE[data]
+def spans(
+    data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and text number of each word; ``space`` says which bytes are between words."""
+    solid = ~space[data]
     before = np.zeros(len(data), bool)
     before[1:] = solid[:-1]
     after = np.zeros(len(data), bool)
