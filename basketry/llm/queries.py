@@ -259,7 +259,7 @@ ends AS (
   FROM ended JOIN p USING (conv_id, d) GROUP BY d, key),
 node AS (SELECT d, key, min(conv_id) AS conv_id, count(*) AS n, any_value(size) AS size FROM p GROUP BY d, key),
 up AS (
-  SELECT node.d, node.key, node.conv_id, n, size, above.key AS pkey FROM node
+  SELECT node.d, node.key, node.conv_id, node.n, node.size, above.key AS pkey FROM node
   LEFT JOIN p AS above ON above.conv_id = node.conv_id AND above.d = node.d - 1),
 kids AS (SELECT d - 1 AS d, pkey AS key, count(*) AS n_children FROM up WHERE d > 0 GROUP BY 1, 2),
 whole AS (SELECT up.*, coalesce(n_children, 0) AS n_children FROM up LEFT JOIN kids USING (d, key)),
