@@ -57,29 +57,38 @@ def forced_pairs(path: str) -> np.ndarray:
     return free
 
 
+@functools.cache
+def free_pairs(path: str) -> tuple[np.ndarray, np.ndarray]:
+    """For each pair of bytes whether a cut between them is certain, and whether it is if the byte before them is C3."""
+    left, right = np.divmod(np.arange(1 << 16), 256)
+    free = forced_pairs(path) & ~w.SPACE[left] & ((right & 0xC0) != 0x80) & (right != ord("'"))
+    # The control characters 1C to 1F count as white space for some patterns.
+    free &= (left < 0x1C) | (left > 0x1F)
+    # Of characters beyond ASCII only those that begin with C3 (Latin letters) are surely no white space.
+    return free & (left < 0x80), free & (left >= 0x80)
+
+
 def cuts(data: np.ndarray, offsets: np.ndarray, path: str) -> np.ndarray:
     """Where the fragments of a batch of texts begin, and its end. Every text begins a fragment."""
+    mark = np.zeros(len(data) + 1, bool)
+    mark[offsets] = mark[len(data)] = True
     if len(data) < 2:
-        return np.unique(np.concatenate([offsets, [len(data)]]))
-    left, right = data[:-1], data[1:]
-    forced = forced_pairs(path)[left.astype(np.int64) * 256 + right]
-    forced &= ~w.SPACE[left] & ((right & 0xC0) != 0x80) & (right != ord("'"))
-    # Of characters beyond ASCII only those that begin with C3 (Latin letters) are surely no white space.
-    latin = np.concatenate([[False], data[:-2] == 0xC3])
-    forced &= (left < 0x80) | latin
-    # The control characters 1C to 1F count as white space for some patterns.
-    forced &= (left < 0x1C) | (left > 0x1F)
-    found = np.flatnonzero(forced) + 1
+        return np.flatnonzero(mark)
+    pairs = data[:-1].astype(np.uint16) << 8 | data[1:]
+    plain, latin = free_pairs(path)
+    forced = plain[pairs]
+    after = np.flatnonzero(data[:-2] == 0xC3) + 1
+    forced[after] = latin[pairs[after]]
     whole = data.tobytes()
     special = re.compile(b"|".join(map(re.escape, sorted(vocabulary(path)[1], key=len, reverse=True))) or b"(?!)")
     marks = np.array([m.span() for m in special.finditer(whole)], np.int64).reshape(-1, 2)
     # a token lies in one text
     marks = marks[np.searchsorted(offsets, marks[:, 0], "right") == np.searchsorted(offsets, marks[:, 1] - 1, "right")]
-    if len(marks):
-        last = np.searchsorted(marks[:, 0], found, "left") - 1
-        found = found[(last < 0) | (found >= marks[last, 1])]
-        found = np.concatenate([found, marks.ravel()])
-    return np.unique(np.concatenate([found, offsets, [len(data)]]))
+    for first, last in marks.tolist():
+        forced[first:last - 1] = False  # no cut inside
+    mark[1:-1] |= forced
+    mark[marks] = True
+    return np.flatnonzero(mark)
 
 
 def encode_column(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:

@@ -19,21 +19,25 @@ ESCAPE_BITS = 32
 
 
 def _selectors(padded: np.ndarray, n: int) -> np.ndarray:
-    """The cheapest selector for a word that begins at each of the first ``n`` numbers."""
-    best, cost = np.zeros(n, np.int8), np.full(n, np.inf, np.float32)
+    """The cheapest selector for a word that begins at each of the first ``n`` numbers; of equal ones the fullest."""
+    best = np.full(n, np.iinfo(np.int32).max, np.int32)
+    escapes = np.zeros(len(padded) + 1, np.int32)
     for k, (count, _) in enumerate(SHAPES, 1):
-        escapes = np.zeros(len(padded) + 1, np.int32)
-        np.cumsum(padded >= LIMITS[k], out=escapes[1:])
-        own = (64 + ESCAPE_BITS * (escapes[count:count + n] - escapes[:n])).astype(np.float32) / np.float32(count)
-        better = own < cost
-        best[better], cost[better] = k, own[better]
-    return best
+        np.cumsum(padded >= int(LIMITS[k]), out=escapes[1:])
+        # bits per id as a whole number (the counts divide 840), the selector in the lowest four bits
+        cost = escapes[count:count + n] - escapes[:n]
+        cost *= ESCAPE_BITS * (840 // count) << 4
+        cost += (64 * (840 // count) << 4) + k
+        np.minimum(best, cost, out=best)
+        if not escapes[-1]:
+            break  # all fit: a wider shape only holds fewer
+    return best & 15
 
 
 def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Words (64 bits) and escapes (32 bits) of ``ids`` below 2**32; the last word may be filled up with zeros."""
     n = len(ids)
-    padded = np.zeros(n + int(COUNTS.max()), np.uint64)
+    padded = np.zeros(n + int(COUNTS.max()), np.uint32)
     padded[:n] = ids
     best = _selectors(padded, n)
     follows, at, starts = (np.arange(n) + COUNTS[best]).tolist(), 0, []
@@ -46,7 +50,7 @@ def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     for k in np.unique(selectors).tolist():
         count, bits = SHAPES[k - 1]
         of = np.flatnonzero(selectors == k)
-        values = np.minimum(padded[starts[of][:, None] + np.arange(count)], LIMITS[k])
+        values = np.minimum(padded[starts[of][:, None] + np.arange(count)].astype(np.uint64), LIMITS[k])
         words[of] |= np.bitwise_or.reduce(values << (np.arange(count) * bits).astype(np.uint64), axis=1)
     limits = LIMITS[np.repeat(selectors, COUNTS[selectors])[:n]]
     return words, ids[padded[:n] >= limits].astype(np.uint32)

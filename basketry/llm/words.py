@@ -95,12 +95,15 @@ def line_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def distinct(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[list[bytes], np.ndarray]:
-    """The distinct stretches of bytes, and which of them each stretch is."""
-    sizes = ends - starts
-    offsets = sums_before(sizes)
-    solid = data[np.arange(int(offsets[-1])) + np.repeat(starts - offsets[:-1], sizes)]
+    """The distinct stretches of bytes, and which of them each stretch is. Stretches are in order and don't overlap."""
+    solid, offsets = data, sums_before(ends - starts)
+    if offsets[-1] < len(data):
+        edges, real = np.zeros(len(data) + 1, np.int8), ends > starts
+        edges[starts[real]] += 1
+        edges[ends[real]] -= 1
+        solid = data[np.cumsum(edges[:-1], dtype=np.int8).view(bool)]
     found = pa.LargeBinaryArray.from_buffers(
-        pa.large_binary(), len(starts), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(solid)]
+        pa.large_binary(), len(starts), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(solid))]
     ).dictionary_encode()
     return found.dictionary.to_pylist(), found.indices.to_numpy().astype(np.int64)
 
