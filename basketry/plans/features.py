@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.functions import Moment, as_day, as_moment, clip01, count_when, elapsed_days
@@ -24,6 +24,11 @@ def rfm_features(orders: DataFrame, as_of: Moment) -> DataFrame:
         F.min(amount).alias("min_purchase_value"),
         F.avg(amount).alias("avg_purchase_value"),
     )
+    return _with_rhythm(bought, as_of)
+
+
+def _with_rhythm(bought: DataFrame, as_of: Moment) -> DataFrame:
+    """Recency, lifespan and orders per month, as of a moment or a column of moments."""
     last, lifespan = F.col("last_purchase_date"), F.col("customer_lifespan_days")
     return (
         bought.withColumns(
@@ -60,6 +65,11 @@ def behavioral_features(events: DataFrame, as_of: Moment) -> DataFrame:
         count_when(kind == "LOGIN").alias("login_count"),
         F.max(F.when(kind == "LOGIN", F.col("event_timestamp"))).alias("last_login_date"),
     )
+    return _with_rates(counted, as_of)
+
+
+def _with_rates(counted: DataFrame, as_of: Moment) -> DataFrame:
+    """Abandonment rate and days since the last login, as of a moment or a column of moments."""
     lost = F.try_divide(F.col("cart_add_count") - F.col("purchase_count"), F.col("cart_add_count"))
     return counted.withColumns(
         {
@@ -180,20 +190,35 @@ def training_gate(df: DataFrame, minimum: int = 100) -> bool:
     return df.limit(minimum).count() >= minimum
 
 
+def most_frequent(df: DataFrame, key: str, names: dict[str, str]) -> DataFrame:
+    """Per ``key`` the most frequent value of each column (of equally frequent ones the smallest), under its new name.
+
+    Values are counted as rows of their own, so a key with very many different values is no large row. A column without
+    a value gives null, a key without any has no row.
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in names])
+    counted = df.select(key, F.inline(pairs)).filter(F.col("value").isNotNull()).groupBy(key, "name", "value").agg(
+        F.count("*").alias("n"))
+    # The best of each name: the highest count, and of equal counts the smallest value.
+    top = counted.groupBy(key, "name").agg(F.max("n").alias("n"))
+    best = counted.join(top, [key, "name", "n"]).groupBy(key, "name").agg(F.min("value").alias("value"))
+    return best.groupBy(key).agg(*[F.max(F.when(F.col("name") == c, F.col("value"))).alias(n) for c, n in names.items()])
+
+
 def extended_features(events: DataFrame, as_of: Moment) -> DataFrame:
     """Sessions, preferred category and device, days since the last purchase, search and refund ratios."""
     kind = F.col("event_type")
-    counted = events.filter(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
+    named = events.filter(F.col("customer_id").isNotNull())
+    preferred = most_frequent(named, "customer_id", {"category": "preferred_category", "device": "preferred_device"})
+    counted = named.groupBy("customer_id").agg(
         F.countDistinct("session_id").alias("session_count"),
-        F.mode("category", True).alias("preferred_category"),
-        F.mode("device", True).alias("preferred_device"),
         F.max(F.when(kind == "PURCHASE", F.col("event_timestamp"))).alias("last_purchase_date"),
         count_when(kind == "SEARCH").alias("searches"),
         count_when(kind == "PRODUCT_VIEW").alias("views"),
         count_when(kind == "REFUND").alias("refunds"),
         count_when(kind == "PURCHASE").alias("purchases"),
     )
-    return counted.select(
+    return counted.join(preferred, "customer_id", "left").select(
         "customer_id",
         "session_count",
         "preferred_category",
@@ -204,3 +229,47 @@ def extended_features(events: DataFrame, as_of: Moment) -> DataFrame:
         F.try_divide("searches", "views").alias("search_to_view_ratio"),
         F.try_divide("refunds", "purchases").alias("refund_rate"),
     )
+
+
+def features_at(orders: DataFrame, events: DataFrame, dates: Sequence[str]) -> DataFrame:
+    """Order and behaviour features of every customer as they were at each of ``dates``, from rows before that moment.
+
+    Every row counts once, in the first date after it; running totals over the dates of a customer then give all
+    snapshots. So any number of dates costs one pass and one shuffle of the rows. A customer appears from the first
+    date on that has a row of theirs before it. Rows without a customer or a time, or after the last date, stay out.
+    """
+    days = sorted(set(dates))
+    moments = F.array(*[as_moment(d) for d in days])
+    bought = orders.filter(F.col("total_amount") > 0).select(
+        "customer_id", "event_timestamp", F.lit("ORDER").alias("kind"), "order_id", "total_amount")
+    done = events.select("customer_id", "event_timestamp", F.col("event_type").alias("kind"))
+    rows = bought.unionByName(done, allowMissingColumns=True).filter(
+        F.col("customer_id").isNotNull() & F.col("event_timestamp").isNotNull())
+    place = F.size(F.filter(moments, lambda d: d <= F.col("event_timestamp")))
+    rows = rows.withColumn("place", place).filter(F.col("place") < len(days))
+
+    kind, amount, moment = F.col("kind"), F.col("total_amount"), F.col("event_timestamp")
+    ordered = kind == "ORDER"
+    counts = {"product_view_count": "PRODUCT_VIEW", "search_count": "SEARCH", "cart_add_count": "ADD_TO_CART",
+              "purchase_count": "PURCHASE", "login_count": "LOGIN"}
+    sums = ["frequency", "monetary", *counts]
+    highs = ["last_purchase_date", "max_purchase_value", "last_login_date"]
+    lows = ["first_purchase_date", "min_purchase_value"]
+    delta = rows.groupBy("customer_id", "place").agg(
+        F.count("order_id").alias("frequency"), F.sum(amount).alias("monetary"),
+        F.max(F.when(ordered, moment)).alias("last_purchase_date"), F.min(F.when(ordered, moment)).alias("first_purchase_date"),
+        F.max(amount).alias("max_purchase_value"), F.min(amount).alias("min_purchase_value"),
+        *[count_when(kind == name).alias(c) for c, name in counts.items()],
+        F.max(F.when(kind == "LOGIN", moment)).alias("last_login_date"))
+    order = Window.partitionBy("customer_id").orderBy("place")  # one row per date at most
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = delta.select(
+        "customer_id", "place", (F.coalesce(F.lead("place").over(order), F.lit(len(days))) - 1).alias("until"),
+        *[F.sum(c).over(so_far).alias(c) for c in sums], *[F.max(c).over(so_far).alias(c) for c in highs],
+        *[F.min(c).over(so_far).alias(c) for c in lows])
+    at = running.withColumn("place", F.explode(F.sequence("place", "until"))).drop("until")
+    at = at.withColumns({
+        "_at": F.get(moments, F.col("place")), "frequency": F.col("frequency").cast("int"),
+        "avg_purchase_value": F.try_divide("monetary", "frequency")})
+    at = _with_rates(_with_rhythm(at, F.col("_at")), F.col("_at"))
+    return at.withColumns({"snapshot_date": F.to_date("_at"), "feature_set": F.lit("point_in_time")}).drop("_at", "place")

@@ -13,10 +13,8 @@ def _words(c) -> F.Column:
     return F.initcap(F.trim(c))
 
 
-def stg_events(raw_events: DataFrame, as_of: Moment, start: Moment) -> DataFrame:
-    """Typed events from the landing table, between ``start`` and ``as_of``."""
+def _typed_events(raw_events: DataFrame, field, as_of: Moment, start: Moment, *more: F.Column) -> DataFrame:
     moment = F.col("event_timestamp").cast("timestamp")
-    field = lambda name: F.get_json_object("payload", f"$.{name}")
     return raw_events.filter(
         F.col("customer_id").isNotNull()
         & F.col("event_type").isNotNull()
@@ -36,9 +34,34 @@ def stg_events(raw_events: DataFrame, as_of: Moment, start: Moment) -> DataFrame
         F.hour(moment).alias("event_hour"),
         (F.dayofweek(moment) - 1).alias("day_of_week"),
         "ingested_at",
+        *more,
     )
 
 
+def stg_events(raw_events: DataFrame, as_of: Moment, start: Moment) -> DataFrame:
+    """Typed events from the landing table, between ``start`` and ``as_of``."""
+    return _typed_events(raw_events, lambda name: F.get_json_object("payload", f"$.{name}"), as_of, start)
+
+
+def with_variant(raw_events: DataFrame) -> DataFrame:
+    """The landing table with its payload parsed once, as a VARIANT that keeps every field, known or not.
+
+    ``payload_broken`` marks text that is no JSON; its variant is null, and the text stays.
+    """
+    parsed = F.try_parse_json("payload")
+    return raw_events.withColumns({"fields": parsed, "payload_broken": F.col("payload").isNotNull() & parsed.isNull()})
+
+
+def stg_events_variant(raw_events: DataFrame, as_of: Moment, start: Moment) -> DataFrame:
+    """``stg_events`` from the parsed payload, with ``fields`` (all of it) and ``payload_broken``.
+
+    A field of another type is read as text where that is possible, and is null in a broken payload.
+    """
+    rows = raw_events if "fields" in raw_events.columns else with_variant(raw_events)
+    field = lambda name: F.try_variant_get("fields", f"$.{name}", "string")
+    return _typed_events(rows, field, as_of, start, F.col("fields"), F.col("payload_broken"))
+
+
 def stg_orders(fact_orders: DataFrame) -> DataFrame:
     """Valid orders with date parts and the net amount."""
     moment = F.col("event_timestamp")

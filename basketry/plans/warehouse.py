@@ -156,7 +156,7 @@ def fact_transactions(events: DataFrame) -> DataFrame:
     )
 
 
-def _session_aggregates() -> list[F.Column]:
+def session_aggregates() -> list[F.Column]:
     kind = F.col("event_type")
     seen = F.struct("event_timestamp", "event_id")
     return [
@@ -172,7 +172,7 @@ def _session_aggregates() -> list[F.Column]:
     ]
 
 
-def _finish_sessions(sessions: DataFrame) -> DataFrame:
+def finish_sessions(sessions: DataFrame) -> DataFrame:
     return sessions.withColumns(
         {
             "session_duration_s": (F.unix_seconds("session_end") - F.unix_seconds("session_start")).cast("int"),
@@ -183,10 +183,10 @@ def _finish_sessions(sessions: DataFrame) -> DataFrame:
 
 def fact_sessions(events: DataFrame) -> DataFrame:
     """Sessions by the session id the events carry."""
-    return _finish_sessions(
+    return finish_sessions(
         events.filter(F.col("session_id").isNotNull())
         .groupBy("session_id")
-        .agg(F.min("customer_id").alias("customer_id"), *_session_aggregates())
+        .agg(F.min("customer_id").alias("customer_id"), *session_aggregates())
     )
 
 
@@ -200,7 +200,7 @@ def gap_sessions(events: DataFrame, gap_seconds: int = 1800) -> DataFrame:
     parts = (
         events.filter(F.col("customer_id").isNotNull() & F.col("event_timestamp").isNotNull())
         .groupBy("customer_id", slot)
-        .agg(*_session_aggregates(), F.min(F.struct("event_timestamp", "event_id")).alias("opening"))
+        .agg(*session_aggregates(), F.min(F.struct("event_timestamp", "event_id")).alias("opening"))
     )
     order = Window.partitionBy("customer_id").orderBy("slot")
     micros = F.unix_micros("session_start") - F.unix_micros(F.lag("session_end").over(order))
@@ -214,7 +214,7 @@ def gap_sessions(events: DataFrame, gap_seconds: int = 1800) -> DataFrame:
         F.min_by("device", "opening").alias("device"),
         F.min_by("region", "opening").alias("region"),
     )
-    return _finish_sessions(merged).withColumn(
+    return finish_sessions(merged).withColumn(
         "session_id", F.concat_ws("-", "customer_id", F.col("session_no").cast("string"))
     )
 
