@@ -11,12 +11,29 @@ from basketry.operators.keyed import first_of_known_keys
 from basketry.session import settle
 
 
-def dedup_batch(df: DataFrame, key: str = "event_id", order_by: Sequence[str] = ("event_timestamp",)) -> DataFrame:
-    """First row per key, undated rows last. Copies collapse before the shuffle, so a hot key stays cheap.
+#: Up to so many repeated keys (eight bytes each) are sent to every task.
+REPEATED_KEYS = 2_000_000
 
-    Rows without a key are no copies of each other: all of them stay.
+
+def dedup_batch(
+    df: DataFrame, key: str = "event_id", order_by: Sequence[str] = ("event_timestamp",), most: int = REPEATED_KEYS,
+) -> DataFrame:
+    """First row per key, undated rows last. Rows without a key are no copies of each other: all of them stay.
+
+    Keys that occur more than once are found by their hash, from the key column alone; only rows that have one of these
+    hashes are compared, all others pass as they are, without a shuffle or a sort. Copies collapse before the shuffle,
+    so a hot key stays cheap. Beyond ``most`` repeated hashes all rows are compared.
     """
-    return first_of_known_keys(df, [key], list(order_by))
+    hashed = F.when(F.col(key).isNotNull(), F.xxhash64(key)).alias("_hash")
+    counted = df.filter(F.col(key).isNotNull()).select(hashed).groupBy("_hash").agg(F.count("*").alias("n"))
+    repeated = settle(counted.filter(F.col("n") > 1).select("_hash"))
+    if repeated.count() > most:
+        return first_of_known_keys(df, [key], list(order_by))
+    rows = df.withColumn("_hash", hashed)
+    met = F.broadcast(repeated)
+    alone = rows.join(met, "_hash", "left_anti").drop("_hash")
+    several = rows.join(met, "_hash", "left_semi").drop("_hash")
+    return alone.unionByName(first_of_known_keys(several, [key], list(order_by)))
 
 
 def dedup_stream(

@@ -13,10 +13,18 @@ from basketry.operators.keyed import upsert
 from basketry.plans.warehouse import topic_of
 from basketry.schemas import shaped
 from basketry.session import settle
+from basketry.sources.readers import FINISHED
 
 
 def write_gold(df: DataFrame, path: str, run_date: str) -> None:
-    """One snapshot per run date; writing a date again replaces that date only."""
+    """One snapshot per run date; writing a date again replaces that date only.
+
+    A mark beside the snapshots says that a run is finished; it goes before the run is written again.
+    """
+    jvm_path = df.sparkSession._jvm.org.apache.hadoop.fs.Path
+    mark = jvm_path(f"{path}/{FINISHED}/run_date={run_date}")
+    system = mark.getFileSystem(df.sparkSession._jsc.hadoopConfiguration())
+    system.delete(mark, False)
     (
         df.withColumn("run_date", F.lit(run_date).cast("date"))
         .write.mode("overwrite")
@@ -24,6 +32,7 @@ def write_gold(df: DataFrame, path: str, run_date: str) -> None:
         .partitionBy("run_date")
         .parquet(path)
     )
+    system.create(mark, True).close()
 
 
 def upsert_partitions(

@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from basketry import schemas
+from basketry.streaming.compaction import live_batches
 from basketry.vocabulary import TOPIC_OF_EVENT
 
 ALL_TOPICS = sorted(set(TOPIC_OF_EVENT.values()))
+#: Hidden folder of a snapshot table with one empty file per finished run.
+FINISHED = "_finished"
 
 
 def read_event_stream(
@@ -48,9 +51,13 @@ def read_layer_stream(
 def read_layer(
     spark: SparkSession, path: str, schema: str | StructType | None = None, since: str | None = None
 ) -> DataFrame:
-    """A layer as a batch; ``since`` (a date) prunes by the year/month/day partitions of the layer."""
+    """A layer as a batch; ``since`` (a date) prunes by the year/month/day partitions of the layer.
+
+    Of a layer in batch folders those are read that count at this moment (``streaming.compaction``).
+    """
     reader = spark.read.schema(schema) if schema else spark.read
-    df = reader.parquet(path)
+    batches = live_batches(spark, path)
+    df = reader.option("basePath", path).parquet(*[f"{path}/{b}" for b in batches]) if batches else reader.parquet(path)
     if since is None:
         return df
     year, month, day = (int(x) for x in since.split("-"))
@@ -104,12 +111,17 @@ def read_table(
 
 
 def read_latest_snapshot(spark: SparkSession, path: str, partition: str = "run_date") -> DataFrame:
-    """Rows of the newest run: the last partition folder by name, as dates and padded numbers sort. Only its files are
-    listed and read."""
+    """Rows of the newest finished run: the last partition folder by name, as dates and padded numbers sort. Only its
+    files are listed and read. Where the writer left marks (``sinks.writers.write_gold``), a run without one is not
+    finished; a table without any mark has finished runs only."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    entries = place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)
-    names = [e.getPath().getName() for e in entries]
-    newest = max((n for n in names if n.startswith(f"{partition}=") and "__HIVE_DEFAULT" not in n), default=None)
-    if newest is None:
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    marks = spark._jvm.org.apache.hadoop.fs.Path(place, FINISHED)
+    listed = lambda at: [e.getPath().getName() for e in system.listStatus(at)]
+    names = [n for n in listed(place) if n.startswith(f"{partition}=") and "__HIVE_DEFAULT" not in n]
+    if system.exists(marks):
+        done = set(listed(marks))
+        names = [n for n in names if n in done]
+    if not names:
         return spark.read.parquet(path)
-    return spark.read.option("basePath", path).parquet(f"{path}/{newest}")
+    return spark.read.option("basePath", path).parquet(f"{path}/{max(names)}")

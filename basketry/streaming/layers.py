@@ -75,15 +75,17 @@ def write_console(df: DataFrame, rows: int = 5) -> StreamingQuery:
 def _write_batch(rows: DataFrame, path: str, batch_id: int, partitions: list[str]) -> None:
     """Idempotent write: a repeated batch replaces its own folder.
 
-    Rebalancing by the folder columns gives each folder few files, and adaptive execution splits a hot folder.
+    Rebalancing by the folder columns gives each folder few files, and adaptive execution splits a hot folder. A stream
+    plans without adaptive execution; this write is a plain batch.
     """
-    (
-        rows.hint("rebalance", *partitions)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy(*partitions)
-        .parquet(f"{path}/batch={batch_id}")
-    )
+    with setting(rows.sparkSession, "spark.sql.adaptive.enabled", "true"):
+        (
+            rows.hint("rebalance", *partitions)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+            .partitionBy(*partitions)
+            .parquet(f"{path}/batch={batch_id}")
+        )
 
 
 def split_sinks(
@@ -94,7 +96,8 @@ def split_sinks(
     """Bronze, silver and dead letters from broker messages. Every message ends in silver, in dead letters, or is a copy.
 
     Bronze holds every message as it came, copies included, so its query keeps no state. Silver and dead letters
-    share one query, one deduplication state and one cached batch. A passing event with an id is a copy if the same id
+    share one query, one deduplication state and one cached batch. All three are written in batch folders, which
+    ``compaction`` merges. A passing event with an id is a copy if the same id
     passed within ``dedup_delay`` before, by the engine's own clock: event and broker times may be missing, absurd or,
     in a replay, out of order, and no row is too late. Failing events and events without an id are compared by their
     place in the broker only, so a bad copy never hides a good one. ``spread`` is the number of tasks that share the
@@ -110,24 +113,20 @@ def split_sinks(
     )
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        kept = batch.persist()
+        kept, good = batch.persist(), F.col("dq_passed")
         try:
-            # The count runs every partition, so the state of a batch without rows is committed as well.
-            if kept.count() == 0:
-                return
-            good = F.col("dq_passed")
-            # A stream plans without adaptive execution; these writes are plain batches and gain from it.
-            with setting(batch.sparkSession, "spark.sql.adaptive.enabled", "true"):
-                _write_batch(kept.filter(good), f"{base}/silver", batch_id, SILVER_PARTITIONS)
-                _write_batch(kept.filter(~good), f"{base}/dlq", batch_id, [])
+            # The first write runs every partition, so the state of a batch without rows is committed as well.
+            _write_batch(kept.filter(good), f"{base}/silver", batch_id, SILVER_PARTITIONS)
+            _write_batch(kept.filter(~good), f"{base}/dlq", batch_id, [])
         finally:
             kept.unpersist()
 
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        _write_batch(bronze_rows(batch), f"{base}/bronze", batch_id, BRONZE_PARTITIONS)
+
+    def start(rows: DataFrame, sink, name: str) -> StreamingQuery:
+        writer = rows.writeStream.foreachBatch(sink).option("checkpointLocation", f"{checkpoint}/{name}")
+        return writer.trigger(**trigger).start()
+
     with state_partitions(messages.sparkSession, partitions):
-        checked = (
-            unique.writeStream.foreachBatch(write)
-            .option("checkpointLocation", f"{checkpoint}/checked")
-            .trigger(**trigger)
-            .start()
-        )
-    return [write_bronze(parsed, f"{base}/bronze", f"{checkpoint}/bronze", available_now=available_now), checked]
+        return [start(parsed, keep, "bronze"), start(unique, write, "checked")]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from basketry import testbed as tb
@@ -99,11 +101,39 @@ def _(spark, sf_dir):
 @add("cross_validate")
 def _(spark, sf_dir):
     rows = training_rows(spark, sf_dir)
-    # The only cut model: five models of 300 trees take minutes of short jobs on any data, see the README.
-    mean, std = churn.cross_validate(rows, churn.model_features(rows.columns), churn.ChurnParams(trees=20))
+    mean, std = churn.cross_validate(rows, churn.model_features(rows.columns))
     return rows.agg(F.lit(mean).alias("cv_auc_mean"), F.lit(std).alias("cv_auc_std"), F.count("*").alias("customers"))
 
 
+SINGLE = [c for c in FEATURE_COLUMNS if c != churn.LEAKY]
+
+
+@add("churn_beats_single_features", "SELECT unnest([" + ", ".join(f"'{c}'" for c in SINGLE) + "]) AS feature, TRUE AS beaten")
+def _(spark, sf_dir):
+    """Over all customers the model ranks better than any one of its features does, in either direction."""
+    model, _, rows, names = trained(spark, sf_dir)
+    scored = settle(churn.probabilities(model, churn._ready(rows, names)).select(
+        F.col("is_churned").cast("double").alias("label"), "score", *[F.col(c).cast("double").alias(c) for c in names]))
+    judge = BinaryClassificationEvaluator(labelCol="label", numBins=0)
+    area = lambda c: judge.setRawPredictionCol(c).evaluate(scored.select("label", F.coalesce(c, F.lit(0.0)).alias(c)))
+    best = area("score")
+    found = [(c, max(area(c), 1 - area(c)) <= best) for c in names]
+    return spark.createDataFrame(found, "feature string, beaten boolean")
+
+
+@add("importance_of_a_planted_feature", "SELECT 'planted' AS feature, 1::BIGINT AS place, TRUE AS sums_to_one")
+def _(spark, sf_dir):
+    """A feature that nearly tells the label takes the first place among the real ones; a short model shows it."""
+    noise = F.pmod(F.xxhash64("customer_id"), F.lit(1000)) / 1000 * 1.2
+    rows = training_rows(spark, sf_dir).withColumn("planted", F.col("is_churned") + noise)
+    names = [*churn.model_features(rows.columns), "planted"]
+    model, _ = churn.train_churn(rows, names, churn.ChurnParams(trees=10))
+    weights = churn.feature_importance(model, names, top=len(names))
+    place = F.row_number().over(Window.orderBy(F.desc("importance"), "feature"))  # one row per feature
+    total = F.sum("importance").over(Window.partitionBy())
+    return weights.select("feature", place.alias("place"), (F.abs(total - 1) < 1e-9).alias("sums_to_one")).filter("place = 1")
+
+
 # --- vectors --------------------------------------------------------------------------------------------------
 
 

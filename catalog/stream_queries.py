@@ -191,8 +191,8 @@ FROM r GROUP BY 1"""
 
 @add("stream_replay", REPLAYED)
 def _(spark, sf_dir):
-    """Old messages last: three files, the newest events first, each a micro-batch of its own. Some are broken, some
-    have no id, and of events sent twice the first copy is bad."""
+    """Old messages last: three deliveries, the newest events first, each a micro-batch of its own. Some are broken,
+    some have no id, and of events sent twice the first copy is bad."""
     folder = fresh_folder(spark)
     rows = tb.untidy_events(spark, sf_dir).withColumn("n", F.substring("event_id", 2, 20).cast("long"))
     bad = (F.col("n") % 7 == 0) & (F.col("copy_no") == 1)
@@ -207,10 +207,10 @@ def _(spark, sf_dir):
     days = [("2024-01-21", "9999-01-01"), ("2024-01-11", "2024-01-21"), ("0001-01-01", "2024-01-11")]
     for first, last in days:
         part = messages.filter((F.col("timestamp") >= first) & (F.col("timestamp") < last))
-        part.coalesce(1).write.mode("append").parquet(f"{folder}/in")
-    stream = readers.read_event_stream(spark, f"{folder}/in", kind="files", max_files=1)
-    finish(layers.split_sinks(stream, folder, f"{folder}/checkpoint", as_of="2024-01-30 00:00:00", available_now=True,
-                              partitions=state_size(spark, sf_dir)))
+        part.write.mode("append").parquet(f"{folder}/in")
+        stream = readers.read_event_stream(spark, f"{folder}/in", kind="files", max_files=1_000_000)
+        finish(layers.split_sinks(stream, folder, f"{folder}/checkpoint", as_of="2024-01-30 00:00:00", available_now=True,
+                                  partitions=state_size(spark, sf_dir)))
     return _accounts(spark, folder)
 
 
@@ -246,7 +246,7 @@ def _(spark, sf_dir):
     folder = fresh_folder(spark)
     events = tb.events(spark, sf_dir)
     for part in (F.col("event_timestamp") >= LATE_FROM, F.col("event_timestamp") < LATE_FROM):
-        events.filter(part).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        events.filter(part).write.mode("append").parquet(f"{folder}/in")
         stream = readers.read_layer_stream(spark, f"{folder}/in", events.schema)
         finish(windows.run_aggregations(
             stream, f"{folder}/out", f"{folder}/checkpoint", available_now=True,
