@@ -105,7 +105,10 @@ def distinct(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[li
     found = pa.LargeBinaryArray.from_buffers(
         pa.large_binary(), len(starts), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(solid))]
     ).dictionary_encode()
-    return found.dictionary.to_pylist(), found.indices.to_numpy().astype(np.int64)
+    values = found.dictionary
+    at = np.frombuffer(values.buffers()[1], np.int64)[values.offset:values.offset + len(values) + 1].tolist()
+    whole = values.buffers()[2].to_pybytes() if at[-1:] and at[-1] else b""
+    return [whole[a:b] for a, b in zip(at, at[1:])], found.indices.to_numpy().astype(np.int64)
 
 
 def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
