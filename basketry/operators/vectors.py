@@ -12,6 +12,7 @@ from pyspark.ml.feature import HashingTF, Normalizer, Tokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from basketry.functions import unit
 
@@ -107,6 +108,24 @@ def _grid_top(k: int, digits: int, cells: int):
     return run
 
 
+def common_id(id_type: DataType, vec_type: DataType) -> str:
+    """One id column for queries and vectors: whole numbers as they are, other ids as text."""
+    whole = all(t.typeName() in ("long", "integer", "short", "byte") for t in (id_type, vec_type))
+    return "long" if whole else "string"
+
+
+def best_in_cells(
+    grid: DataFrame, k: int, digits: int, score_cells: int, id_type: DataType, vec_type: DataType
+) -> DataFrame:
+    """The best ``k`` per query of a ``grid`` (block, share, kind, id, vector) whose cells lie whole in a partition, in
+    order, queries (kind 0) first."""
+    common = common_id(id_type, vec_type)
+    found = grid.mapInPandas(_grid_top(k, digits, score_cells), f"query_id {common}, vec_id {common}, similarity double")
+    found = found.withColumns({"query_id": F.col("query_id").cast(id_type), "vec_id": F.col("vec_id").cast(vec_type)})
+    order = Window.partitionBy("query_id").orderBy(F.desc("similarity"), "vec_id")
+    return found.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k)
+
+
 def similarity_topk(
     queries: DataFrame, vectors: DataFrame, k: int = 3, digits: int = 6, query_bytes: int = QUERY_BYTES,
     score_cells: int = SCORE_CELLS,
@@ -133,19 +152,14 @@ def similarity_topk(
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
     vector = F.col("embedding").cast("array<double>").alias("vector")
-    # One id column for both kinds: whole numbers as they are, other ids as text.
-    whole = all(t.typeName() in ("long", "integer", "short", "byte") for t in (id_type, vec_type))
-    common = "long" if whole else "string"
+    common = common_id(id_type, vec_type)
     left = asked.select(number("query_id", blocks).alias("block"), every(shares).alias("share"), F.lit(0).alias("kind"),
                         F.col("query_id").cast(common).alias("id"), vector)
     right = vectors.filter("vec_id IS NOT NULL AND embedding IS NOT NULL").select(
         every(blocks).alias("block"), number("vec_id", shares).alias("share"), F.lit(1).alias("kind"),
         F.col("vec_id").cast(common).alias("id"), vector)
     grid = left.union(right).repartition(shares, "block", "share").sortWithinPartitions("block", "share", "kind")
-    found = grid.mapInPandas(_grid_top(k, digits, score_cells), f"query_id {common}, vec_id {common}, similarity double")
-    found = found.withColumns({"query_id": F.col("query_id").cast(id_type), "vec_id": F.col("vec_id").cast(vec_type)})
-    order = Window.partitionBy("query_id").orderBy(F.desc("similarity"), "vec_id")
-    return found.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k)
+    return best_in_cells(grid, k, digits, score_cells, id_type, vec_type)
 
 
 def search_tickets(query_texts: DataFrame, documents: DataFrame, k: int = 3, dim: int = DIMENSIONS) -> DataFrame:

@@ -152,16 +152,14 @@ def customer_retention(stg_orders: DataFrame) -> DataFrame:
         "customer_id", F.trunc("order_date", "month").alias("purchase_month")
     ).distinct()
     cohorts = active.withColumn("cohort_month", F.min("purchase_month").over(Window.partitionBy("customer_id")))
-    sized = (
-        cohorts.groupBy("cohort_month", "purchase_month")
-        .agg(F.count("*").alias("retained_customers"))
-        .withColumn(
-            "cohort_size",
-            F.max(F.when(F.col("purchase_month") == F.col("cohort_month"), F.col("retained_customers"))).over(
-                Window.partitionBy("cohort_month")
-            ),
-        )
-    )
+    return retention_rates(
+        cohorts.groupBy("cohort_month", "purchase_month").agg(F.count("*").alias("retained_customers")))
+
+
+def retention_rates(counted: DataFrame) -> DataFrame:
+    """Sizes, periods and shares from ``cohort_month, purchase_month, retained_customers``; small by then."""
+    first = F.when(F.col("purchase_month") == F.col("cohort_month"), F.col("retained_customers"))
+    sized = counted.withColumn("cohort_size", F.max(first).over(Window.partitionBy("cohort_month")))
     kept, size = F.col("retained_customers"), F.col("cohort_size")
     return sized.select(
         "cohort_month",

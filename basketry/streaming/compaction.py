@@ -8,6 +8,8 @@ covered folders go with the next run, so that readers at work can finish.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import SparkSession
 
 MERGED = "_merged-"
@@ -42,12 +44,16 @@ def live_batches(spark: SparkSession, path: str) -> list[str]:
     return _sorted_out(list(_listed(*_place(spark, path))))[0]
 
 
-def compact(spark: SparkSession, path: str, partitions: list[str], keep: int = 10, at_least: int = 10) -> int:
+def compact(
+    spark: SparkSession, path: str, partitions: list[str], keep: int = 10, at_least: int = 10,
+    order: Sequence[str] = (), options: dict[str, str] | None = None,
+) -> int:
     """Merges the batch folders of the layer at ``path``, but for the newest ``keep``, and returns how many.
 
     A stream may still write its newest batch again, never an older one. Single batches are merged once there are
     ``at_least`` of them, merged ones once there are as many of those, so a row is written again a logarithmic number of
-    times. What a run left behind that was broken off is removed by the next.
+    times. What a run left behind that was broken off is removed by the next. ``order`` sorts the rows of a file, and
+    ``options`` go to the writer.
     """
     system, place = _place(spark, path)
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path
@@ -70,7 +76,9 @@ def compact(spark: SparkSession, path: str, partitions: list[str], keep: int = 1
     try:
         rows = spark.read.option("basePath", path).parquet(*[f"{path}/{n}" for n in chosen]).drop("batch")
         target = f"{path}/{MERGED}{low}-{high}"
-        rows.hint("rebalance", *partitions).write.partitionBy(*partitions).parquet(target)
+        rows = rows.hint("rebalance", *partitions)
+        rows = rows.sortWithinPartitions(*order) if order else rows
+        rows.write.options(**(options or {})).partitionBy(*partitions).parquet(target)
     finally:
         spark.conf.set(setting, before)
     if not system.rename(jvm_path(target), jvm_path(place, f"batch={low}-{high}")):

@@ -12,6 +12,7 @@ from basketry.operators.cleaning import clean_stream, parse_payload, quality_fla
 from basketry.operators.dedup import dedup_stream
 from basketry.plans.warehouse import topic_of
 from basketry.session import setting, state_partitions
+from basketry.streaming.ledger import add_keys, known_keys
 
 BRONZE_PARTITIONS = ["kafka_topic", "year", "month", "day"]
 SILVER_PARTITIONS = ["event_type", "year", "month", "day"]
@@ -91,7 +92,7 @@ def _write_batch(rows: DataFrame, path: str, batch_id: int, partitions: list[str
 def split_sinks(
     messages: DataFrame, base: str, checkpoint: str, *, dedup_delay: str = "24 hours",
     as_of: Moment | None = None, available_now: bool = False, every: str = "30 seconds",
-    spread: int = 8, partitions: int | None = None,
+    spread: int = 8, partitions: int | None = None, ledger: bool = False,
 ) -> list[StreamingQuery]:
     """Bronze, silver and dead letters from broker messages. Every message ends in silver, in dead letters, or is a copy.
 
@@ -102,23 +103,34 @@ def split_sinks(
     in a replay, out of order, and no row is too late. Failing events and events without an id are compared by their
     place in the broker only, so a bad copy never hides a good one. ``spread`` is the number of tasks that share the
     copies of one hot event id.
+
+    With ``ledger`` the keys of all rows taken up are stored as well (``streaming.ledger``, folder ``ledger``), and a row
+    whose key an earlier micro-batch stored is a copy however long ago that was. The state then only has to cover what
+    comes at the same time, so a short ``dedup_delay`` will do.
     """
     trigger = {"availableNow": True} if available_now else {"processingTime": every}
     parsed = parse_payload(messages, schemas.PAYLOAD)
     shares = F.pmod("offset", F.lit(spread)) if spread > 1 else None
     event = F.when(F.col("dq_passed"), F.concat(F.lit("event "), F.col("event_id")))
     message = F.concat(F.lit("message "), F.concat_ws(":", "topic", "partition"), F.lit(":"), F.col("offset"))
-    unique = dedup_stream(
-        silver_rows(parsed, as_of), F.coalesce(event, message), time=None, delay=dedup_delay, spread=shares
-    )
+    key = F.coalesce(event, message)
+    unique = dedup_stream(silver_rows(parsed, as_of), key, time=None, delay=dedup_delay, spread=shares)
+
+    def unseen(kept: DataFrame, batch_id: int) -> DataFrame:
+        known = known_keys(kept.select(key.alias("key")), f"{base}/ledger", batch_id).withColumnRenamed("key", "_key")
+        return kept.withColumn("_key", key).join(known, "_key", "left_anti").drop("_key")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         kept, good = batch.persist(), F.col("dq_passed")
+        rows = unseen(kept, batch_id).persist() if ledger else kept
         try:
             # The first write runs every partition, so the state of a batch without rows is committed as well.
-            _write_batch(kept.filter(good), f"{base}/silver", batch_id, SILVER_PARTITIONS)
-            _write_batch(kept.filter(~good), f"{base}/dlq", batch_id, [])
+            _write_batch(rows.filter(good), f"{base}/silver", batch_id, SILVER_PARTITIONS)
+            _write_batch(rows.filter(~good), f"{base}/dlq", batch_id, [])
+            if ledger:
+                add_keys(rows.select(key.alias("key")), f"{base}/ledger", batch_id)
         finally:
+            rows.unpersist()
             kept.unpersist()
 
     def keep(batch: DataFrame, batch_id: int) -> None:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from basketry import testbed as tb
 from basketry.operators import asof, sketches
-from basketry.plans import features, incremental, marts, staging, warehouse
+from basketry.plans import features, incremental, marts, retention, staging, warehouse
 from basketry.sinks import buckets
 from basketry.sources import readers
 from basketry.streaming import panes, sessions
@@ -146,6 +146,18 @@ def _(spark, sf_dir):
     return marts.revenue_trend(incremental.monthly_mart(spark, delivered(spark, sf_dir)), "detail")
 
 
+@add("customer_retention_bitmaps", mart_queries.CATALOG.oracles["customer_retention"])
+def _(spark, sf_dir):
+    """Bitmaps of three deliveries, the last of which repeats orders of the others, stored and united."""
+    folder = fresh_folder(spark)
+    orders = mart_queries.orders(spark, sf_dir)
+    n = F.col("order_id").cast("long")
+    for part in (n % 3 != 0, n % 3 == 0, n % 5 == 0):
+        made = retention.activity_bitmaps(orders.filter(part), F.substring("customer_id", 2, 20).cast("long"))
+        made.write.mode("append").parquet(folder)
+    return retention.customer_retention(retention.united(spark.read.parquet(folder)))
+
+
 # --- points in time -------------------------------------------------------------------------------------------
 
 WEEKS = [str(date(2024, 1, 5) + timedelta(days=7 * k)) for k in range(8)]

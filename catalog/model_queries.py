@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from basketry import testbed as tb
-from basketry.operators import vectors
+from basketry.operators import ivf, vectors
 from basketry.plans import churn, features
 from basketry.session import settle
 from basketry.vocabulary import FEATURE_COLUMNS, WEEKLY_FEATURES
@@ -176,6 +176,37 @@ def _(spark, sf_dir):
     return vectors.similarity_topk(asked, stored, 5, query_bytes=1 << 10)
 
 
+def indexed(spark, sf_dir):
+    """The index of all vectors, every hundredth vector as a query, and the vectors."""
+    folder = fresh_folder(spark)
+    stored = tb.table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    ivf.build_index(stored, folder)
+    return folder, stored.filter("vec_id % 100 = 0").withColumnRenamed("vec_id", "query_id"), stored
+
+
+@add("indexed_search")
+def _(spark, sf_dir):
+    folder, asked, _stored = indexed(spark, sf_dir)
+    return ivf.search_index(asked, folder, 10)
+
+
+@add("indexed_search_recall", """SELECT count(*) AS queries, sum(least(10, n))::BIGINT AS neighbours, TRUE AS recall_at_least_90
+FROM embeddings, (SELECT count(*) AS n FROM embeddings) WHERE vec_id % 100 = 0""")
+def _(spark, sf_dir):
+    """Against the exact search of the same queries."""
+    folder, asked, stored = indexed(spark, sf_dir)
+    measured = ivf.recall_of(ivf.search_index(asked, folder, 10), vectors.similarity_topk(asked, stored, 10))
+    return measured.select("queries", "neighbours", (F.col("recall") >= 0.9).alias("recall_at_least_90"))
+
+
+@add("indexed_search_all_lists", CATALOG.oracles["similarity_blocks"])
+def _(spark, sf_dir):
+    """All lists asked, in small cells: the exact neighbours."""
+    folder, asked, _stored = indexed(spark, sf_dir)
+    lists = spark.read.parquet(f"{folder}/centres").count()
+    return ivf.search_index(asked, folder, 5, probes=lists, list_rows=20, query_bytes=1 << 11)
+
+
 def tickets(spark, sf_dir):
     ticket = F.concat_ws("-", F.lit("TKT"), F.col("conv_id").cast("string"), F.col("turn").cast("string"))
     return tb.table(spark, sf_dir, "conversations").select(
