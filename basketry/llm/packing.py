@@ -35,26 +35,32 @@ GROUP_ROWS = 1024
 LINE = 1 << 14
 #: ASCII bytes that are neither letters nor digits nor white space.
 PUNCTUATION = ~(UPPER | LOWER | DIGIT | SPACE) & (np.arange(256) > 0x20) & (np.arange(256) < 0x7F)
+#: Second bytes of the letters of Latin-1 after 0xC3: all but the signs of multiplication and division.
+LATIN = (np.arange(256) >= 0x80) & (np.arange(256) < 0xC0) & (np.arange(256) != 0x97) & (np.arange(256) != 0xB7)
 
 
 def fragments(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Bytes, starts, ends and text numbers of the parts that are encoded one by one: words, cut after a letter where
-    punctuation follows, and with small letters. So that nothing changes for the tokenizer, words with bytes beyond
-    ASCII (which may combine) stay as they are, as do words with ``<|`` (which may be special tokens)."""
+    ASCII punctuation follows, and with small ASCII letters. So that nothing changes for the tokenizer, a capital that
+    a byte beyond ASCII follows (which may combine with it) stays, only ASCII letters and those of Latin-1 count as
+    letters before a cut, and words with ``<|`` (which may be special tokens) stay as they are."""
     starts, ends, doc = spans(data, offsets)
-    odd = data >= 0x80
-    odd[:-1] |= (data[:-1] == ord("<")) & (data[1:] == ord("|"))
-    odds = sums_before(odd.astype(np.int64))
-    plain = np.zeros(len(data) + 1, np.int8)
-    usual = odds[ends] == odds[starts]
-    plain[starts[usual]] += 1
-    plain[ends[usual]] -= 1
-    plain = np.cumsum(plain[:-1], dtype=np.int8).astype(bool)
-    upper = plain & UPPER[data]
+    special = np.zeros(len(data), bool)
+    special[:-1] = (data[:-1] == ord("<")) & (data[1:] == ord("|"))
+    specials = sums_before(special.astype(np.int64))
+    usual = np.ones(len(data) + 1, bool)
+    for k in np.flatnonzero(specials[ends] != specials[starts]):
+        usual[starts[k]:ends[k]] = False
+    follows = np.zeros(len(data), np.uint8)
+    follows[:-1] = data[1:]
+    upper = usual[:-1] & UPPER[data] & (follows < 0x80)
     data = data + (upper.astype(np.uint8) << 5)
-    cut = np.flatnonzero(plain[:-1] & plain[1:] & LOWER[data[:-1]] & PUNCTUATION[data[1:]]) + 1
+    letter = LOWER[data]
+    letter[1:] |= (data[:-1] == 0xC3) & LATIN[data[1:]]
+    cut = np.flatnonzero(usual[:-1] & letter & PUNCTUATION[follows]) + 1
     if len(cut):
         at = np.searchsorted(starts, cut, "right")
+        cut, at = cut[cut < ends[at - 1]], at[cut < ends[at - 1]]
         starts, doc = np.insert(starts, at, cut), np.insert(doc, at, doc[at - 1])
         ends = np.insert(ends, at - 1, cut)
     return data, starts, ends, doc

@@ -214,6 +214,8 @@ def test_fragments_encode_one_by_one():
     path = public_tokenizers.path("word_bpe_49k.json")
     library, known = Tokenizer.from_file(path), fragment_ids(path)
     texts = fuzz([*ODD, "J\u030c", "I\u0307", "A", "B.", "It's", "we'LL", "<|startoftext|>", "|>"], 6000, seed=4) + [long_text(300)]
+    latin = [*"aJKés\u00dc\u00df\u00ff\u00d7\u00f7\u03a3\u03c2\u212a\u0130\u4e2d.,;'=<| ", "'s", "\u030c", "\u0338", "\u0307", "<|endoftext|>"]
+    texts += fuzz(latin, 6000, seed=5) + ["caf\u00e9, Stra\u00dfe.", "J", "\u030c", "A\u00d7.", ""]
     data, starts, ends, doc = fragments(*text_bytes(pa.array(texts)))
     ids, sizes = known.of_spans(data, starts, ends)
     at = np.concatenate([[0], np.cumsum(sizes)])[np.searchsorted(doc, np.arange(len(texts) + 1))]
