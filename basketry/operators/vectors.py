@@ -19,6 +19,8 @@ from basketry.functions import unit
 DIMENSIONS = 384
 QUERY_BYTES = 32 << 20
 SCORE_CELLS = 4_000_000
+#: Queries that a cell of a grid holds, whatever blocks they are scored in: every further cell costs all vectors once more.
+CELL_BYTES = 32 << 20
 
 
 def tickets_to_documents(tickets: DataFrame) -> DataFrame:
@@ -58,33 +60,51 @@ def _unit_rows(matrix: np.ndarray) -> np.ndarray:
     return np.divide(matrix, lengths, out=np.zeros_like(matrix), where=lengths > 0)
 
 
-def _grid_top(k: int, digits: int, cells: int):
-    """A function from the cells of the grid, each its queries and then its vectors, to the best ``k`` per query."""
+def _grid_top(k: int, digits: int, cells: int, query_bytes: int, vector_rows: int | None):
+    """A function from the cells of the grid, each its queries and then its vectors, to the best ``k`` per query.
+
+    ``query_bytes`` of queries and ``vector_rows`` vectors are scored at a time.
+    """
+
+    def hopeful(asked: np.ndarray, matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Query, vector and similarity of those that can be among the best ``k``; ids settle ties later."""
+        sims = np.round(asked @ matrix.T, digits) + 0.0
+        near = np.ones_like(sims, dtype=bool)
+        if len(matrix) > k:
+            # Only vectors at least as near as a query's k-th nearest here can matter.
+            edge = len(matrix) - k
+            near = sims >= np.partition(sims, edge, axis=1)[:, edge : edge + 1]
+        query, place = np.nonzero(near)
+        return query, place, sims[query, place]
+
+    def best(found: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+        names = ["query", "vec_id", "similarity"]
+        every = pd.DataFrame({n: np.concatenate(parts) for n, parts in zip(names, zip(*found))})
+        ranked = every.sort_values(["query", "similarity", "vec_id"], ascending=[True, False, True])
+        kept = ranked.groupby("query", sort=False).head(k)
+        return tuple(kept[n].to_numpy() for n in names)
 
     def best_of(queries: pd.DataFrame, vectors: Iterator[pd.DataFrame]) -> pd.DataFrame | None:
         asked = _unit_rows(np.stack(queries["vector"].to_numpy()).astype("float64"))
-        step, kept = max(1, cells // len(asked)), None
+        rows = max(1, query_bytes // (8 * max(1, asked.shape[1])))
+        step = max(1, cells // len(asked))
+        step = step if vector_rows is None else min(step, vector_rows)
+        found, waiting = [], 0
         for batch in vectors:
             for start in range(0, len(batch), step):
                 part = batch.iloc[start : start + step]
                 matrix = _unit_rows(np.stack(part["vector"].to_numpy()).astype("float64"))
-                sims = np.round(asked @ matrix.T, digits) + 0.0
-                hopeful = np.ones_like(sims, dtype=bool)
-                if len(part) > k:
-                    # Only vectors at least as near as a query's k-th nearest here can matter; ids settle ties below.
-                    edge = len(part) - k
-                    hopeful = sims >= np.partition(sims, edge, axis=1)[:, edge : edge + 1]
-                query, place = np.nonzero(hopeful)
-                found = pd.DataFrame(
-                    {"query": query, "vec_id": part["id"].to_numpy()[place], "similarity": sims[query, place]}
-                )
-                kept = found if kept is None else pd.concat([kept, found])
-                kept = kept.sort_values(["query", "similarity", "vec_id"], ascending=[True, False, True])
-                kept = kept.groupby("query", sort=False).head(k)
-        if kept is None:
+                ids = part["id"].to_numpy()
+                for first in range(0, len(asked), rows):
+                    query, place, sims = hopeful(asked[first : first + rows], matrix)
+                    found.append((query + first, ids[place], sims))
+                    waiting += len(query)
+                if waiting > cells // 8:
+                    found, waiting = [best(found)], 0
+        if not found:
             return None
-        ids = queries["id"].to_numpy()
-        return kept.assign(query_id=ids[kept["query"].to_numpy()])[["query_id", "vec_id", "similarity"]]
+        query, near, sims = best(found)
+        return pd.DataFrame({"query_id": queries["id"].to_numpy()[query], "vec_id": near, "similarity": sims})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parts = (
@@ -115,12 +135,14 @@ def common_id(id_type: DataType, vec_type: DataType) -> str:
 
 
 def best_in_cells(
-    grid: DataFrame, k: int, digits: int, score_cells: int, id_type: DataType, vec_type: DataType
+    grid: DataFrame, k: int, digits: int, score_cells: int, id_type: DataType, vec_type: DataType,
+    query_bytes: int = QUERY_BYTES, vector_rows: int | None = None,
 ) -> DataFrame:
     """The best ``k`` per query of a ``grid`` (block, share, kind, id, vector) whose cells lie whole in a partition, in
-    order, queries (kind 0) first."""
+    order, queries (kind 0) first. ``query_bytes`` of queries and ``vector_rows`` vectors are scored at a time."""
     common = common_id(id_type, vec_type)
-    found = grid.mapInPandas(_grid_top(k, digits, score_cells), f"query_id {common}, vec_id {common}, similarity double")
+    run = _grid_top(k, digits, score_cells, query_bytes, vector_rows)
+    found = grid.mapInPandas(run, f"query_id {common}, vec_id {common}, similarity double")
     found = found.withColumns({"query_id": F.col("query_id").cast(id_type), "vec_id": F.col("vec_id").cast(vec_type)})
     order = Window.partitionBy("query_id").orderBy(F.desc("similarity"), "vec_id")
     return found.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k)
@@ -128,21 +150,22 @@ def best_in_cells(
 
 def similarity_topk(
     queries: DataFrame, vectors: DataFrame, k: int = 3, digits: int = 6, query_bytes: int = QUERY_BYTES,
-    score_cells: int = SCORE_CELLS,
+    score_cells: int = SCORE_CELLS, cell_bytes: int = CELL_BYTES,
 ) -> DataFrame:
     """The ``k`` nearest vectors by cosine for every query; ties by id, a zero vector has similarity 0.
 
     ``queries`` has (query_id, embedding), ``vectors`` has (vec_id, embedding); rows without an id or a vector match
-    nothing. Queries fall into blocks of about ``query_bytes``, vectors into shares, and block and share meet in a cell
-    of a grid: a task scores the vectors of its share, as they stream by, against the block as a matrix product and
-    keeps ``k`` per query. Every query goes to each share and every vector to each block, k rows per query and share
+    nothing. Queries fall into cells of about ``cell_bytes``, vectors into shares, and both meet in a cell
+    of a grid: a task scores the vectors of its share, as they stream by, against blocks of about ``query_bytes`` as
+    matrix products and keeps ``k`` per query. Every query goes to each share and every vector to each cell of queries,
+    so small blocks cost no further copy of a vector; k rows per query and share
     come back, and nothing passes through the driver but two counts. A task holds about ``score_cells`` scores.
     """
     spark = queries.sparkSession
     id_type, vec_type = queries.schema["query_id"].dataType, vectors.schema["vec_id"].dataType
     asked = queries.filter("query_id IS NOT NULL AND embedding IS NOT NULL")
     shape = asked.agg(F.count("*"), F.max(F.size("embedding"))).first()
-    blocks = max(1, -(-8 * shape[0] * (shape[1] or 1) // query_bytes))
+    blocks = max(1, -(-8 * shape[0] * (shape[1] or 1) // max(query_bytes, cell_bytes)))
     shares = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def number(c: str, n: int) -> F.Column:
@@ -159,7 +182,7 @@ def similarity_topk(
         every(blocks).alias("block"), number("vec_id", shares).alias("share"), F.lit(1).alias("kind"),
         F.col("vec_id").cast(common).alias("id"), vector)
     grid = left.union(right).repartition(shares, "block", "share").sortWithinPartitions("block", "share", "kind")
-    return best_in_cells(grid, k, digits, score_cells, id_type, vec_type)
+    return best_in_cells(grid, k, digits, score_cells, id_type, vec_type, query_bytes)
 
 
 def search_tickets(query_texts: DataFrame, documents: DataFrame, k: int = 3, dim: int = DIMENSIONS) -> DataFrame:

@@ -36,6 +36,18 @@ def test_topk_with_ties_zero_vectors_and_many_blocks(spark):
     assert found(vectors.similarity_topk(asked, stored, 5, score_cells=30)) == want
 
 
+def test_small_blocks_send_no_vector_twice_and_small_cells_change_nothing(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    v, q = rng.integers(-1, 2, (300, 4)).astype(float), rng.integers(-1, 2, (40, 4)).astype(float)
+    stored, asked = frame(spark, "vec_id", v).repartition(6), frame(spark, "query_id", q)
+    sizes, whole = [], vectors.best_in_cells
+    monkeypatch.setattr(vectors, "best_in_cells", lambda grid, *rest: sizes.append(grid.filter("kind = 1").count()) or whole(grid, *rest))
+    want = brute(q, v, 5)
+    assert found(vectors.similarity_topk(asked, stored, 5, query_bytes=64)) == want
+    assert found(vectors.similarity_topk(asked, stored, 5, query_bytes=64, cell_bytes=256)) == want
+    assert sizes == [300, 300 * 5]
+
+
 def test_k_larger_than_the_table_and_no_queries(spark):
     v, q = np.eye(3), np.array([[1.0, 0.5, 0.0]])
     assert len(found(vectors.similarity_topk(frame(spark, "query_id", q), frame(spark, "vec_id", v), 10))) == 3
