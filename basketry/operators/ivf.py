@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.operators.vectors import (
-    DIMENSIONS, QUERY_BYTES, SCORE_CELLS, _unit_rows, best_in_cells, common_id, similarity_topk,
+    CELL_BYTES, DIMENSIONS, QUERY_BYTES, SCORE_CELLS, _unit_rows, best_in_cells, common_id, similarity_topk,
 )
 from basketry.session import settle
 
@@ -22,8 +22,10 @@ from basketry.session import settle
 SAMPLE, SAMPLE_BYTES = 20_000, 64 << 20
 #: Vectors of the sample that ask all others to learn how many lists hold their neighbours.
 TRIALS = 256
-#: Vectors of a list that one task scores; longer lists are split.
+#: Vectors of a list that one task scores at a time.
 LIST_ROWS = 100_000
+#: Vectors of a list that one task takes; longer lists are split, and each part gets all queries of the list.
+CELL_ROWS = 100_000
 ROUNDS = 12
 
 
@@ -108,13 +110,14 @@ def read_centres(spark: SparkSession, path: str) -> tuple[np.ndarray, int]:
 
 def search_index(
     queries: DataFrame, path: str, k: int = 10, probes: int | None = None, digits: int = 6, list_rows: int = LIST_ROWS,
-    query_bytes: int = QUERY_BYTES, score_cells: int = SCORE_CELLS,
+    query_bytes: int = QUERY_BYTES, score_cells: int = SCORE_CELLS, cell_rows: int = CELL_ROWS, cell_bytes: int = CELL_BYTES,
 ) -> DataFrame:
     """The nearest vectors of the ``probes`` nearest lists for every query (query_id, embedding): ``query_id, vec_id,
     similarity, place`` as ``similarity_topk`` returns them, which answers the queries whose lists hold fewer than ``k``.
 
-    A list meets the queries that ask it in cells of at most about ``list_rows`` vectors and ``query_bytes`` of queries,
-    so neither a hot list nor one that all queries ask falls to one task. Equal similarities go by id among the vectors
+    A list meets the queries that ask it in cells of at most about ``cell_rows`` vectors and ``cell_bytes`` of queries,
+    so neither a hot list nor one that all queries ask falls to one task. A task scores ``list_rows`` vectors against
+    ``query_bytes`` of queries at a time; smaller ones send no row to more cells. Equal similarities go by id among the vectors
     of the lists asked.
     """
     spark = queries.sparkSession
@@ -127,9 +130,9 @@ def search_index(
     common = common_id(id_type, vec_type)
     dealt = settle(asked.withColumn("list", F.explode(_nearest(centres, probes or learnt))))
     # One row per list, of which the sample allows few thousands.
-    sizes = stored.groupBy("list").agg(F.ceil(F.count("*") / list_rows).cast("int").alias("shares"))
+    sizes = stored.groupBy("list").agg(F.ceil(F.count("*") / max(list_rows, cell_rows)).cast("int").alias("shares"))
     loads = dealt.groupBy("list").agg(
-        F.ceil(F.count("*") * (8 * centres.shape[1]) / query_bytes).cast("int").alias("blocks"))
+        F.ceil(F.count("*") * (8 * centres.shape[1]) / max(query_bytes, cell_bytes)).cast("int").alias("blocks"))
     cells = F.broadcast(sizes.join(loads, "list"))
 
     def number(c: str, n: str) -> Column:
@@ -147,12 +150,12 @@ def search_index(
     right = stored.join(cells, "list").withColumn("share", number("vec_id", "shares")).withColumn("block", every("blocks"))
     grid = cell(left, 0, "query_id").union(cell(right, 1, "vec_id"))
     grid = grid.repartition("block", "share").sortWithinPartitions("block", "share", "kind")
-    found = settle(best_in_cells(grid, k, digits, score_cells, id_type, vec_type))
+    found = settle(best_in_cells(grid, k, digits, score_cells, id_type, vec_type, query_bytes, list_rows))
     enough = found.filter(F.col("place") == min(k, stored.count())).select("query_id")
     short = settle(asked.join(enough, "query_id", "left_anti"))
     if short.isEmpty():
         return found
-    exact = similarity_topk(short, stored, k, digits, query_bytes, score_cells)
+    exact = similarity_topk(short, stored, k, digits, query_bytes, score_cells, cell_bytes)
     return found.join(short.select("query_id").distinct(), "query_id", "left_anti").unionByName(exact)
 
 

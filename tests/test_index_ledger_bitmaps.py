@@ -45,6 +45,19 @@ def test_hot_lists_are_split_and_all_lists_are_exact(spark, folder):
     assert found(got) == brute(points[::20], points, 7)
 
 
+def test_small_scored_parts_make_no_more_cells(spark, folder, monkeypatch):
+    points = clustered(400)
+    stored, asked = frame(spark, "vec_id", points), frame(spark, "query_id", points[::10])
+    ivf.build_index(stored, folder, lists=8)
+    sizes, whole = [], ivf.best_in_cells
+    monkeypatch.setattr(ivf, "best_in_cells", lambda grid, *rest: sizes.append(grid.count()) or whole(grid, *rest))
+    small = dict(list_rows=9, query_bytes=300)
+    want = brute(points[::10], points, 7)
+    assert found(ivf.search_index(asked, folder, 7, probes=8, **small)) == want
+    assert found(ivf.search_index(asked, folder, 7, probes=8, cell_rows=20, cell_bytes=600, **small)) == want
+    assert sizes[0] == 400 + 40 * 8 and sizes[1] > sizes[0]
+
+
 def test_queries_with_too_few_neighbours_are_answered_exactly(spark, folder):
     points = clustered(90)
     ivf.build_index(frame(spark, "vec_id", points), folder, lists=10)
