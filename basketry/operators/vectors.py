@@ -15,12 +15,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
 from basketry.functions import unit
+from basketry.session import settle
 
 DIMENSIONS = 384
 QUERY_BYTES = 32 << 20
 SCORE_CELLS = 4_000_000
 #: Queries that a cell of a grid holds, whatever blocks they are scored in: every further cell costs all vectors once more.
 CELL_BYTES = 32 << 20
+#: Directions on which copies are looked for, and the width of their steps in farthest distances of a copy.
+DIRECTIONS, STEP = 8, 20
 
 
 def tickets_to_documents(tickets: DataFrame) -> DataFrame:
@@ -148,9 +151,77 @@ def best_in_cells(
     return found.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k)
 
 
+def _places(digits: int, around: bool) -> Callable[[pd.Series], pd.Series]:
+    """A function from vectors to the numbers of the places where they lie on a few fixed directions, in wide steps:
+    their own one or, with ``around``, all where a copy may lie. A zero vector has none.
+
+    Unit vectors whose similarity rounds to one are no farther apart than ``far``, and so on each direction.
+    """
+    far = 10.0 ** (-digits / 2) * (1 + 1e-6) + 1e-9
+
+    def numbers(steps: np.ndarray) -> np.ndarray:
+        mixed = np.zeros(len(steps), dtype="uint64")
+        for c in range(steps.shape[1]):
+            mixed = (mixed ^ steps[:, c].astype("int64").view("uint64")) * np.uint64(0x9E3779B97F4A7C15)
+            mixed ^= mixed >> np.uint64(29)
+        return mixed.view("int64")
+
+    def keys(batch: pd.Series) -> pd.Series:
+        found = np.empty(len(batch), dtype=object)
+        sizes = batch.map(len).to_numpy()
+        for size in np.unique(sizes):
+            rows = np.nonzero(sizes == size)[0]
+            points = _unit_rows(np.stack(batch.iloc[rows].to_numpy()).astype("float64").reshape(len(rows), size))
+            signs = np.random.default_rng(int(size)).choice([-1.0, 1.0], (size, DIRECTIONS)) / np.sqrt(max(1, size))
+            at, some = points @ signs, points.any(axis=1)
+            width = far * STEP
+            low, high = (np.floor((at + d) / width) for d in ((-far, far) if around else (0.0, 0.0)))
+            for row, a, b, any_ in zip(rows, low, high, some):
+                every = np.array(list(itertools.product(*[(x,) if x == y else (x, y) for x, y in zip(a, b)])))
+                found[row] = np.unique(numbers(every)) if any_ else np.zeros(0, dtype="int64")
+        return pd.Series(found, dtype=object)
+
+    return keys
+
+
+def _cosines(digits: int) -> Callable[[pd.Series, pd.Series], pd.Series]:
+    def cosines(left: pd.Series, right: pd.Series) -> pd.Series:
+        same, found = (left.map(len) == right.map(len)).to_numpy(), np.zeros(len(left))
+        for size in left[same].map(len).unique():
+            rows = np.nonzero(same & (left.map(len) == size).to_numpy())[0]
+            a, b = (_unit_rows(np.stack(x.iloc[rows].to_numpy()).astype("float64")) for x in (left, right))
+            found[rows] = np.round((a * b).sum(axis=1), digits) + 0.0
+        return pd.Series(found)
+
+    return cosines
+
+
+def copies_topk(queries: DataFrame, vectors: DataFrame, k: int, digits: int = 6) -> DataFrame:
+    """The ``k`` nearest vectors of those queries that have at least ``k`` copies: vectors whose similarity rounds to one,
+    the most there is, so nothing else can be nearer and the smallest ids win. Other queries have no row.
+
+    A copy lies near its query on any direction. So both get the numbers of their places on a few directions, a query
+    those of the neighbouring places as well, and meet by number; the similarity then decides. Of equal vectors the
+    ``k`` smallest ids meet the queries, so text that is stored very often makes no hot key.
+    """
+    many = "array<long>"
+    named = vectors.filter("vec_id IS NOT NULL AND embedding IS NOT NULL").select(
+        "vec_id", F.col("embedding").alias("_other"),
+        F.explode(F.pandas_udf(_places(digits, False), many)("embedding")).alias("_at"))
+    order = Window.partitionBy("_at", F.xxhash64("_other")).orderBy("vec_id")
+    few = named.withColumn("_row", F.row_number().over(order)).filter(F.col("_row") <= k).drop("_row")
+    dealt = queries.filter("query_id IS NOT NULL AND embedding IS NOT NULL").select(
+        "query_id", "embedding", F.explode(F.pandas_udf(_places(digits, True), many)("embedding")).alias("_at"))
+    met = dealt.join(few, "_at").withColumn("similarity", F.pandas_udf(_cosines(digits), "double")("embedding", "_other"))
+    same = met.filter(F.col("similarity") >= 1.0).select("query_id", "vec_id", "similarity")
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy("vec_id"))
+    ranked = settle(same.withColumn("place", place).filter(F.col("place") <= k))
+    return ranked.join(ranked.filter(F.col("place") == k).select("query_id"), "query_id", "left_semi")
+
+
 def similarity_topk(
     queries: DataFrame, vectors: DataFrame, k: int = 3, digits: int = 6, query_bytes: int = QUERY_BYTES,
-    score_cells: int = SCORE_CELLS, cell_bytes: int = CELL_BYTES,
+    score_cells: int = SCORE_CELLS, cell_bytes: int = CELL_BYTES, copies_first: bool = False,
 ) -> DataFrame:
     """The ``k`` nearest vectors by cosine for every query; ties by id, a zero vector has similarity 0.
 
@@ -160,10 +231,20 @@ def similarity_topk(
     matrix products and keeps ``k`` per query. Every query goes to each share and every vector to each cell of queries,
     so small blocks cost no further copy of a vector; k rows per query and share
     come back, and nothing passes through the driver but two counts. A task holds about ``score_cells`` scores.
+
+    With ``copies_first`` queries that have at least ``k`` copies (``copies_topk``) are answered by these, and only the
+    others go to the grid; worth it where most queries are stored vectors themselves.
     """
     spark = queries.sparkSession
     id_type, vec_type = queries.schema["query_id"].dataType, vectors.schema["vec_id"].dataType
     asked = queries.filter("query_id IS NOT NULL AND embedding IS NOT NULL")
+    if copies_first:
+        asked = settle(asked.select("query_id", "embedding"))
+        found = settle(copies_topk(asked, vectors, k, digits))
+        rest = settle(asked.join(found.select("query_id").distinct(), "query_id", "left_anti"))
+        if rest.isEmpty():
+            return found
+        return found.unionByName(similarity_topk(rest, vectors, k, digits, query_bytes, score_cells, cell_bytes))
     shape = asked.agg(F.count("*"), F.max(F.size("embedding"))).first()
     blocks = max(1, -(-8 * shape[0] * (shape[1] or 1) // max(query_bytes, cell_bytes)))
     shares = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -189,7 +270,7 @@ def search_tickets(query_texts: DataFrame, documents: DataFrame, k: int = 3, dim
     """Nearest ticket documents for each query text, with ticket id, status and text."""
     asked = embed(query_texts, "text", dim).select("query_id", "embedding")
     stored = documents.withColumn("vec_id", F.col("metadata.ticket_id"))
-    hits = similarity_topk(asked, stored.select("vec_id", "embedding"), k)
+    hits = similarity_topk(asked, stored.select("vec_id", "embedding"), k, copies_first=True)
     shown = stored.select("vec_id", F.col("metadata.status").alias("status"), "text")
     return hits.join(shown, "vec_id").withColumnRenamed("vec_id", "ticket_id")
 

@@ -48,6 +48,36 @@ def test_small_blocks_send_no_vector_twice_and_small_cells_change_nothing(spark,
     assert sizes == [300, 300 * 5]
 
 
+def near_rows():
+    """Unit vectors, copies of them scaled or moved by less and by more than rounding sees, zero vectors, and queries of
+    which some have no copy."""
+    rng = np.random.default_rng(9)
+    base = np.abs(rng.normal(size=(40, 16)))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    moved = [base + d * rng.normal(size=base.shape) / 4 for d in (1e-4, 5e-4, 9e-4, 1e-3, 1.1e-3, 2e-3)]
+    v = np.vstack([base, base * 3, *moved, np.zeros((3, 16))])
+    return rng.permutation(v), np.vstack([base, rng.normal(size=(10, 16)), np.zeros((2, 16))])
+
+
+def test_copies_answer_as_the_grid_does(spark):
+    v, q = near_rows()
+    stored, asked = frame(spark, "vec_id", v).repartition(3), frame(spark, "query_id", q)
+    for k in (1, 3, 6):
+        assert found(vectors.similarity_topk(asked, stored, k, copies_first=True)) == brute(q, v, k)
+
+
+def test_queries_with_copies_need_no_grid(spark, monkeypatch):
+    texts = [f"order {i} is late by {i % 7} days" for i in range(30)] + ["same words"] * 5 + [None, " "]
+    tickets = spark.createDataFrame([(f"T{i}", "C", t, "Open", "x") for i, t in enumerate(texts)],
+                                    "ticket_id string, customer_id string, issue_text string, status string, created_at string")
+    documents = vectors.embed(vectors.tickets_to_documents(tickets))
+    asked = documents.filter("trim(text) <> ''").select("text").distinct().selectExpr("xxhash64(text) AS query_id", "text")
+    monkeypatch.setattr(vectors, "best_in_cells", None)
+    best = vectors.search_tickets(asked, documents, 1).collect()
+    assert len(best) == 31 and {r.similarity for r in best} == {1.0}
+    assert [r.ticket_id for r in best if r.text == "same words"] == ["T30"]
+
+
 def test_k_larger_than_the_table_and_no_queries(spark):
     v, q = np.eye(3), np.array([[1.0, 0.5, 0.0]])
     assert len(found(vectors.similarity_topk(frame(spark, "query_id", q), frame(spark, "vec_id", v), 10))) == 3
