@@ -38,15 +38,23 @@ def customer_code(number) -> F.Column:
     return F.concat(F.lit("C"), F.lpad(number.cast("string"), 7, "0"))
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Canonical clean events (all nine types)."""
-    return events_from(table(spark, sf_dir, "events"))
+def events(spark: SparkSession, sf_dir: str, tasks: int | None = None) -> DataFrame:
+    """Canonical clean events (all nine types); with ``tasks`` dealt evenly to so many tasks.
 
+    A file is read by no more tasks than it has row groups, and a small file can hold many events. What is made of the
+    rows, JSON above all, costs far more than the rows themselves.
+    """
+    return events_from(_dealt(table(spark, sf_dir, "events"), tasks))
 
-def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+
+def event_stream(spark: SparkSession, sf_dir: str, tasks: int | None = None) -> DataFrame:
     """The same events as a file stream."""
     schema = table(spark, sf_dir, "events").schema
-    return events_from(spark.readStream.schema(schema).parquet(f"{sf_dir}/events*.parquet"))
+    return events_from(_dealt(spark.readStream.schema(schema).parquet(f"{sf_dir}/events*.parquet"), tasks))
+
+
+def _dealt(source: DataFrame, tasks: int | None) -> DataFrame:
+    return source.select("event_id", "user_id", "props", "value", "event_type", "ts").repartition(tasks) if tasks else source
 
 
 def events_from(source: DataFrame) -> DataFrame:
@@ -92,9 +100,9 @@ def events_from(source: DataFrame) -> DataFrame:
     )
 
 
-def untidy_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def untidy_events(spark: SparkSession, sf_dir: str, tasks: int | None = None) -> DataFrame:
     """The same events as they might arrive: padded, mis-cased, signed, partly broken, every seventh sent twice."""
-    return untidy_from(events(spark, sf_dir))
+    return untidy_from(events(spark, sf_dir, tasks))
 
 
 def untidy_from(tidy: DataFrame) -> DataFrame:

@@ -77,8 +77,8 @@ METRICS = {
 
 
 def state_size(spark, sf_dir) -> int:
-    """State partitions: a setting of the deployment, as they can't change while a checkpoint lives."""
-    return int(spark.conf.get("spark.basketry.state.partitions", "8"))
+    """State partitions: a setting of the deployment, as they can't change while a checkpoint lives; else all its cores."""
+    return int(spark.conf.get("spark.basketry.state.partitions", str(max(8, spark.sparkContext.defaultParallelism))))
 
 
 def finish(queries) -> None:
@@ -114,7 +114,7 @@ for _name, _parts in METRICS.items():
 def layered(spark, sf_dir) -> str:
     """Untidy events as messages through the layered stream; returns the folder of the layers."""
     folder = fresh_folder(spark)
-    messages = tb.messages_from(tb.untidy_from(tb.event_stream(spark, sf_dir)))
+    messages = tb.messages_from(tb.untidy_from(tb.event_stream(spark, sf_dir, state_size(spark, sf_dir))))
     finish(
         layers.split_sinks(
             messages, folder, f"{folder}/checkpoint", as_of="2024-01-30 00:00:00", available_now=True,
@@ -181,7 +181,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     """Three deliveries, the copies in the last, when the state of a millisecond has long forgotten what they are copies of."""
     folder = fresh_folder(spark)
-    rows = tb.untidy_events(spark, sf_dir)
+    rows = tb.untidy_events(spark, sf_dir, state_size(spark, sf_dir))
     n = F.substring("event_id", 2, 20).cast("long")
     for part in ((n % 2 == 0) & (F.col("copy_no") == 1), (n % 2 == 1) & (F.col("copy_no") == 1), F.col("copy_no") == 2):
         tb.messages_from(rows.filter(part)).write.mode("append").parquet(f"{folder}/in")
@@ -231,7 +231,8 @@ def _(spark, sf_dir):
 def _single_sink(spark, sf_dir, write):
     """Flagged events of the message stream through one sink; no row is a copy here."""
     folder = fresh_folder(spark)
-    parsed = cleaning.parse_payload(tb.messages_from(tb.untidy_from(tb.event_stream(spark, sf_dir))), schemas.PAYLOAD)
+    arriving = tb.untidy_from(tb.event_stream(spark, sf_dir, state_size(spark, sf_dir)))
+    parsed = cleaning.parse_payload(tb.messages_from(arriving), schemas.PAYLOAD)
     flagged = layers.silver_rows(parsed, "2024-01-30 00:00:00")
     finish([write(flagged, f"{folder}/out", f"{folder}/checkpoint", available_now=True)])
     return readers.read_layer(spark, f"{folder}/out").groupBy("event_id", "customer_id", "dq_negative_amount").agg(

@@ -285,3 +285,34 @@ def test_console_shows_batches(spark, folder, capfd):
         assert query.lastProgress["numInputRows"] in (0, 3) and query.isActive
     finally:
         query.stop()
+
+
+def test_events_of_one_file_are_dealt_to_all_tasks(spark, folder):
+    from basketry import testbed as tb
+
+    rows = spark.range(600, numPartitions=1).selectExpr(
+        "id AS event_id", "timestamp_ntz'2024-01-01 10:00:00' AS ts", "id % 7 AS user_id", "'view' AS event_type",
+        "1.5D AS value", "'{\"k\": 3}' AS props")
+    rows.write.parquet(f"{folder}/events.parquet")
+    dealt = tb.events(spark, folder, 6)
+    counts = dealt.groupBy(F.spark_partition_id()).count().collect()
+    assert [r["count"] for r in counts] == [100] * 6
+    plain = tb.events(spark, folder)
+    assert plain.exceptAll(dealt).isEmpty() and dealt.count() == 600
+    stream = tb.event_stream(spark, folder, 6).groupBy(F.spark_partition_id().alias("task")).count()
+    query = stream.writeStream.format("memory").queryName("dealt").outputMode("complete").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert sorted(r["count"] for r in spark.table("dealt").collect()) == [100] * 6
+
+
+def test_state_has_a_partition_for_every_core_unless_set():
+    from types import SimpleNamespace
+
+    from catalog.stream_queries import state_size
+
+    def on(cores, **conf):
+        context = SimpleNamespace(defaultParallelism=cores)
+        settings = SimpleNamespace(get=lambda name, other: conf.get("partitions", other))
+        return state_size(SimpleNamespace(conf=settings, sparkContext=context), "")
+
+    assert (on(12), on(2), on(12, partitions="5")) == (12, 8, 5)
