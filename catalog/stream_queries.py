@@ -208,7 +208,8 @@ def _(spark, sf_dir):
     """Old messages last: three deliveries, the newest events first, each a micro-batch of its own. Some are broken,
     some have no id, and of events sent twice the first copy is bad."""
     folder = fresh_folder(spark)
-    rows = tb.untidy_events(spark, sf_dir).withColumn("n", F.substring("event_id", 2, 20).cast("long"))
+    rows = tb.untidy_events(spark, sf_dir, state_size(spark, sf_dir))
+    rows = rows.withColumn("n", F.substring("event_id", 2, 20).cast("long"))
     bad = (F.col("n") % 7 == 0) & (F.col("copy_no") == 1)
     rows = rows.withColumns({
         "customer_id": F.when(~bad, F.col("customer_id")), "event_id": F.when(F.col("n") % 89 != 0, F.col("event_id"))})
