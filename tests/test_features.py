@@ -1,5 +1,7 @@
 """Features, order statistics, curves and the churn model, checked against numpy and pandas."""
 
+import threading
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -150,6 +152,19 @@ def test_leaky_feature_is_left_out_by_default():
     assert churn.model_features(names, exclude_leaky=False) == ["recency_days", "frequency"]
 
 
+def test_folds_grow_at_the_same_time(spark, monkeypatch):
+    """Each fold's model waits until all are being fitted; one after the other they would wait in vain."""
+    meeting, fit = threading.Barrier(3), churn.GBTClassifier.fit
+
+    def fit_when_all_are_there(self, *given):
+        meeting.wait(30)
+        return fit(self, *given)
+
+    monkeypatch.setattr(churn.GBTClassifier, "fit", fit_when_all_are_there)
+    mean, std = churn.cross_validate(labelled(spark), ["frequency", "monetary"], churn.ChurnParams(trees=3, depth=2), folds=3)
+    assert 0.9 < mean <= 1 and 0 <= std < 0.1
+
+
 def test_model_round_trip(spark, folder):
     df, names = labelled(spark), ["frequency", "monetary"]
     model, metrics = churn.train_churn(df, names, churn.ChurnParams(trees=5, depth=3))
