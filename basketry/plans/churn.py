@@ -72,12 +72,26 @@ def _ready(df: DataFrame, features: Sequence[str], label: str | None = None) ->
     return filled if label is None else filled.withColumn(label, F.col(label).cast("double"))
 
 
-#: Rows per task while trees grow: hundreds of trees mean thousands of short jobs, which few tasks keep short.
-ROWS_PER_TASK = 100_000
+#: Rows that one task alone grows trees from: hundreds of trees mean thousands of short jobs, which few tasks keep short.
+ROWS_OF_ONE_TASK = 100_000
+#: Rows that each of several tasks gets at least and, for its memory's sake, at most.
+LEAST_ROWS, MOST_ROWS = 25_000, 500_000
+
+
+def _tasks(rows: int, cores: int) -> int:
+    """One task per core or, if they would get too many rows, several."""
+    if rows < ROWS_OF_ONE_TASK:
+        return 1
+    return min(rows // LEAST_ROWS, cores * -(-rows // (cores * MOST_ROWS)))
 
 
 def _gathered(df: DataFrame) -> DataFrame:
-    return df.coalesce(df.count() // ROWS_PER_TASK + 1)
+    """``df`` dealt evenly to the tasks that grow trees from it.
+
+    The partitions it comes in are as few as their bytes allow, and ``coalesce`` never makes them more.
+    """
+    tasks = _tasks(df.count(), df.sparkSession.sparkContext.defaultParallelism)
+    return df.coalesce(1) if tasks == 1 else df.repartition(tasks)
 
 
 def train_churn(

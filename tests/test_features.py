@@ -165,6 +165,15 @@ def test_folds_grow_at_the_same_time(spark, monkeypatch):
     assert 0.9 < mean <= 1 and 0 <= std < 0.1
 
 
+def test_trees_grow_in_as_many_tasks_as_there_are_cores(spark):
+    dealt = churn._gathered(spark.range(0, 200_000, 1, 1).withColumnRenamed("id", "customer_id"))
+    sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == min(8, spark.sparkContext.defaultParallelism) and sum(sizes) == 200_000
+    assert max(sizes) < 1.1 * min(sizes)
+    assert churn._gathered(spark.range(0, 1000, 1, 4)).rdd.getNumPartitions() == 1
+    assert [churn._tasks(n, 12) for n in (0, 99_999, 100_000, 720_000, 4_300_000, 60_000_000)] == [1, 1, 4, 12, 12, 120]
+
+
 def test_model_round_trip(spark, folder):
     df, names = labelled(spark), ["frequency", "monetary"]
     model, metrics = churn.train_churn(df, names, churn.ChurnParams(trees=5, depth=3))
