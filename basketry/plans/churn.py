@@ -141,6 +141,23 @@ def cross_validate(
     return float(np.mean(found)), float(np.std(found))
 
 
+def areas_by_column(scored: DataFrame, columns: Sequence[str], label: str = "label", at_once: int = 4) -> dict[str, float]:
+    """Area under the ROC curve of every column taken as a score (null as 0), a few columns at a time.
+
+    Rows are counted by value and label first, so what is sorted are the different values, not the rows.
+    """
+
+    def area(column: str) -> float:
+        value = F.coalesce(F.col(column).cast("double"), F.lit(0.0)).alias("value")
+        counted = scored.select(F.col(label).cast("double").alias("label"), value).groupBy("label", "value").agg(
+            F.count("*").cast("double").alias("n"))
+        return BinaryClassificationEvaluator(
+            rawPredictionCol="value", labelCol="label", weightCol="n", numBins=0).evaluate(counted)
+
+    with ThreadPool(at_once) as pool:
+        return dict(zip(columns, pool.map(inheritable_thread_target(scored.sparkSession)(area), columns)))
+
+
 def probabilities(model: PipelineModel, df: DataFrame) -> DataFrame:
     return model.transform(df).withColumn("score", vector_to_array("probability")[1])
 

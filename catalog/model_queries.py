@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -114,10 +113,9 @@ def _(spark, sf_dir):
     model, _, rows, names = trained(spark, sf_dir)
     scored = settle(churn.probabilities(model, churn._ready(rows, names)).select(
         F.col("is_churned").cast("double").alias("label"), "score", *[F.col(c).cast("double").alias(c) for c in names]))
-    judge = BinaryClassificationEvaluator(labelCol="label", numBins=0)
-    area = lambda c: judge.setRawPredictionCol(c).evaluate(scored.select("label", F.coalesce(c, F.lit(0.0)).alias(c)))
-    best = area("score")
-    found = [(c, max(area(c), 1 - area(c)) <= best) for c in names]
+    found = churn.areas_by_column(scored, ["score", *names])
+    best = found.pop("score")
+    found = [(c, max(a, 1 - a) <= best) for c, a in found.items()]
     return spark.createDataFrame(found, "feature string, beaten boolean")
 
 

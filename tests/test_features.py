@@ -174,6 +174,14 @@ def test_trees_grow_in_as_many_tasks_as_there_are_cores(spark):
     assert [churn._tasks(n, 12) for n in (0, 99_999, 100_000, 720_000, 4_300_000, 60_000_000)] == [1, 1, 4, 12, 12, 120]
 
 
+def test_areas_by_column_are_those_of_the_rows(spark):
+    df = labelled(spark).withColumn("gaps", F.when(F.col("frequency") > 9, F.col("frequency")))
+    found = churn.areas_by_column(df, ["frequency", "monetary", "gaps"], "is_churned")
+    for name, area in found.items():
+        scored = df.select(F.col("is_churned").alias("label"), F.coalesce(name, F.lit(0)).cast("double").alias("score"))
+        assert area == pytest.approx(curves.areas(scored).first().auc_roc, abs=1e-6)
+
+
 def test_model_round_trip(spark, folder):
     df, names = labelled(spark), ["frequency", "monetary"]
     model, metrics = churn.train_churn(df, names, churn.ChurnParams(trees=5, depth=3))
