@@ -156,7 +156,8 @@ def stratified_split(
 ) -> DataFrame:
     """``df`` with ``is_test``: exactly round(share * n) rows of every label, chosen by hashed key.
 
-    Only (label, hash, key) is ordered globally; one cut per label comes back and marks the rows in a map step.
+    Only (label, hash, key) is ordered globally; one cut per label comes back and marks the rows in a map step. The cuts
+    are sent to the rows: a join that shuffles by label would put all rows into as many tasks as there are labels.
     """
     marked = df.withColumn("_hash", shuffle_key(key, seed))
     placed = with_row_number(
@@ -169,7 +170,7 @@ def stratified_split(
     )
     inside = F.struct(F.col("_hash"), F.col(key)) <= F.col("_cut")
     return (
-        marked.join(cuts, label, "left")
+        marked.join(F.broadcast(cuts), label, "left")
         .withColumn("is_test", F.coalesce(inside, F.lit(False)))
         .drop("_hash", "_cut")
         .select(*df.columns, "is_test")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from basketry.operators import curves, ordering, stats
 from basketry.plans import churn, features
+from basketry.session import setting, settle
 
 
 def test_row_numbers_and_running_totals_over_ranges(spark):
@@ -135,6 +136,24 @@ def test_split_and_folds_are_stratified_and_repeatable(spark):
     assert sizes.groupby("is_churned")["count"].agg(lambda c: c.max() - c.min()).max() <= 1
 
 
+def test_split_leaves_rows_in_their_partitions(spark):
+    """Two labels in 8 partitions: a join that shuffles by label leaves rows in two partitions at most."""
+    df = labelled(spark).repartition(8)
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        split = settle(features.stratified_split(df))
+    sizes = split.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) == 8 and sum(r["count"] for r in sizes) == 400 and split.filter("is_test").count() == 80
+
+
+def test_rows_of_one_task_come_label_by_label(spark):
+    df = settle(labelled(spark).coalesce(1))
+    with setting(spark, "spark.sql.shuffle.partitions", "200"):
+        rows = churn._gathered(df, "is_churned").select("customer_id", "is_churned", F.spark_partition_id().alias("p")).collect()
+    labels = [r.is_churned for r in rows]
+    assert {r.p for r in rows} == {0} and sum(a != b for a, b in zip(labels, labels[1:])) == 1
+    assert sorted(r.customer_id for r in rows) == sorted(r.customer_id for r in df.collect())
+
+
 def test_combined_features_never_values(spark):
     rfm = spark.createDataFrame([("a", 5, 1)], "customer_id string, recency_days int, frequency int")
     behavior = spark.createDataFrame([("b", 7, 2)], "customer_id string, days_since_last_login int, login_count int")
