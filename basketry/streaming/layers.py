@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import nullcontext
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -11,9 +13,13 @@ from basketry.functions import Moment, event_calendar, parse_event_time
 from basketry.operators.cleaning import clean_stream, parse_payload, quality_flags
 from basketry.operators.dedup import dedup_stream
 from basketry.plans.warehouse import topic_of
-from basketry.session import setting, state_partitions
+from basketry.session import setting, state_on_disk, state_partitions
 from basketry.streaming.ledger import add_keys, known_keys
 
+#: Rows in one piece of a cached batch. What doesn't fit in memory goes to disk through a Java object stream, which holds on
+#: to the last hundred pieces in the heap of every task (``spark.serializer.objectStreamReset``).
+CACHED_ROWS = 500
+
 BRONZE_PARTITIONS = ["kafka_topic", "year", "month", "day"]
 SILVER_PARTITIONS = ["event_type", "year", "month", "day"]
 
@@ -106,7 +112,8 @@ def split_sinks(
 
     With ``ledger`` the keys of all rows taken up are stored as well (``streaming.ledger``, folder ``ledger``), and a row
     whose key an earlier micro-batch stored is a copy however long ago that was. The state then only has to cover what
-    comes at the same time, so a short ``dedup_delay`` will do.
+    comes at the same time, so a short ``dedup_delay`` will do. That may be a whole delivery, and the keys of the one
+    before it, so this state lies on disk: memory holds a bounded part of it, however many keys come at once.
     """
     trigger = {"availableNow": True} if available_now else {"processingTime": every}
     parsed = parse_payload(messages, schemas.PAYLOAD)
@@ -121,6 +128,10 @@ def split_sinks(
         return kept.withColumn("_key", key).join(known, "_key", "left_anti").drop("_key")
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        with setting(batch.sparkSession, "spark.sql.inMemoryColumnarStorage.batchSize", str(CACHED_ROWS)):
+            write_cached(batch, batch_id)
+
+    def write_cached(batch: DataFrame, batch_id: int) -> None:
         kept, good = batch.persist(), F.col("dq_passed")
         rows = unseen(kept, batch_id).persist() if ledger else kept
         try:
@@ -140,5 +151,6 @@ def split_sinks(
         writer = rows.writeStream.foreachBatch(sink).option("checkpointLocation", f"{checkpoint}/{name}")
         return writer.trigger(**trigger).start()
 
-    with state_partitions(messages.sparkSession, partitions):
+    spark = messages.sparkSession
+    with state_partitions(spark, partitions), state_on_disk(spark) if ledger else nullcontext():
         return [start(parsed, keep, "bronze"), start(unique, write, "checked")]

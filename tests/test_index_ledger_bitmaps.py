@@ -1,5 +1,6 @@
 """Inverted-file search, the ledger of a stream's keys, and retention from bitmaps."""
 
+import glob
 import json
 import time
 from datetime import datetime, timedelta
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from basketry import schemas
 from basketry.operators import ivf, vectors
 from basketry.plans import marts, retention
+from basketry.session import STATE_ON_DISK
 from basketry.sources import readers
 from basketry.streaming import layers, ledger
 from test_vectors import brute, found, frame
@@ -133,6 +135,26 @@ def test_copies_long_after_the_state_has_gone(spark, folder, kept):
     assert dead == ["None"] * (1 if kept else 2) + ["e2"]
 
 
+def test_state_of_a_ledger_lies_on_disk_and_batches_are_cached_in_small_pieces(spark, folder, monkeypatch):
+    pieces, write = [], layers._write_batch
+    size = "spark.sql.inMemoryColumnarStorage.batchSize"
+
+    def noted(rows, path, *given):
+        if not path.endswith("bronze"):
+            pieces.append(int(rows.sparkSession.conf.get(size)))
+        write(rows, path, *given)
+
+    monkeypatch.setattr(layers, "_write_batch", noted)
+    spark.createDataFrame([message(1, event_id="e1")], schemas.MESSAGE).write.parquet(f"{folder}/in")
+    before = [spark.conf.get(n, None) for n in STATE_ON_DISK]
+    stream = readers.read_event_stream(spark, f"{folder}/in", kind="files")
+    for query in layers.split_sinks(stream, folder, f"{folder}/cp", available_now=True, ledger=True):
+        query.awaitTermination()
+    assert glob.glob(f"{folder}/cp/checked/state/0/0/*.zip") and not glob.glob(f"{folder}/cp/checked/state/0/0/*.delta")
+    assert pieces and max(pieces) <= 1000
+    assert [spark.conf.get(n, None) for n in STATE_ON_DISK] == before  # other streams keep their kind of state
+
+
 # --- bitmaps --------------------------------------------------------------------------------------------------
 
 
