@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions import Moment, as_moment, band_up_to
+from basketry.operators.boosting import Boosting, held_out_scores
 from basketry.operators.curves import areas
 from basketry.plans.features import stratified_folds, stratified_split
 from basketry.session import settle
@@ -123,11 +124,15 @@ def cross_validate(
 ) -> tuple[float, float]:
     """Mean and standard deviation of the area under the ROC curve over stratified folds.
 
-    The models of all folds grow at the same time, one thread each: every model is a long row of short jobs that leaves most
-    tasks idle. ``CrossValidator`` would fit fold after fold, as its ``parallelism`` only holds for the settings of one fold.
+    The models of all folds grow at the same time. Rows of one task (``_gathered``) are learnt from by Spark ML, a thread per
+    fold: every model is a long row of short jobs, and ``CrossValidator`` would fit fold after fold, as its ``parallelism``
+    only holds for the settings of one fold. Over several tasks ``operators.boosting`` grows the same trees, for all folds
+    in one job per level.
     """
     ready = _weighted(_ready(stratified_folds(df, folds, label, params.seed), features, label), label, params)
     dealt = _gathered(settle(ready))
+    if dealt.rdd.getNumPartitions() > 1:
+        return _cross_validate_large(dealt, features, params, folds, label)
     judge = BinaryClassificationEvaluator(rawPredictionCol="rawPrediction", labelCol=label, numBins=0)
 
     def area(fold: int) -> float:
@@ -144,6 +149,20 @@ def cross_validate(
     return float(np.mean(found)), float(np.std(found))
 
 
+def _cross_validate_large(
+    dealt: DataFrame, features: Sequence[str], params: ChurnParams, folds: int, label: str
+) -> tuple[float, float]:
+    how = Boosting(params.trees, params.depth, params.rate, params.row_sample, params.column_sample, params.min_child,
+                   params.positive_weight, params.seed)
+    scored = held_out_scores(dealt, features, label, folds, how).persist()
+    judge = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="label", weightCol="n", numBins=0)
+    try:
+        found = [judge.evaluate(scored.filter(F.col("fold") == fold)) for fold in range(folds)]
+    finally:
+        scored.unpersist()
+    return float(np.mean(found)), float(np.std(found))
+
+
 def areas_by_column(scored: DataFrame, columns: Sequence[str], label: str = "label", at_once: int = 4) -> dict[str, float]:
     """Area under the ROC curve of every column taken as a score (null as 0), a few columns at a time.
 

@@ -5,9 +5,10 @@ import threading
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from basketry.operators import curves, ordering, stats
+from basketry.operators import boosting, curves, ordering, stats
 from basketry.plans import churn, features
 from basketry.session import setting, settle
 
@@ -184,6 +185,52 @@ def test_folds_grow_at_the_same_time(spark, monkeypatch):
     assert 0.9 < mean <= 1 and 0 <= std < 0.1
 
 
+def made_up(spark, rows):
+    """Five uneven features, among them one constant and one mostly zero, and a label that hangs on three of them."""
+    rng = np.random.default_rng(3)
+    x = np.stack([rng.gamma(2, 50, rows).round(1), rng.normal(size=rows), np.where(rng.random(rows) < 0.6, 0, rng.gamma(2, 9, rows)),
+                  np.ones(rows), rng.integers(0, 6, rows)], 1)
+    odds = x[:, 0] / 60 - 1.5 + 0.8 * x[:, 1] - x[:, 2] / 20 + 0.2 * x[:, 4]
+    label = (rng.random(rows) < 1 / (1 + np.exp(-odds))).astype(int)
+    values = [(f"C{i}", *map(float, v), int(k)) for i, (v, k) in enumerate(zip(x, label))]
+    return spark.createDataFrame(values, "customer_id string, a double, b double, c double, d double, e double, is_churned int")
+
+
+def test_trees_of_all_folds_are_those_of_spark_ml(spark):
+    names = list("abcde")
+    params = churn.ChurnParams(trees=6, depth=4, rate=0.3, min_child=60)
+    how = boosting.Boosting(6, 4, 0.3, 0.8, 0.8, 60, 3.0, 42)
+    df = churn._weighted(churn._ready(made_up(spark, 40_000), names, "is_churned"), "is_churned", params)
+    df = settle(df.withColumn("fold", F.substring("customer_id", 2, 9).cast("int") % 3).repartition(2))
+    scored = boosting.held_out_scores(df, names, "is_churned", 3, how).toPandas()
+    for fold in range(3):
+        model = churn._pipeline(names, "is_churned", params).fit(df.filter(F.col("fold") != fold))
+        held_out = model.transform(df.filter(F.col("fold") == fold))
+        raw = held_out.select("is_churned", vector_to_array("rawPrediction")[1].alias("score")).toPandas()
+        for label in (0, 1):
+            mine = scored[(scored.fold == fold) & (scored.label == label)]
+            assert np.allclose(np.sort(np.repeat(mine.score, mine.n.astype(int))), np.sort(raw.score[raw.is_churned == label]))
+
+
+def test_folds_of_several_tasks_grow_in_the_same_jobs(spark, monkeypatch):
+    """No model is fitted on its own, and the areas are those of models that are."""
+    df, names, params = made_up(spark, 6000), list("abcde"), churn.ChurnParams(trees=4, depth=3, min_child=50)
+    mean, std = churn.cross_validate(df, names, params, folds=3)
+    monkeypatch.setattr(churn, "ROWS_OF_ONE_TASK", 1000)
+    monkeypatch.setattr(churn, "LEAST_ROWS", 2000)
+    monkeypatch.setattr(churn.GBTClassifier, "fit", lambda *_: pytest.fail("fitted on its own"))
+    again, spread = churn.cross_validate(df, names, params, folds=3)
+    assert abs(again - mean) < 0.02 and spread < 0.05
+    with pytest.raises(ValueError, match="0 or 1"):
+        odd = df.withColumn("fold", F.lit(0)).withColumn("is_churned", F.lit(None).cast("double"))
+        boosting.held_out_scores(odd, names, "is_churned", 1, boosting.Boosting(1, 1, 0.1, 1.0, 1.0, 1, 1.0, 1))
+
+
+def test_random_numbers_are_those_of_spark(spark):
+    drawn = [r[0] for r in spark.range(0, 1000, 1, 1).select(F.rand(43)).collect()]
+    assert boosting.uniforms(43, 0, 1000).tolist() == drawn and boosting.uniforms(43, 700, 300).tolist() == drawn[700:]
+
+
 def test_trees_grow_in_as_many_tasks_as_there_are_cores(spark):
     dealt = churn._gathered(spark.range(0, 200_000, 1, 1).withColumnRenamed("id", "customer_id"))
     sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
