@@ -295,16 +295,37 @@ class Tree:
         return at
 
 
+class _Draws:
+    """Numbers of one seed for neighbouring blocks, drawn once for all folds."""
+
+    SIZE = 1 << 14
+
+    def __init__(self):
+        self.windows: dict[tuple[int, int], np.ndarray] = {}
+
+    def of(self, seed: int, first: int, n: int) -> np.ndarray:
+        found, places = [], range(first // self.SIZE, (first + n + self.SIZE - 1) // self.SIZE)
+        for place in places:
+            if (seed, place) not in self.windows:
+                if len(self.windows) > 8:
+                    del self.windows[next(iter(self.windows))]
+                self.windows[seed, place] = uniforms(seed, place * self.SIZE, self.SIZE)
+            found.append(self.windows[seed, place])
+        start = first - places.start * self.SIZE
+        return np.concatenate(found)[start : start + n] if found else np.empty(0)
+
+
 def _grown(blocks: Iterator[tuple], trees: dict[int, Tree] | None, number: int, how: Boosting) -> Iterator[tuple]:
     """Scores with the last tree added, and the rows drawn for tree ``number``."""
+    draws = _Draws()
     for fold, part, first, bins, positive, held, scores, _drawn in blocks:
         if trees is not None:
             tree = trees[fold]
             scores = scores + tree.value[tree.nodes(bins)] * (how.rate if number > 1 else 1.0)
         drawn = 1 - held
-        if how.row_sample < 1:
+        if how.row_sample < 1 and number < how.trees:
             learned = np.flatnonzero(drawn)
-            drawn[learned] = uniforms(how.seed + number + part + 1, first, len(learned)) < how.row_sample
+            drawn[learned] = draws.of(how.seed + number + part + 1, first, len(learned)) < how.row_sample
         yield fold, part, first, bins, positive, held, scores, drawn
 
 
@@ -458,7 +479,9 @@ def held_out_scores(df: DataFrame, features: Sequence[str], label: str, folds: i
 
 
 def _boosted(spark: SparkSession, blocks: RDD, splits: list[list[int]], width: int, how: Boosting) -> DataFrame:
-    shared_folder(spark)
+    folder = shared_folder(spark)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(folder)
     # Blocks are passed on one by one, so a task never holds more than a few of them.
     trees, cut = None, None
     now = blocks.persist(StorageLevel.MEMORY_AND_DISK)
@@ -484,6 +507,7 @@ def _boosted(spark: SparkSession, blocks: RDD, splits: list[list[int]], width: i
         if now.isCheckpointed():
             _delete(spark, cut)
             cut = now.getCheckpointFile()
+    now.unpersist()  # read from where its lineage was cut
     counted = now.mapPartitions(_held_out)
     return spark.createDataFrame(counted, "fold int, label double, score double, n double")
 
